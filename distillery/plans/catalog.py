@@ -1,33 +1,264 @@
 """Registered queries: one per operator of the inventory, each ``(spark, sf_dir) -> DataFrame``
 over the whole driver tables. Column names match the oracle SQL in
-:mod:`distillery.plans.oracle`."""
+:mod:`distillery.plans.oracle`. Long texts are reported as ``md5`` + length."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from distillery.functions import text as tf
+from distillery.functions.numeric import fix6
+from distillery.operators import losses, metrics, mining, pairs, report, stats, teacher
 from distillery.sources import fixtures as fx
-from distillery.operators import mining
 
 TOP_K = 8
 NUM_NEGATIVES = 4
+RANDOM_SEED = 42
+EVAL_K = 10
+PROMPT_MAX_TOKENS = 1024
+KL_TEMPERATURES = (1.0, 2.0)
+STUDENTS = ("before", "after")
 
 
+# ---- vector-judged pairs (reranker / embedding distillation core) ---------------------
+
 def pair_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.judged_vector_pairs(spark, sf_dir).select(
         "qid", "pid", "rel", "side", "domain", "teacher", "before", "after"
     )
 
 
-def hard_negative_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = fx.judged_vector_pairs(spark, sf_dir)
+def _hard(spark, sf_dir, carry=(), group=("qid",), first_seen=False):
     return mining.mine_hard_negatives(
-        pairs, ["qid"], "pid", "teacher", "seq", top_k=TOP_K, num_negatives=NUM_NEGATIVES
+        fx.judged_vector_pairs(spark, sf_dir), list(group), "pid", "teacher", "seq",
+        top_k=TOP_K, num_negatives=NUM_NEGATIVES, carry_cols=carry, first_seen=first_seen,
+    )
+
+
+def hard_negative_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hard(spark, sf_dir)
+
+
+def hard_negative_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _hard(spark, sf_dir, first_seen=True).orderBy("first_seen", "pos_rank", "neg_rank")
+
+
+def random_negative_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mining.mine_random_negatives(
+        fx.judged_vector_pairs(spark, sf_dir), ["qid"], "pid", "teacher", "seq",
+        top_k=TOP_K, num_negatives=NUM_NEGATIVES, seed=RANDOM_SEED,
+    )
+
+
+def training_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _hard(spark, sf_dir)
+    return t.select("qid", "positive", "negative", F.col("score").cast("float").alias("score"))
+
+
+def training_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.preview(_hard(spark, sf_dir), ["qid", "pos_rank", "neg_rank"])
+
+
+def triplet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.triplet_counts(_hard(spark, sf_dir, group=("domain", "qid")), ["domain"])
+
+
+def soft_label_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fx.judged_vector_pairs(spark, sf_dir)
+    t = pairs.cross_sides(p, ["qid"], id_cols=["pid"], carry_cols=["teacher"])
+    return t.select(
+        "qid", F.col("pid_pos").alias("positive"), F.col("pid_neg").alias("negative"),
+        F.col("teacher_pos").alias("label_pos"), F.col("teacher_neg").alias("label_neg"),
     )
 
 
+def yes_no_logit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lp = fx.teacher_logprobs(fx.judged_vector_pairs(spark, sf_dir))
+    scored = teacher.teacher_from_logprobs(lp, "logprobs", "logit")
+    return scored.select("qid", "pid", F.size("logprobs").cast("long").alias("n_tokens"), "logit")
+
+
+def score_pairs_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cand = fx.vector_pair_candidates(spark, sf_dir)
+    return teacher.score_pairs(
+        cand.select("qid", "pid", "q_v", "p_v"),
+        teacher.numpy_cosine_scorer(["qid", "pid"], "q_v", "p_v", "teacher"),
+        "qid long, pid long, teacher double",
+    )
+
+
+# ---- evaluation ------------------------------------------------------------------------
+
+def _per_query(spark, sf_dir, metric: str, out: str):
+    p = fx.judged_vector_pairs(spark, sf_dir)
+    long = metrics.models_long(p, ["qid", "domain", "rel", "seq"], ["teacher", *STUDENTS])
+    pq = metrics.per_query_metrics(long, ["model", "qid"], k=EVAL_K, empty_side="zero")
+    return pq.select("model", "qid", fix6(metric).alias(out))
+
+
+def average_precision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_query(spark, sf_dir, "ap", "ap")
+
+
+def rr_at_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_query(spark, sf_dir, "rr", "rr_at_10")
+
+
+def ndcg_at_10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _per_query(spark, sf_dir, "ndcg", "ndcg_at_10")
+
+
+def _report(spark, sf_dir):
+    p = fx.judged_vector_pairs(spark, sf_dir)
+    return metrics.rerank_report(p, STUDENTS, k=EVAL_K, empty_side="drop")
+
+
+def rerank_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir).select("domain", "model", "metric", fix6("value").alias("value"))
+
+
+def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rep = _report(spark, sf_dir).withColumn("value", fix6("value"))
+    cmp = report.format_report(report.compare_runs(rep, "before", "after", zero_base="inf"), "reranker")
+    return cmp.select(
+        "domain", "metric", "before", "after",
+        fix6("abs_change").alias("abs_change"), fix6("rel_change").alias("rel_change"),
+        "direction", "metric_label", "before_text", "after_text", "abs_text", "rel_text",
+    )
+
+
+def margin_mse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = _hard(spark, sf_dir, carry=STUDENTS)
+    parts = [
+        losses.margin_mse(t, f"{m}_pos", f"{m}_neg", "score").select(F.lit(m).alias("model"), "loss", "n")
+        for m in STUDENTS
+    ]
+    out = parts[0].unionByName(parts[1])
+    return out.select("model", fix6("loss").alias("loss"), "n")
+
+
+def distill_kl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = fx.judged_vector_pairs(spark, sf_dir)
+    t = pairs.cross_sides(p, ["qid"], id_cols=["pid"], carry_cols=["teacher", *STUDENTS])
+    out = None
+    for m in STUDENTS:
+        for temp in KL_TEMPERATURES:
+            part = losses.distill_kl(t, "teacher_pos", "teacher_neg", f"{m}_pos", f"{m}_neg", temp).select(
+                F.lit(m).alias("model"), F.lit(temp).alias("temperature"), "loss", "n"
+            )
+            out = part if out is None else out.unionByName(part)
+    return out.select("model", "temperature", fix6("loss").alias("loss"), "n")
+
+
+# ---- text samples (conversations) ------------------------------------------------------
+
+def _text_pairs(spark, sf_dir):
+    return pairs.samples_to_pairs(fx.text_samples(spark, sf_dir), ["conv_id", "turn"])
+
+
+def samples_to_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _text_pairs(spark, sf_dir).select(
+        "conv_id", "turn", "side", "pos", "rel",
+        F.md5("query").alias("query_md5"), F.md5("passage").alias("passage_md5"),
+        F.length("passage").cast("long").alias("passage_chars"),
+    )
+
+
+def _truthy(spark, sf_dir):
+    s = fx.text_samples(spark, sf_dir)
+    return s.filter(tf.all_truthy(strings=["query"], arrays=["positive", "negative"]))
+
+
+def truthy_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _truthy(spark, sf_dir).select(
+        "conv_id", "turn", F.md5("query").alias("query_md5"),
+        F.size("positive").cast("long").alias("n_positive"), F.size("negative").cast("long").alias("n_negative"),
+    )
+
+
+def distinct_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = pairs.distinct_texts(_truthy(spark, sf_dir))
+    return d.select(F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"), "occurrences")
+
+
+def dataset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.dataset_stats(fx.text_samples(spark, sf_dir))
+
+
+def prompt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _text_pairs(spark, sf_dir).withColumn("messages", tf.rerank_messages("query", "passage"))
+    return m.select(
+        "conv_id", "turn", "side", "pos",
+        F.size("messages").cast("long").alias("n_messages"),
+        F.md5(F.col("messages")[0]["content"]).alias("system_md5"),
+        F.col("messages")[1]["role"].alias("user_role"),
+        F.md5(F.col("messages")[1]["content"]).alias("user_md5"),
+        F.length(F.col("messages")[1]["content"]).cast("long").alias("user_chars"),
+    )
+
+
+def truncate_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = _text_pairs(spark, sf_dir)
+    ids = tf.char_token_ids(tf.rerank_user_content("query", "passage"))
+    t = p.select(
+        "conv_id", "turn", "side", "pos",
+        F.size(ids).cast("long").alias("n_prompt"),
+        tf.truncate_with_suffix(ids, PROMPT_MAX_TOKENS, tf.suffix_token_ids()).alias("ids"),
+    )
+    return t.select(
+        "conv_id", "turn", "side", "pos", "n_prompt",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"),
+        F.md5(F.array_join("ids", ",")).alias("ids_md5"),
+    )
+
+
+# ---- text -> vector table (documents x embeddings) -------------------------------------
+
+def text_vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tv = fx.text_vectors(spark, sf_dir)
+    return tv.select(F.md5("text").alias("text_md5"), "vec_id", "n_rows")
+
+
+def missing_vector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fx.read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    tv = fx.text_vectors(spark, sf_dir).select("text")
+    missing = docs.join(tv, "text", "left_anti")
+    return missing.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
+
+
+def embed_texts_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = pairs.distinct_texts(_truthy(spark, sf_dir))
+    e = teacher.embed_texts(d, text_col="text")
+    return e.select(F.md5("text").alias("text_md5"), F.size("embedding").cast("long").alias("dim"))
+
+
 QUERIES = {
     "pair_cosine": pair_cosine,
     "hard_negative_triplets": hard_negative_triplets,
+    "hard_negative_first_seen": hard_negative_first_seen,
+    "random_negative_triplets": random_negative_triplets,
+    "training_export": training_export,
+    "training_preview": training_preview,
+    "triplet_counts": triplet_counts,
+    "soft_label_triplets": soft_label_triplets,
+    "yes_no_logit": yes_no_logit,
+    "score_pairs_pandas": score_pairs_pandas,
+    "average_precision": average_precision,
+    "rr_at_10": rr_at_10,
+    "ndcg_at_10": ndcg_at_10,
+    "rerank_report": rerank_report,
+    "compare_runs": compare_runs,
+    "margin_mse": margin_mse,
+    "distill_kl": distill_kl,
+    "samples_to_pairs": samples_to_pairs,
+    "truthy_samples": truthy_samples,
+    "distinct_texts": distinct_texts,
+    "dataset_stats": dataset_stats,
+    "prompt_messages": prompt_messages,
+    "truncate_suffix": truncate_suffix,
+    "text_vector_table": text_vector_table,
+    "missing_vector_report": missing_vector_report,
+    "embed_texts_pandas": embed_texts_pandas,
 }

@@ -7,7 +7,12 @@ IEEE arithmetic in both engines, unlike ``round()`` on exact half-way values.
 
 from __future__ import annotations
 
-from distillery.sources.fixtures import CANDIDATE_WINDOW, IN_DOMAIN_MAX_LABEL
+from distillery.functions.text import (
+    ASSISTANT_SUFFIX, DEFAULT_INSTRUCTION, RERANK_SYSTEM_PROMPT, suffix_token_ids,
+)
+from distillery.sources.fixtures import (
+    CANDIDATE_WINDOW, IN_DOMAIN_MAX_LABEL, LOGPROB_SCALE, TOP_LOGPROB_MIN,
+)
 
 
 def _fix(expr: str, d: int = 9) -> str:
@@ -50,11 +55,241 @@ ORACLES["pair_cosine"] = with_jv(
     'SELECT qid, pid, rel, side, domain, teacher, "before", "after" FROM pairs'
 )
 
-ORACLES["hard_negative_triplets"] = with_jv(f"""
-, r AS (SELECT qid, pid, teacher,
-               row_number() OVER (PARTITION BY qid ORDER BY teacher DESC, seq) AS rk FROM pairs)
-SELECT a.qid, a.pid AS positive, b.pid AS negative, a.rk AS pos_rank, b.rk AS neg_rank,
-       {_fix('a.teacher - b.teacher')} AS score
-FROM r a JOIN r b ON a.qid = b.qid AND b.rk > a.rk AND b.rk <= a.rk + 4
-WHERE a.rk <= 8 AND a.pid <> b.pid AND a.teacher - b.teacher > 0
+def _q(text: str) -> str:
+    """SQL string literal (newlines via chr(10))."""
+    parts = text.replace("'", "''").split("\n")
+    return " || chr(10) || ".join(f"'{p}'" for p in parts)
+
+
+# rank-range self-join: positive at rank r, negatives at ranks r+1 .. r+4
+HARD_CTE = f"""
+, r AS (SELECT qid, pid, domain, teacher, "before", "after", seq,
+               row_number() OVER (PARTITION BY qid ORDER BY teacher DESC, seq) AS rk FROM pairs),
+ht AS (
+  SELECT a.qid, a.domain, a.pid AS positive, b.pid AS negative, a.rk AS pos_rank, b.rk AS neg_rank,
+         {_fix('a.teacher - b.teacher')} AS score,
+         a."before" AS before_pos, b."before" AS before_neg, a."after" AS after_pos, b."after" AS after_neg
+  FROM r a JOIN r b ON a.qid = b.qid AND b.rk > a.rk AND b.rk <= a.rk + 4
+  WHERE a.rk <= 8 AND a.pid <> b.pid AND a.teacher - b.teacher > 0)
+"""
+
+ORACLES["hard_negative_triplets"] = with_jv(
+    HARD_CTE + "SELECT qid, positive, negative, pos_rank, neg_rank, score FROM ht"
+)
+
+ORACLES["hard_negative_first_seen"] = with_jv(
+    HARD_CTE + """, fs AS (SELECT qid, min(seq) AS first_seen FROM pairs GROUP BY qid)
+SELECT ht.qid, positive, negative, pos_rank, neg_rank, score, first_seen
+FROM ht JOIN fs ON ht.qid = fs.qid ORDER BY first_seen, pos_rank, neg_rank"""
+)
+
+ORACLES["random_negative_triplets"] = with_jv(f"""
+, r AS (SELECT qid, pid, teacher, seq,
+               row_number() OVER (PARTITION BY qid ORDER BY teacher DESC, seq) AS rk FROM pairs),
+pool AS (
+  SELECT a.qid, a.pid AS positive, b.pid AS negative, a.rk AS pos_rank, b.seq AS neg_seq,
+         a.teacher - b.teacher AS m,
+         row_number() OVER (PARTITION BY a.qid, a.rk ORDER BY
+             md5(concat_ws('|', '42', CAST(a.qid AS VARCHAR), CAST(a.rk AS VARCHAR), CAST(b.seq AS VARCHAR))),
+             b.seq) AS d
+  FROM r a JOIN r b ON a.qid = b.qid AND b.rk > a.rk WHERE a.rk <= 8)
+SELECT qid, positive, negative, pos_rank, neg_seq, {_fix('m')} AS score
+FROM pool WHERE d <= 4 AND positive <> negative AND m > 0
+""")
+
+ORACLES["training_export"] = with_jv(
+    HARD_CTE + "SELECT qid, positive, negative, CAST(score AS FLOAT) AS score FROM ht"
+)
+
+ORACLES["training_preview"] = with_jv(
+    HARD_CTE + "SELECT qid, positive, negative, pos_rank, neg_rank, score FROM ht "
+    "ORDER BY qid, pos_rank, neg_rank LIMIT 1"
+)
+
+ORACLES["triplet_counts"] = with_jv(
+    HARD_CTE + "SELECT domain, count(*) AS n_triplets FROM ht GROUP BY ROLLUP (domain)"
+)
+
+ORACLES["soft_label_triplets"] = with_jv("""
+SELECT a.qid, a.pid AS positive, b.pid AS negative, a.teacher AS label_pos, b.teacher AS label_neg
+FROM pairs a JOIN pairs b ON a.qid = b.qid WHERE a.rel = 1 AND b.rel = 0
+""")
+
+_z = f"({LOGPROB_SCALE} * teacher)"
+ORACLES["yes_no_logit"] = with_jv(f"""
+, lp AS (SELECT qid, pid, -ln(1 + exp(-{_z})) AS lp_yes, -ln(1 + exp({_z})) AS lp_no FROM pairs)
+SELECT qid, pid,
+       CAST((lp_yes >= {TOP_LOGPROB_MIN})::INTEGER + (lp_no >= {TOP_LOGPROB_MIN})::INTEGER AS BIGINT) AS n_tokens,
+       {_fix(f"CASE WHEN lp_yes >= {TOP_LOGPROB_MIN} THEN lp_yes ELSE -10.0 END - "
+             f"CASE WHEN lp_no >= {TOP_LOGPROB_MIN} THEN lp_no ELSE -10.0 END")} AS logit
+FROM lp
 """)
+
+ORACLES["score_pairs_pandas"] = with_jv("SELECT qid, pid, teacher FROM pairs")
+
+
+def _metrics_cte(models: list[str], by_domain: bool) -> str:
+    dom = "domain, " if by_domain else ""
+    union = "\n  UNION ALL ".join(
+        f"SELECT qid, domain, rel, seq, '{m}' AS model, \"{m}\" AS score FROM pairs" for m in models
+    )
+    part = f"{dom}model, qid"
+    cum = f"PARTITION BY {part} ORDER BY score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    return f"""
+, lg AS ({union}),
+a AS (SELECT {dom}model, qid, rel, score,
+        row_number() OVER (PARTITION BY {part} ORDER BY score DESC, seq) AS rn,
+        sum(rel) OVER ({cum}) AS cr,
+        count(*) OVER ({cum}) AS cn,
+        avg(rel) OVER (PARTITION BY {part}, score) AS g,
+        row_number() OVER (PARTITION BY {part} ORDER BY rel DESC, seq) AS irn
+      FROM lg),
+pq AS (SELECT {dom}model, qid, count(*) AS n_cand, sum(rel) AS n_rel,
+         sum(CASE WHEN rel = 1 THEN CAST(cr AS DOUBLE) / cn ELSE 0 END) / nullif(CAST(sum(rel) AS DOUBLE), 0) AS ap,
+         coalesce(max(CASE WHEN rel = 1 AND rn <= 10 THEN CAST(1 AS DOUBLE) / rn END), 0) AS rr,
+         sum(CASE WHEN rn <= 10 THEN g / (ln(rn + 1) / ln(2)) ELSE 0 END)
+           / nullif(sum(CASE WHEN irn <= 10 THEN rel / (ln(irn + 1) / ln(2)) ELSE 0 END), 0) AS ndcg
+       FROM a GROUP BY {dom}model, qid)
+"""
+
+
+_ALL = ["teacher", "before", "after"]
+ORACLES["average_precision"] = with_jv(
+    _metrics_cte(_ALL, False) + f"SELECT model, qid, {_fix('coalesce(ap, 0)', 6)} AS ap FROM pq"
+)
+ORACLES["rr_at_10"] = with_jv(
+    _metrics_cte(_ALL, False) + f"SELECT model, qid, {_fix('rr', 6)} AS rr_at_10 FROM pq"
+)
+ORACLES["ndcg_at_10"] = with_jv(
+    _metrics_cte(_ALL, False) + f"SELECT model, qid, {_fix('coalesce(ndcg, 0)', 6)} AS ndcg_at_10 FROM pq"
+)
+
+REPORT_CTE = _metrics_cte(["before", "after"], True) + f"""
+, agg AS (SELECT domain, model, avg(ap) AS m_map, avg(rr) AS m_mrr, avg(ndcg) AS m_ndcg
+          FROM pq WHERE n_rel > 0 AND n_rel < n_cand GROUP BY domain, model),
+rep AS (SELECT domain, model, 'map' AS metric, {_fix('m_map', 6)} AS value FROM agg
+        UNION ALL SELECT domain, model, 'mrr@10', {_fix('m_mrr', 6)} FROM agg
+        UNION ALL SELECT domain, model, 'ndcg@10', {_fix('m_ndcg', 6)} FROM agg)
+"""
+ORACLES["rerank_report"] = with_jv(REPORT_CTE + "SELECT domain, model, metric, value FROM rep")
+
+ORACLES["compare_runs"] = with_jv(REPORT_CTE + f"""
+, w AS (SELECT domain, metric, max(CASE WHEN model = 'before' THEN value END) AS "before",
+               max(CASE WHEN model = 'after' THEN value END) AS "after"
+        FROM rep GROUP BY domain, metric),
+c AS (SELECT *, "after" - "before" AS d,
+             CASE WHEN "before" = 0 THEN CAST('inf' AS DOUBLE) ELSE ("after" - "before") / "before" * 100 END AS rc
+      FROM w)
+SELECT domain, metric, "before", "after", {_fix('d', 6)} AS abs_change, {_fix('rc', 6)} AS rel_change,
+       CASE WHEN d >= 0 THEN '↑' ELSE '↓' END AS direction,
+       upper(metric) AS metric_label,
+       printf('%.6f', {_fix('"before"', 6)}) AS before_text,
+       printf('%.6f', {_fix('"after"', 6)}) AS after_text,
+       printf('%+.6f', {_fix('d', 6)}) AS abs_text,
+       printf('%+.2f%%', {_fix('rc', 2)}) AS rel_text
+FROM c
+""")
+
+ORACLES["margin_mse"] = with_jv(HARD_CTE + f"""
+SELECT 'before' AS model, {_fix('avg(((before_pos - before_neg) - score) * ((before_pos - before_neg) - score))', 6)} AS loss,
+       count(*) AS n FROM ht
+UNION ALL
+SELECT 'after', {_fix('avg(((after_pos - after_neg) - score) * ((after_pos - after_neg) - score))', 6)}, count(*) FROM ht
+""")
+
+
+def _kl(tp: str, tn: str, sp: str, sn: str, t: float) -> str:
+    def ls(x, y, which):
+        m = f"(greatest({x}, {y}) / {t})"
+        lse = f"ln(exp({x} / {t} - {m}) + exp({y} / {t} - {m}))"
+        v = x if which == 0 else y
+        return f"({v} / {t} - {m} - {lse})"
+    terms = []
+    for i in (0, 1):
+        lt, lsv = ls(tp, tn, i), ls(sp, sn, i)
+        terms.append(f"CASE WHEN exp({lt}) > 0 THEN exp({lt}) * ({lt} - {lsv}) ELSE 0 END")
+    return f"(({terms[0]}) + ({terms[1]})) * {t * t}"
+
+
+_kl_parts = []
+for _m in ("before", "after"):
+    for _t in (1.0, 2.0):
+        _kl_parts.append(
+            f"SELECT '{_m}' AS model, CAST({_t} AS DOUBLE) AS temperature, "
+            f"{_fix('avg(' + _kl('tp', 'tn', _m + '_p', _m + '_n', _t) + ')', 6)} AS loss, count(*) AS n FROM st"
+        )
+ORACLES["distill_kl"] = with_jv("""
+, st AS (SELECT a.teacher AS tp, b.teacher AS tn, a."before" AS before_p, b."before" AS before_n,
+                a."after" AS after_p, b."after" AS after_n
+         FROM pairs a JOIN pairs b ON a.qid = b.qid WHERE a.rel = 1 AND b.rel = 0)
+""" + "\nUNION ALL\n".join(_kl_parts))
+
+# ---- text samples from conversations ---------------------------------------------------
+
+TEXT_CTE = """
+WITH u AS (SELECT conv_id, turn, text AS query FROM conversations WHERE role = 'user'),
+a AS (SELECT conv_id, turn, text AS reply FROM conversations WHERE role = 'assistant'),
+s AS (SELECT u.conv_id, u.turn, u.query, a.reply, nx.reply AS n_reply, pv.reply AS p_reply
+      FROM u JOIN a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+      LEFT JOIN a nx ON nx.conv_id = u.conv_id + 1 AND nx.turn = u.turn + 1
+      LEFT JOIN a pv ON pv.conv_id = u.conv_id - 1 AND pv.turn = u.turn + 1),
+tp AS (SELECT conv_id, turn, query, 'positive' AS side, 0 AS pos, 1 AS rel, reply AS passage FROM s
+         WHERE reply IS NOT NULL
+       UNION ALL SELECT conv_id, turn, query, 'negative', 0, 0, n_reply FROM s WHERE n_reply IS NOT NULL
+       UNION ALL SELECT conv_id, turn, query, 'negative', CASE WHEN n_reply IS NULL THEN 0 ELSE 1 END, 0, p_reply
+         FROM s WHERE p_reply IS NOT NULL),
+truthy AS (SELECT * FROM s WHERE length(query) > 0 AND (n_reply IS NOT NULL OR p_reply IS NOT NULL))
+"""
+
+ORACLES["samples_to_pairs"] = TEXT_CTE + """
+SELECT conv_id, turn, side, pos, rel, md5(query) AS query_md5, md5(passage) AS passage_md5,
+       length(passage) AS passage_chars FROM tp
+"""
+
+ORACLES["truthy_samples"] = TEXT_CTE + """
+SELECT conv_id, turn, md5(query) AS query_md5, CAST(1 AS BIGINT) AS n_positive,
+       CAST((n_reply IS NOT NULL)::INTEGER + (p_reply IS NOT NULL)::INTEGER AS BIGINT) AS n_negative
+FROM truthy
+"""
+
+ORACLES["distinct_texts"] = TEXT_CTE + """
+, tx AS (SELECT query AS text FROM truthy UNION ALL SELECT reply FROM truthy
+         UNION ALL SELECT n_reply FROM truthy UNION ALL SELECT p_reply FROM truthy)
+SELECT md5(text) AS text_md5, length(text) AS n_chars, count(*) AS occurrences
+FROM tx WHERE text IS NOT NULL GROUP BY text
+"""
+
+ORACLES["dataset_stats"] = TEXT_CTE + """
+, c AS (SELECT query, (n_reply IS NOT NULL)::INTEGER + (p_reply IS NOT NULL)::INTEGER AS nn FROM s)
+SELECT count(*) AS n_samples, count(DISTINCT query) AS n_queries, CAST(sum(1 + nn) AS BIGINT) AS n_pairs,
+       CAST(count(*) AS BIGINT) AS n_positive, CAST(sum(nn) AS BIGINT) AS n_negative FROM c
+"""
+
+_content = (f"{_q('<Instruct>: ' + DEFAULT_INSTRUCTION + chr(10) + '<Query>: ')} || query || "
+            f"{_q(chr(10) + '<Document>: ')} || passage")
+
+ORACLES["prompt_messages"] = TEXT_CTE + f"""
+SELECT conv_id, turn, side, pos, CAST(2 AS BIGINT) AS n_messages, md5({_q(RERANK_SYSTEM_PROMPT)}) AS system_md5,
+       'user' AS user_role, md5({_content}) AS user_md5, length({_content}) AS user_chars
+FROM tp
+"""
+
+_suffix = "[" + ", ".join(str(i) for i in suffix_token_ids(ASSISTANT_SUFFIX)) + "]"
+ORACLES["truncate_suffix"] = TEXT_CTE + f"""
+, ids AS (SELECT conv_id, turn, side, pos,
+                 list_transform(string_split({_content}, ''), lambda ch: unicode(ch)) AS ids FROM tp),
+tr AS (SELECT conv_id, turn, side, pos, len(ids) AS n_prompt, list_concat(ids[1:1024], {_suffix}) AS t FROM ids)
+SELECT conv_id, turn, side, pos, n_prompt, len(t) AS n_ids, CAST(list_sum(t) AS BIGINT) AS ids_sum,
+       md5(array_to_string(t, ',')) AS ids_md5 FROM tr
+"""
+
+ORACLES["text_vector_table"] = """
+SELECT md5(text) AS text_md5, min(vec_id) AS vec_id, count(*) AS n_rows
+FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id GROUP BY text
+"""
+
+ORACLES["missing_vector_report"] = """
+WITH tv AS (SELECT DISTINCT text FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id)
+SELECT doc_id, md5(text) AS text_md5, length(text) AS n_chars FROM documents d
+WHERE NOT EXISTS (SELECT 1 FROM tv WHERE tv.text = d.text)
+"""

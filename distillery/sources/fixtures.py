@@ -47,8 +47,8 @@ def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def judged_vector_pairs(spark: SparkSession, sf_dir: str, window: int = CANDIDATE_WINDOW) -> DataFrame:
-    """``qid, pid, rel, side, domain, seq, teacher, before, after`` (scores fixed to 9 decimals).
+def vector_pair_candidates(spark: SparkSession, sf_dir: str, window: int = CANDIDATE_WINDOW) -> DataFrame:
+    """The banded candidate join with both sides' vectors attached (``q_*`` / ``p_*``).
 
     The band ``pid in (qid, qid + window]`` is an equi-join on ``qid + offset``: the
     offsets are exploded on the query side, which is the only replication (``window``x).
@@ -56,18 +56,23 @@ def judged_vector_pairs(spark: SparkSession, sf_dir: str, window: int = CANDIDAT
     vecs = embedding_vectors(spark, sf_dir)
     q = vecs.select(
         F.col("vec_id").alias("qid"), F.col("label").alias("qlabel"),
-        F.col("v").alias("qv"), F.col("n").alias("qn"),
-        F.col("v1").alias("qv1"), F.col("n1").alias("qn1"),
-        F.col("v2").alias("qv2"), F.col("n2").alias("qn2"),
+        F.col("v").alias("q_v"), F.col("n").alias("q_n"),
+        F.col("v1").alias("q_v1"), F.col("n1").alias("q_n1"),
+        F.col("v2").alias("q_v2"), F.col("n2").alias("q_n2"),
         F.explode(F.sequence(F.lit(1), F.lit(window))).alias("off"),
     ).withColumn("cand", F.col("qid") + F.col("off"))
     p = vecs.select(
         F.col("vec_id").alias("pid"), F.col("label").alias("plabel"),
-        F.col("v").alias("pv"), F.col("n").alias("pn"),
-        F.col("v1").alias("pv1"), F.col("n1").alias("pn1"),
-        F.col("v2").alias("pv2"), F.col("n2").alias("pn2"),
+        F.col("v").alias("p_v"), F.col("n").alias("p_n"),
+        F.col("v1").alias("p_v1"), F.col("n1").alias("p_n1"),
+        F.col("v2").alias("p_v2"), F.col("n2").alias("p_n2"),
     )
-    joined = q.join(p, q["cand"] == p["pid"], "inner")
+    return q.join(p, q["cand"] == p["pid"], "inner")
+
+
+def judged_vector_pairs(spark: SparkSession, sf_dir: str, window: int = CANDIDATE_WINDOW) -> DataFrame:
+    """``qid, pid, rel, side, domain, seq, teacher, before, after`` (scores fixed to 9 decimals)."""
+    joined = vector_pair_candidates(spark, sf_dir, window)
     rel = (F.col("qlabel") == F.col("plabel")).cast("int")
     return joined.select(
         "qid",
@@ -76,9 +81,9 @@ def judged_vector_pairs(spark: SparkSession, sf_dir: str, window: int = CANDIDAT
         F.when(rel == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("side"),
         F.when(F.col("qlabel") <= IN_DOMAIN_MAX_LABEL, F.lit("in")).otherwise(F.lit("out")).alias("domain"),
         F.col("pid").alias("seq"),
-        fix9(cosine("qv", "pv", "qn", "pn")).alias("teacher"),
-        fix9(cosine("qv1", "pv1", "qn1", "pn1")).alias("before"),
-        fix9(cosine("qv2", "pv2", "qn2", "pn2")).alias("after"),
+        fix9(cosine("q_v", "p_v", "q_n", "p_n")).alias("teacher"),
+        fix9(cosine("q_v1", "p_v1", "q_n1", "p_n1")).alias("before"),
+        fix9(cosine("q_v2", "p_v2", "q_n2", "p_n2")).alias("after"),
     )
 
 
