@@ -40,3 +40,24 @@ def distill_kl(
         temperature,
     )
     return triplets.groupBy(*by).agg(F.avg(kl).alias("loss"), F.count(F.lit(1)).alias("n"))
+
+
+def margin_mse_wide(triplets: DataFrame, students: dict, margin_col: str = "score") -> DataFrame:
+    """Several students in one pass: ``students = {name: (pos_col, neg_col)}`` ->
+    one row ``n, <name>...`` (one scan and one aggregation for all of them)."""
+    aggs = []
+    for name, (sp, sn) in students.items():
+        err = (F.col(sp) - F.col(sn)) - F.col(margin_col)
+        aggs.append(F.avg(err * err).alias(name))
+    return triplets.agg(F.count(F.lit(1)).alias("n"), *aggs)
+
+
+def distill_kl_wide(triplets: DataFrame, teacher_pos: str, teacher_neg: str, variants: dict) -> DataFrame:
+    """Several (student, temperature) variants in one pass:
+    ``variants = {name: (student_pos, student_neg, T)}`` -> one row ``n, <name>...``."""
+    label = F.array(F.col(teacher_pos), F.col(teacher_neg))
+    aggs = [
+        F.avg(kl_divergence_t(label, F.array(F.col(sp), F.col(sn)), temp)).alias(name)
+        for name, (sp, sn, temp) in variants.items()
+    ]
+    return triplets.agg(F.count(F.lit(1)).alias("n"), *aggs)

@@ -130,25 +130,24 @@ def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def margin_mse(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _hard(spark, sf_dir, carry=STUDENTS)
-    parts = [
-        losses.margin_mse(t, f"{m}_pos", f"{m}_neg", "score").select(F.lit(m).alias("model"), "loss", "n")
-        for m in STUDENTS
-    ]
-    out = parts[0].unionByName(parts[1])
+    # one aggregation pass computes every model's loss, then unpivot to rows
+    wide = losses.margin_mse_wide(t, {m: (f"{m}_pos", f"{m}_neg") for m in STUDENTS}, "score")
+    out = wide.unpivot(["n"], list(STUDENTS), "model", "loss")
     return out.select("model", fix6("loss").alias("loss"), "n")
 
 
 def distill_kl(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fx.judged_vector_pairs(spark, sf_dir)
     t = pairs.cross_sides(p, ["qid"], id_cols=["pid"], carry_cols=["teacher", *STUDENTS])
-    out = None
-    for m in STUDENTS:
-        for temp in KL_TEMPERATURES:
-            part = losses.distill_kl(t, "teacher_pos", "teacher_neg", f"{m}_pos", f"{m}_neg", temp).select(
-                F.lit(m).alias("model"), F.lit(temp).alias("temperature"), "loss", "n"
-            )
-            out = part if out is None else out.unionByName(part)
-    return out.select("model", "temperature", fix6("loss").alias("loss"), "n")
+    variants = {
+        f"{m}|{round(temp * 1000)}": (f"{m}_pos", f"{m}_neg", temp) for m in STUDENTS for temp in KL_TEMPERATURES
+    }
+    wide = losses.distill_kl_wide(t, "teacher_pos", "teacher_neg", variants)
+    long = wide.unpivot(["n"], list(variants), "variant", "loss")
+    parts = F.split("variant", "[|]")
+    return long.select(
+        parts[0].alias("model"), (parts[1].cast("double") / F.lit(1000.0)).alias("temperature"), fix6("loss").alias("loss"), "n"
+    )
 
 
 # ---- text samples (conversations) ------------------------------------------------------
