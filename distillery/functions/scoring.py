@@ -50,3 +50,23 @@ def kl_divergence_t(teacher_scores, student_scores, temperature: float = 1.0) ->
     terms = F.zip_with(lt, ls, lambda a, b: F.when(F.exp(a) > 0, F.exp(a) * (a - b)).otherwise(F.lit(0.0)))
     kl = F.aggregate(terms, F.lit(0.0), lambda acc, x: acc + x)
     return kl * F.lit(float(temperature) ** 2)
+
+
+def _log_softmax2(a, b, temperature: float):
+    t = F.lit(float(temperature))
+    shift = F.greatest(a, b) / t
+    lse = F.log(F.exp(a / t - shift) + F.exp(b / t - shift))
+    return a / t - shift - lse, b / t - shift - lse
+
+
+def kl_divergence_pair_t(teacher_pos, teacher_neg, student_pos, student_neg, temperature: float = 1.0) -> Column:
+    """:func:`kl_divergence_t` for two-entry labels ``[pos, neg]`` written as plain column
+    arithmetic (no lambdas), so it compiles into whole-stage codegen."""
+    if temperature <= 0:
+        raise ValueError("temperature must be positive")
+    lt = _log_softmax2(_c(teacher_pos), _c(teacher_neg), temperature)
+    ls = _log_softmax2(_c(student_pos), _c(student_neg), temperature)
+    total = F.lit(0.0)
+    for a, b in zip(lt, ls):
+        total = total + F.when(F.exp(a) > 0, F.exp(a) * (a - b)).otherwise(F.lit(0.0))
+    return total * F.lit(float(temperature) ** 2)

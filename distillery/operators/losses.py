@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from distillery.functions.scoring import kl_divergence_t
+from distillery.functions.scoring import kl_divergence_pair_t, kl_divergence_t
 
 
 def margin_mse(
@@ -34,11 +34,7 @@ def distill_kl(
 ) -> DataFrame:
     """``mean(KL(softmax(label/T) || softmax(student/T))) * T^2`` per group (batch-mean
     reduction); ``label = [teacher_pos, teacher_neg]``: ``*by, loss, n``."""
-    kl = kl_divergence_t(
-        F.array(F.col(teacher_pos), F.col(teacher_neg)),
-        F.array(F.col(student_pos), F.col(student_neg)),
-        temperature,
-    )
+    kl = kl_divergence_pair_t(teacher_pos, teacher_neg, student_pos, student_neg, temperature)
     return triplets.groupBy(*by).agg(F.avg(kl).alias("loss"), F.count(F.lit(1)).alias("n"))
 
 
@@ -55,9 +51,8 @@ def margin_mse_wide(triplets: DataFrame, students: dict, margin_col: str = "scor
 def distill_kl_wide(triplets: DataFrame, teacher_pos: str, teacher_neg: str, variants: dict) -> DataFrame:
     """Several (student, temperature) variants in one pass:
     ``variants = {name: (student_pos, student_neg, T)}`` -> one row ``n, <name>...``."""
-    label = F.array(F.col(teacher_pos), F.col(teacher_neg))
     aggs = [
-        F.avg(kl_divergence_t(label, F.array(F.col(sp), F.col(sn)), temp)).alias(name)
+        F.avg(kl_divergence_pair_t(teacher_pos, teacher_neg, sp, sn, temp)).alias(name)
         for name, (sp, sn, temp) in variants.items()
     ]
     return triplets.agg(F.count(F.lit(1)).alias("n"), *aggs)

@@ -5,8 +5,8 @@ threshold for AP (cumulative counts over a RANGE frame, whose peers are exactly
 group); for NDCG tied candidates share their mean gain; RR uses the first relevant
 candidate in (score desc, input order) order. Binary relevance, log2 discount.
 
-All windows partition by the same key (the query inside its domain/model), so the plan
-has one exchange for all of them.
+All windows partition by the same key (the query inside its domain/model) and share one
+sort, so the plan has one exchange and one sort for all of them.
 """
 
 from __future__ import annotations
@@ -43,10 +43,12 @@ def per_query_metrics(
         raise ValueError("empty_side must be 'drop' or 'zero'")
     g = list(group_cols)
     score, rel = F.col(score_col), F.col(rel_col)
+    # one partitioning, one sort: (score desc, order) serves the row numbers, and its
+    # score-desc prefix serves the RANGE frames (cumulative counts; tie-group peers)
     w_rank = Window.partitionBy(*g).orderBy(score.desc(), F.col(order_col).asc())
-    w_cum = Window.partitionBy(*g).orderBy(score.desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    w_tie = Window.partitionBy(*g, score_col)
-    w_ideal = Window.partitionBy(*g).orderBy(rel.desc(), F.col(order_col).asc())
+    w_peer = Window.partitionBy(*g).orderBy(score.desc())
+    w_cum = w_peer.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w_tie = w_peer.rangeBetween(Window.currentRow, Window.currentRow)
     a = judged.select(
         *g,
         rel.alias("_rel"),
@@ -54,23 +56,30 @@ def per_query_metrics(
         F.sum(rel).over(w_cum).alias("_cr"),
         F.count(F.lit(1)).over(w_cum).alias("_cn"),
         F.avg(rel).over(w_tie).alias("_g"),
-        F.row_number().over(w_ideal).alias("_irn"),
     )
-    r, rn, irn = F.col("_rel"), F.col("_rn"), F.col("_irn")
+    r, rn = F.col("_rel"), F.col("_rn")
     n_rel = F.sum(r)
     ap = F.sum(F.when(r == 1, F.col("_cr").cast("double") / F.col("_cn")).otherwise(F.lit(0.0))) / F.nullif(
         n_rel.cast("double"), F.lit(0.0)
     )
     rr = F.coalesce(F.max(F.when((r == 1) & (rn <= k), F.lit(1.0) / rn)), F.lit(0.0))
     dcg = F.sum(F.when(rn <= k, F.col("_g") / _log2(rn + 1)).otherwise(F.lit(0.0)))
-    idcg = F.sum(F.when(irn <= k, r / _log2(irn + 1)).otherwise(F.lit(0.0)))
-    out = a.groupBy(*g).agg(
+    per_q = a.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n_cand"),
         n_rel.cast("long").alias("n_rel"),
         ap.alias("ap"),
         rr.alias("rr"),
-        (dcg / F.nullif(idcg, F.lit(0.0))).alias("ndcg"),
+        dcg.alias("_dcg"),
     )
+    # ideal DCG with binary gains is closed-form in the number of relevant candidates:
+    # sum_{i=1..min(n_rel, k)} 1 / log2(i + 1) -- no second ranking of the candidates
+    ideal = F.aggregate(
+        F.sequence(F.lit(1), F.least(F.col("n_rel").cast("int"), F.lit(k))),
+        F.lit(0.0),
+        lambda acc, i: acc + F.lit(1.0) / _log2(i + 1),
+    )
+    idcg = F.when(F.col("n_rel") > 0, ideal)
+    out = per_q.select(*g, "n_cand", "n_rel", "ap", "rr", (F.col("_dcg") / idcg).alias("ndcg"))
     if empty_side == "drop":
         return out.filter((F.col("n_rel") > 0) & (F.col("n_rel") < F.col("n_cand")))
     return out.select(

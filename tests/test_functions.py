@@ -82,3 +82,14 @@ def test_softmax_kl(spark, T):
     for (t, s), r in zip(rows, got):
         assert r.kl == pytest.approx(np_kl(t, s, T), rel=1e-9, abs=1e-12)
         assert sum(r.p) == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("T", [1.0, 2.0])
+def test_pair_kl_equals_array_kl(spark, T):
+    from distillery.functions.scoring import kl_divergence_pair_t
+    rows = [(0.8, 0.1, 0.3, 0.2), (500.0, -500.0, -3.0, 4.0), (0.0, 0.0, 1.0, -1.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    got = df.select(kl_divergence_pair_t("a", "b", "c", "d", T).alias("x"),
+                    kl_divergence_t(F.array("a", "b"), F.array("c", "d"), T).alias("y")).collect()
+    for r in got:
+        assert r.x == pytest.approx(r.y, rel=1e-12, abs=1e-15)
