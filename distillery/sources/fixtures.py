@@ -105,28 +105,45 @@ def teacher_logprobs(pairs: DataFrame) -> DataFrame:
 def text_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reranking samples ``conv_id, turn, query, positive array<string>, negative array<string>``.
 
-    One sample per user turn that is directly followed by an assistant turn of the same
+    One sample per user turn ``t`` directly followed by an assistant turn of the same
     conversation: ``query`` = the user text, ``positive`` = [that reply], ``negative`` =
-    the replies at the same turn of the neighbouring conversations (``conv_id - 1`` and
-    ``conv_id + 1``), missing ones left out -- so ``negative`` can be empty.
-    Three equi-joins; no grouping, so a long conversation is never gathered into one row.
+    the replies at turn ``t + 1`` of the neighbouring conversations (``conv_id + 1``, then
+    ``conv_id - 1``), missing ones left out -- so ``negative`` can be empty.
+
+    One shuffle instead of three chained joins: every assistant reply is emitted under
+    the three sample keys it serves (own sample's positive, previous conversation's
+    "next", following conversation's "prev"), every user turn under its own key, and a
+    single conditional aggregation per ``(conv_id, turn)`` assembles the sample. A key
+    receives at most four rows, so no group grows with the data.
     """
     conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    users = conv.filter(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("query"))
-    replies = conv.filter(F.col("role") == "assistant").select(
-        F.col("conv_id").alias("r_conv"), F.col("turn").alias("r_turn"), F.col("text").alias("reply")
-    )
-    s = users.join(
-        replies, (replies["r_conv"] == users["conv_id"]) & (replies["r_turn"] == users["turn"] + 1), "inner"
-    ).select("conv_id", "turn", "query", "reply")
-    nxt = replies.select(
-        F.col("r_conv").alias("n_conv"), F.col("r_turn").alias("n_turn"), F.col("reply").alias("n_reply")
+    users = conv.filter(F.col("role") == "user").select(
+        "conv_id", "turn", F.lit("user").alias("kind"), "text"
     )
-    prv = replies.select(
-        F.col("r_conv").alias("p_conv"), F.col("r_turn").alias("p_turn"), F.col("reply").alias("p_reply")
+    replies = conv.filter(F.col("role") == "assistant").select(
+        F.col("conv_id").alias("c"), F.col("turn").alias("t"), "text",
+        F.explode(F.array(
+            F.struct(F.lit("pos").alias("kind"), F.lit(0).alias("shift")),
+            F.struct(F.lit("next").alias("kind"), F.lit(-1).alias("shift")),
+            F.struct(F.lit("prev").alias("kind"), F.lit(1).alias("shift")),
+        )).alias("e"),
+    ).select(
+        (F.col("c") + F.col("e.shift")).alias("conv_id"), (F.col("t") - 1).alias("turn"),
+        F.col("e.kind").alias("kind"), "text",
     )
-    s = s.join(nxt, (nxt["n_conv"] == s["conv_id"] + 1) & (nxt["n_turn"] == s["turn"] + 1), "left")
-    s = s.join(prv, (prv["p_conv"] == s["conv_id"] - 1) & (prv["p_turn"] == s["turn"] + 1), "left")
+    rows = users.unionByName(replies)
+
+    def pick(kind: str):
+        return F.max(F.when(F.col("kind") == kind, F.col("text")))
+
+    def has(kind: str):
+        return F.max((F.col("kind") == kind).cast("int"))
+
+    s = rows.groupBy("conv_id", "turn").agg(
+        has("user").alias("_has_user"), has("pos").alias("_has_pos"),
+        pick("user").alias("query"), pick("pos").alias("reply"),
+        pick("next").alias("n_reply"), pick("prev").alias("p_reply"),
+    ).filter((F.col("_has_user") == 1) & (F.col("_has_pos") == 1))
     return s.select(
         "conv_id",
         "turn",
