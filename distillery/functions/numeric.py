@@ -18,7 +18,9 @@ def _c(col) -> Column:
 
 def fix_decimals(col, decimals: int) -> Column:
     scale = float(10 ** decimals)
-    return F.floor(_c(col) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    if isinstance(col, str):
+        return F.expr(f"floor(`{col}` * {scale!r}D + 0.5D) / {scale!r}D")
+    return F.floor(col * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
 
 
 def fix9(col) -> Column:
