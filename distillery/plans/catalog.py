@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from distillery.functions import text as tf
 from distillery.functions.numeric import fix6
 from distillery.operators import losses, metrics, mining, pairs, report, stats, teacher
+from distillery.plans import embedding
 from distillery.sources import fixtures as fx
 
 TOP_K = 8
@@ -233,6 +234,42 @@ def embed_texts_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.md5("text").alias("text_md5"), F.size("embedding").cast("long").alias("dim"))
 
 
+# ---- documents: embedding pipeline on whole texts ---------------------------------------
+
+def _doc_triplets(spark, sf_dir):
+    samples = fx.document_samples(spark, sf_dir)
+    return embedding.soft_label_triplets(samples, fx.text_vectors(spark, sf_dir), keys=["doc_id"])
+
+
+def document_soft_label_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = _doc_triplets(spark, sf_dir)
+    return scored.select(
+        "doc_id", "pos_index", "neg_index", F.md5("negative").alias("negative_md5"),
+        F.col("label")[0].alias("label_pos"), F.col("label")[1].alias("label_neg"),
+    )
+
+
+def document_missing_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, missing = _doc_triplets(spark, sf_dir)
+    return missing.select("doc_id", "pos_index", "neg_index", F.md5("negative").alias("negative_md5"))
+
+
+def document_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mining grouped by the query *text*: exact document copies merge their candidates,
+    as lines sharing a query string do in a scored-pair file."""
+    samples = fx.document_samples(spark, sf_dir)
+    p = pairs.samples_to_pairs(samples, ["doc_id"])
+    vec = teacher.prepare_vectors(fx.text_vectors(spark, sf_dir), "text")
+    scored = teacher.score_pairs_cosine(p, vec, "query", "passage", "score", how="left")
+    side = F.when(F.col("side") == pairs.POSITIVE, F.lit(0)).otherwise(F.lit(1))
+    scored = scored.withColumn("seq", F.struct("doc_id", side.alias("side"), F.col("pos")))
+    t = mining.mine_hard_negatives(scored, ["query"], "passage", "score", "seq", TOP_K, NUM_NEGATIVES)
+    return t.select(
+        F.md5("query").alias("query_md5"), F.md5("positive").alias("positive_md5"),
+        F.md5("negative").alias("negative_md5"), "pos_rank", "neg_rank", "score",
+    )
+
+
 QUERIES = {
     "pair_cosine": pair_cosine,
     "hard_negative_triplets": hard_negative_triplets,
@@ -260,4 +297,7 @@ QUERIES = {
     "text_vector_table": text_vector_table,
     "missing_vector_report": missing_vector_report,
     "embed_texts_pandas": embed_texts_pandas,
+    "document_soft_label_triplets": document_soft_label_triplets,
+    "document_missing_triplets": document_missing_triplets,
+    "document_hard_negatives": document_hard_negatives,
 }

@@ -16,18 +16,19 @@ KEYS = ["source_file", "seq"]
 
 
 def soft_label_triplets(samples: DataFrame, vectors: DataFrame, text_col: str = "text",
-                        vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
+                        vec_col: str = "embedding", keys=KEYS) -> tuple[DataFrame, DataFrame]:
     """``(scored, missing)``: scored rows ``source_file, query, positive, negative, label``
     (``label = [cos(q, pos), cos(q, neg)]``); ``missing`` lists triplets where any of the
     three texts has no vector. ``samples`` should already be truthy-filtered."""
     vec = teacher.prepare_vectors(vectors, text_col, vec_col)
-    p = pairs.samples_to_pairs(samples, KEYS)
+    keys = list(keys)
+    p = pairs.samples_to_pairs(samples, keys)
     scored = teacher.score_pairs_cosine(p, vec, "query", "passage", "score", how="left")
-    trip = pairs.cross_sides(scored, KEYS, id_cols=["pos", "passage"], carry_cols=["score", "query"])
+    trip = pairs.cross_sides(scored, keys, id_cols=["pos", "passage"], carry_cols=["score", "query"])
     out = trip.select(
-        "source_file", F.col("query_pos").alias("query"),
+        *keys, F.col("query_pos").alias("query"),
         F.col("passage_pos").alias("positive"), F.col("passage_neg").alias("negative"),
-        F.col("pos_pos").alias("pos_index"), F.col("pos_neg").alias("neg_index"), "seq",
+        F.col("pos_pos").alias("pos_index"), F.col("pos_neg").alias("neg_index"),
         F.array(F.col("score_pos"), F.col("score_neg")).alias("label"),
     )
     ok = F.col("label")[0].isNotNull() & F.col("label")[1].isNotNull()

@@ -293,3 +293,46 @@ WITH tv AS (SELECT DISTINCT text FROM documents d JOIN embeddings e ON d.doc_id
 SELECT doc_id, md5(text) AS text_md5, length(text) AS n_chars FROM documents d
 WHERE NOT EXISTS (SELECT 1 FROM tv WHERE tv.text = d.text)
 """
+
+# ---- documents: samples from neighbouring documents, text -> vector by exact text --------
+
+DOC_CTE = f"""
+WITH d AS (SELECT doc_id, text FROM documents),
+smp AS (SELECT q.doc_id, q.text AS query, p.text AS p1, n1.text AS n1, n2.text AS n2
+        FROM d q JOIN d p ON p.doc_id = q.doc_id + 1
+        LEFT JOIN d n1 ON n1.doc_id = q.doc_id + 2
+        LEFT JOIN d n2 ON n2.doc_id = q.doc_id + 3),
+dp AS (SELECT doc_id, query, 'positive' AS side, 0 AS pos, p1 AS passage FROM smp WHERE p1 IS NOT NULL
+       UNION ALL SELECT doc_id, query, 'negative', 0, n1 FROM smp WHERE n1 IS NOT NULL
+       UNION ALL SELECT doc_id, query, 'negative', CASE WHEN n1 IS NULL THEN 0 ELSE 1 END, n2
+         FROM smp WHERE n2 IS NOT NULL),
+tv AS (SELECT text, arg_min(CAST(embedding AS DOUBLE[]), vec_id) AS v
+       FROM documents JOIN embeddings ON doc_id = vec_id GROUP BY text),
+tvn AS (SELECT text, v, sqrt(list_dot_product(v, v)) AS n FROM tv),
+sp AS (SELECT dp.*, {_fix('list_dot_product(a.v, b.v) / (greatest(a.n, 1e-8) * greatest(b.n, 1e-8))')} AS score
+       FROM dp LEFT JOIN tvn a ON a.text = dp.query LEFT JOIN tvn b ON b.text = dp.passage),
+tri AS (SELECT a.doc_id, a.pos AS pos_index, b.pos AS neg_index, b.passage AS negative,
+               a.score AS label_pos, b.score AS label_neg
+        FROM sp a JOIN sp b ON a.doc_id = b.doc_id WHERE a.side = 'positive' AND b.side = 'negative')
+"""
+
+ORACLES["document_soft_label_triplets"] = DOC_CTE + """
+SELECT doc_id, pos_index, neg_index, md5(negative) AS negative_md5, label_pos, label_neg FROM tri
+WHERE label_pos IS NOT NULL AND label_neg IS NOT NULL
+"""
+
+ORACLES["document_missing_triplets"] = DOC_CTE + """
+SELECT doc_id, pos_index, neg_index, md5(negative) AS negative_md5 FROM tri
+WHERE label_pos IS NULL OR label_neg IS NULL
+"""
+
+ORACLES["document_hard_negatives"] = DOC_CTE + f"""
+, r AS (SELECT query, passage, score,
+               row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id,
+                                  CASE WHEN side = 'positive' THEN 0 ELSE 1 END, pos) AS rk
+        FROM sp WHERE score IS NOT NULL AND NOT isnan(score))
+SELECT md5(a.query) AS query_md5, md5(a.passage) AS positive_md5, md5(b.passage) AS negative_md5,
+       a.rk AS pos_rank, b.rk AS neg_rank, {_fix('a.score - b.score')} AS score
+FROM r a JOIN r b ON a.query = b.query AND b.rk > a.rk AND b.rk <= a.rk + 4
+WHERE a.rk <= 8 AND a.passage <> b.passage AND a.score - b.score > 0
+"""

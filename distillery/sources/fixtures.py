@@ -180,6 +180,38 @@ def text_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
+def document_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reranking samples over ``documents``: ``doc_id, query, positive[1], negative[<=2]``.
+
+    The query is document ``d``'s whole text, the positive the text of ``d + 1``, the
+    negatives the texts of ``d + 2`` and ``d + 3`` (ids that do not exist are left out).
+    Exact copies among documents make the same query text recur across samples, and
+    documents without a vector exercise the missing-vector path. One shuffle: each
+    document is emitted under the (at most four) sample keys it serves.
+    """
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    rows = docs.select(
+        "text",
+        F.explode(F.array(*[
+            F.struct((F.col("doc_id") - k).alias("sample"), F.lit(k).alias("slot")) for k in range(4)
+        ])).alias("e"),
+    ).select(F.col("e.sample").alias("doc_id"), F.col("e.slot").alias("slot"), "text")
+
+    def pick(k: int):
+        return F.max(F.when(F.col("slot") == k, F.col("text")))
+
+    s = rows.groupBy("doc_id").agg(
+        F.max((F.col("slot") == 0).cast("int")).alias("_has_q"),
+        F.max((F.col("slot") == 1).cast("int")).alias("_has_p"),
+        pick(0).alias("query"), pick(1).alias("p1"), pick(2).alias("n1"), pick(3).alias("n2"),
+    ).filter((F.col("_has_q") == 1) & (F.col("_has_p") == 1))
+    return s.select(
+        "doc_id", "query", F.array("p1").alias("positive"),
+        F.filter(F.array("n1", "n2"), lambda x: x.isNotNull()).alias("negative"),
+    )
+
+
 @view
 def documents_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, text, vec_id, embedding``: documents that have a vector (``doc_id = vec_id``)."""
