@@ -106,3 +106,20 @@ def test_streaming_pairs_and_triplets(spark, tmp_path):
     q2 = streaming.start_triplet_stream(spark, str(sp), str(tmp_path / "trip"), str(tmp_path / "ck2"), 2, 2)
     q2.awaitTermination(120)
     assert spark.read.json(str(tmp_path / "trip")).count() == 4
+
+
+def test_student_models_evaluation(spark, tmp_path):
+    p = write(tmp_path / "s.jsonl", SAMPLES)
+    samples = jsonl.read_samples(spark, [p], mode="strict")
+    judged = evaluation.judged_from_samples(samples, domain="test")
+    scorers = {
+        "before": evaluation.bi_encoder_scorer(teacher.hashing_embedder(ngram=2)),
+        "after": evaluation.bi_encoder_scorer(teacher.hashing_embedder(ngram=3)),
+    }
+    scored = evaluation.score_with_models(judged, scorers)
+    assert scored.count() == judged.count() == 11
+    # cross-encoder convention keeps samples with an empty side
+    rep, cmp = evaluation.evaluation_report(scored, empty_side="zero")
+    vals = rep.collect()
+    assert len(vals) == 6 and all(0.0 <= r.value <= 1.0 for r in vals)
+    assert {r.metric_label for r in cmp.collect()} == {"MAP", "MRR@10", "NDCG@10"}
