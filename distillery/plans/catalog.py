@@ -17,7 +17,6 @@ TOP_K = 8
 NUM_NEGATIVES = 4
 RANDOM_SEED = 42
 EVAL_K = 10
-PROMPT_MAX_TOKENS = 1024
 KL_TEMPERATURES = (1.0, 2.0)
 STUDENTS = ("before", "after")
 
@@ -199,15 +198,17 @@ def prompt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truncate_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _text_pairs(spark, sf_dir)
+    """Prompt token ids of whole document pairs (long texts), truncated to the teacher's
+    default limit (8,192) and followed by the assistant suffix."""
+    p = pairs.samples_to_pairs(fx.document_samples(spark, sf_dir), ["doc_id"])
     ids = tf.char_token_ids(tf.rerank_user_content("query", "passage"))
     t = p.select(
-        "conv_id", "turn", "side", "pos",
+        "doc_id", "side", "pos",
         F.size(ids).cast("long").alias("n_prompt"),
-        tf.truncate_with_suffix(ids, PROMPT_MAX_TOKENS, tf.suffix_token_ids()).alias("ids"),
+        tf.truncate_with_suffix(ids, tf.DEFAULT_MAX_TOKENS, tf.suffix_token_ids()).alias("ids"),
     )
     return t.select(
-        "conv_id", "turn", "side", "pos", "n_prompt",
+        "doc_id", "side", "pos", "n_prompt",
         F.size("ids").cast("long").alias("n_ids"),
         F.aggregate("ids", F.lit(0).cast("long"), lambda a, x: a + x).alias("ids_sum"),
         F.md5(F.array_join("ids", ",")).alias("ids_md5"),

@@ -8,7 +8,7 @@ IEEE arithmetic in both engines, unlike ``round()`` on exact half-way values.
 from __future__ import annotations
 
 from distillery.functions.text import (
-    ASSISTANT_SUFFIX, DEFAULT_INSTRUCTION, RERANK_SYSTEM_PROMPT, suffix_token_ids,
+    ASSISTANT_SUFFIX, DEFAULT_INSTRUCTION, DEFAULT_MAX_TOKENS, RERANK_SYSTEM_PROMPT, suffix_token_ids,
 )
 from distillery.sources.fixtures import (
     CANDIDATE_WINDOW, IN_DOMAIN_MAX_LABEL, LOGPROB_SCALE, TOP_LOGPROB_MIN,
@@ -274,15 +274,6 @@ SELECT conv_id, turn, side, pos, CAST(2 AS BIGINT) AS n_messages, md5({_q(RERANK
 FROM tp
 """
 
-_suffix = "[" + ", ".join(str(i) for i in suffix_token_ids(ASSISTANT_SUFFIX)) + "]"
-ORACLES["truncate_suffix"] = TEXT_CTE + f"""
-, ids AS (SELECT conv_id, turn, side, pos,
-                 list_transform(string_split({_content}, ''), lambda ch: unicode(ch)) AS ids FROM tp),
-tr AS (SELECT conv_id, turn, side, pos, len(ids) AS n_prompt, list_concat(ids[1:1024], {_suffix}) AS t FROM ids)
-SELECT conv_id, turn, side, pos, n_prompt, len(t) AS n_ids, CAST(list_sum(t) AS BIGINT) AS ids_sum,
-       md5(array_to_string(t, ',')) AS ids_md5 FROM tr
-"""
-
 ORACLES["text_vector_table"] = """
 SELECT md5(text) AS text_md5, min(vec_id) AS vec_id, count(*) AS n_rows
 FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id GROUP BY text
@@ -336,3 +327,13 @@ SELECT md5(a.query) AS query_md5, md5(a.passage) AS positive_md5, md5(b.passage)
 FROM r a JOIN r b ON a.query = b.query AND b.rk > a.rk AND b.rk <= a.rk + 4
 WHERE a.rk <= 8 AND a.passage <> b.passage AND a.score - b.score > 0
 """
+
+_suffix = "[" + ", ".join(str(i) for i in suffix_token_ids(ASSISTANT_SUFFIX)) + "]"
+ORACLES["truncate_suffix"] = DOC_CTE + f"""
+, ids AS (SELECT doc_id, side, pos,
+                 list_transform(string_split({_content}, ''), lambda ch: unicode(ch)) AS ids FROM dp),
+tr AS (SELECT doc_id, side, pos, len(ids) AS n_prompt,
+              list_concat(ids[1:{DEFAULT_MAX_TOKENS}], {_suffix}) AS t FROM ids)
+SELECT doc_id, side, pos, n_prompt, len(t) AS n_ids, CAST(list_sum(t) AS BIGINT) AS ids_sum,
+       md5(array_to_string(t, ',')) AS ids_md5 FROM tr
+"""
