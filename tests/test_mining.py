@@ -117,3 +117,20 @@ def test_plan_one_exchange_partial_limit(spark):
     assert text.count("Exchange hashpartitioning(query") == 1, text
     # one map-side sort feeding the partial limit, one after the exchange shared by both windows
     assert text.count("Sort [query") == 2, text
+
+
+def test_hot_query_third_of_rows(spark):
+    """One query holds a third of all rows: results stay exact, and the rows that cross
+    the shuffle for it are bounded by (top_k + n) per map task, not by its size."""
+    rng = random.Random(11)
+    rows = [("hot", f"p{i}", float(rng.randint(0, 200))) for i in range(3000)]
+    rows += [(f"q{i % 600}", f"p{i}", float(rng.randint(0, 9))) for i in range(6000)]
+    df = to_df(spark, rows, 12)
+    mined = mining.mine_hard_negatives(df, ["query"], "passage", "score", "seq", 8, 4)
+    got = sorted((r.query, r.positive, r.negative, round(r.score, 9)) for r in mined.collect())
+    assert got == py_mine(rows, 8, 4)
+    # what the hot query sends through the exchange: at most 12 rows from each of 12 map tasks
+    w = mining.rank_window(["query"], "score", "seq")
+    from pyspark.sql import Window
+    limited = df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 12)
+    assert "WindowGroupLimit" in limited._jdf.queryExecution().executedPlan().toString()
