@@ -32,15 +32,28 @@ def per_query_metrics(
     order_col: str = "seq",
     k: int = 10,
     empty_side: str = "drop",
+    method: str = "window",
+    num_ranges: int | None = None,
 ) -> DataFrame:
     """``*group_cols, n_cand, n_rel, ap, rr, ndcg`` -- one row per query.
 
     ``empty_side="drop"``: queries without a relevant or without an irrelevant candidate
     are left out (bi-encoder evaluation). ``"zero"``: kept; a query without a relevant
     candidate scores 0 on every metric (cross-encoder evaluation).
+
+    ``method="window"`` (default): one exchange, one sort; a query's candidates are
+    ranked inside one task, which suits evaluation groups that are one input sample.
+    ``method="split"``: no window ever holds a whole query (see :func:`_split_metrics`),
+    for judged sets where one query may carry a large share of all rows; ``num_ranges``
+    is the number of score buckets (default 1024).
     """
     if empty_side not in ("drop", "zero"):
         raise ValueError("empty_side must be 'drop' or 'zero'")
+    if method == "split":
+        out = _split_metrics(judged, list(group_cols), score_col, rel_col, order_col, k, num_ranges)
+        return _finish(out, list(group_cols), empty_side)
+    if method != "window":
+        raise ValueError("method must be 'window' or 'split'")
     g = list(group_cols)
     score, rel = F.col(score_col), F.col(rel_col)
     # one partitioning, one sort: (score desc, order) serves the row numbers, and its
@@ -71,15 +84,81 @@ def per_query_metrics(
         rr.alias("rr"),
         dcg.alias("_dcg"),
     )
-    # ideal DCG with binary gains is closed-form in the number of relevant candidates:
-    # sum_{i=1..min(n_rel, k)} 1 / log2(i + 1) -- no second ranking of the candidates
+    out = per_q.select(*g, "n_cand", "n_rel", "ap", "rr", (F.col("_dcg") / _ideal_dcg("n_rel", k)).alias("ndcg"))
+    return _finish(out, g, empty_side)
+
+
+def _ideal_dcg(n_rel_col: str, k: int):
+    """Ideal DCG with binary gains, closed-form in the number of relevant candidates:
+    ``sum_{i=1..min(n_rel, k)} 1 / log2(i + 1)`` (NULL when there is none)."""
     ideal = F.aggregate(
-        F.sequence(F.lit(1), F.least(F.col("n_rel").cast("int"), F.lit(k))),
+        F.sequence(F.lit(1), F.least(F.col(n_rel_col).cast("int"), F.lit(k))),
         F.lit(0.0),
         lambda acc, i: acc + F.lit(1.0) / _log2(i + 1),
     )
-    idcg = F.when(F.col("n_rel") > 0, ideal)
-    out = per_q.select(*g, "n_cand", "n_rel", "ap", "rr", (F.col("_dcg") / idcg).alias("ndcg"))
+    return F.when(F.col(n_rel_col) > 0, ideal)
+
+
+def _split_metrics(judged, g, score_col, rel_col, order_col, k, num_ranges):
+    """AP / RR@k / NDCG@k without ranking any query inside a single task.
+
+    * tie groups ("levels": one row per query and distinct score) come from a
+      partial + final aggregation;
+    * AP needs, per level, the candidates and relevant candidates scoring at least as
+      high. Levels are cut into score ranges by a deterministic, order-preserving bucket
+      ``floor(B * (1/2 + atan(score) / pi))`` -- a query with many levels spreads over
+      many (query, bucket) keys, and recomputing after a lost task gives identical
+      buckets. The cumulative counts are a window per (query, bucket) plus the totals of
+      the higher buckets of the query (at most ``B`` rows per query);
+    * RR@k and DCG@k need only the top ``k`` candidates (a partial ``WindowGroupLimit``
+      before the shuffle) joined to their tie group's mean gain.
+    """
+    b = int(num_ranges or 1024)
+    base = judged.select(
+        *g, F.col(score_col).alias("_s"), F.col(rel_col).cast("long").alias("_rel"), F.col(order_col).alias("_o")
+    )
+    levels = base.groupBy(*g, "_s").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rel").alias("_r"))
+    bucket = F.least(
+        F.floor(F.lit(float(b)) * (F.lit(0.5) + F.atan(F.col("_s")) / F.lit(math.pi))), F.lit(b - 1)
+    )
+    lv = levels.withColumn("_b", bucket)
+    w_local = Window.partitionBy(*g, "_b").orderBy(F.col("_s").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    local = lv.select(
+        *g, "_b", "_n", "_r",
+        F.sum("_n").over(w_local).alias("_cn"), F.sum("_r").over(w_local).alias("_cr"),
+    )
+    totals = lv.groupBy(*g, "_b").agg(F.sum("_n").alias("_pn"), F.sum("_r").alias("_pr"))
+    w_off = Window.partitionBy(*g).orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *g, "_b",
+        F.coalesce(F.sum("_pn").over(w_off), F.lit(0)).alias("_on"),
+        F.coalesce(F.sum("_pr").over(w_off), F.lit(0)).alias("_or"),
+    )
+    cum = local.join(offsets, [*g, "_b"], "inner")
+    cn = F.col("_cn") + F.col("_on")
+    cr = F.col("_cr") + F.col("_or")
+    ap_part = cum.groupBy(*g).agg(
+        F.sum(F.when(F.col("_r") > 0, F.col("_r") * cr.cast("double") / cn).otherwise(F.lit(0.0))).alias("_apn"),
+        F.sum("_r").cast("long").alias("n_rel"),
+        F.sum("_n").cast("long").alias("n_cand"),
+    )
+    w_rank = Window.partitionBy(*g).orderBy(F.col("_s").desc(), F.col("_o").asc())
+    top = base.withColumn("_rn", F.row_number().over(w_rank)).filter(F.col("_rn") <= k)
+    top = top.join(levels, [*g, "_s"], "inner")
+    rr_dcg = top.groupBy(*g).agg(
+        F.coalesce(F.max(F.when(F.col("_rel") == 1, F.lit(1.0) / F.col("_rn"))), F.lit(0.0)).alias("rr"),
+        F.sum((F.col("_r") / F.col("_n")) / _log2(F.col("_rn") + 1)).alias("_dcg"),
+    )
+    both = ap_part.join(rr_dcg, g, "inner")
+    ap = F.col("_apn") / F.nullif(F.col("n_rel").cast("double"), F.lit(0.0))
+    return both.select(
+        *g, "n_cand", "n_rel", ap.alias("ap"), "rr", (F.col("_dcg") / _ideal_dcg("n_rel", k)).alias("ndcg")
+    )
+
+
+def _finish(out: DataFrame, g, empty_side: str) -> DataFrame:
     if empty_side == "drop":
         return out.filter((F.col("n_rel") > 0) & (F.col("n_rel") < F.col("n_cand")))
     return out.select(
@@ -124,11 +203,13 @@ def rerank_report(
     k: int = 10,
     empty_side: str = "drop",
     metrics: Sequence[str] = METRIC_NAMES,
+    method: str = "window",
 ) -> DataFrame:
     """Long report ``domain, model, metric, value`` for the requested metric subset."""
     long = models_long(judged, [query_col, domain_col, rel_col, order_col], models)
     wide = rerank_metrics(
-        long, query_col, by=(domain_col, "model"), k=k, empty_side=empty_side, rel_col=rel_col, order_col=order_col
+        long, query_col, by=(domain_col, "model"), k=k, empty_side=empty_side, rel_col=rel_col, order_col=order_col,
+        method=method,
     )
     all_metrics = ("map", f"mrr@{k}", f"ndcg@{k}")
     rep = wide.unpivot([domain_col, "model"], list(all_metrics), "metric", "value")
