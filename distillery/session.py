@@ -45,11 +45,15 @@ def build_session(
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset
-    (local tests) fall back to a fresh scratch folder."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Use the cluster's shared ``spark.checkpoint.dir``. Only a local-mode session
+    (tests) without one gets a fresh scratch folder; on a cluster nothing machine-local
+    is ever used -- :func:`cut_lineage` then refuses to run until the setting exists."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            return None
         configured = tempfile.mkdtemp(prefix="distillery-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
@@ -59,7 +63,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint dir (survives executor loss;
     never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
+    if ensure_checkpoint_dir(df.sparkSession) is None:
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder before cutting lineage")
     return df.checkpoint(eager=True)
 
 
