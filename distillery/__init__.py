@@ -10,3 +10,12 @@ streaming  Structured Streaming variants of the per-sample (stateless) stages
 """
 
 __version__ = "0.1.0"
+
+import sys as _sys
+
+try:  # ship this package's Python UDF code by value: executors need not have it installed
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle; then the package must be on executors
+    pass
