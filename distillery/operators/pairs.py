@@ -16,9 +16,9 @@ POSITIVE = "positive"
 NEGATIVE = "negative"
 
 
-def _side_entries(col: str, side: str, rel: int):
+def _side_entries(col: str, side: str, rel: int, array_type: str = "array<string>"):
     return F.transform(
-        F.coalesce(F.col(col), F.array().cast("array<string>")),
+        F.coalesce(F.col(col), F.array().cast(array_type)),
         lambda x, i: F.struct(
             F.lit(side).alias("side"), i.alias("pos"), F.lit(rel).alias("rel"), x.alias("passage")
         ),
@@ -33,12 +33,17 @@ def samples_to_pairs(
     negative_col: str = "negative",
 ) -> DataFrame:
     """Flatten samples to (query, passage) pairs: all positives, then all negatives, in
-    list order. Output ``*key_cols, query, side, pos, rel, passage``.
+    list order. Output ``*key_cols, query, side, pos, rel, passage``. Passages may be
+    texts or ids (any array element type).
 
     A missing list counts as empty; NULL list elements are dropped. One pass: both lists
     are turned into one array of structs and exploded (no union, no second scan).
     """
-    entries = F.concat(_side_entries(positive_col, POSITIVE, 1), _side_entries(negative_col, NEGATIVE, 0))
+    types = dict(samples.dtypes)
+    entries = F.concat(
+        _side_entries(positive_col, POSITIVE, 1, types[positive_col]),
+        _side_entries(negative_col, NEGATIVE, 0, types[negative_col]),
+    )
     exploded = samples.select(*key_cols, F.col(query_col).alias("query"), F.explode(entries).alias("e"))
     return exploded.select(
         *key_cols, "query", "e.side", "e.pos", "e.rel", "e.passage"

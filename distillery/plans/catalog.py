@@ -242,37 +242,52 @@ def embed_texts_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- documents: embedding pipeline on whole texts ---------------------------------------
 
 def _doc_triplets(spark, sf_dir):
-    samples = fx.document_samples(spark, sf_dir)
-    return embedding.soft_label_triplets(samples, fx.text_vectors(spark, sf_dir), keys=["doc_id"])
+    """Embedding pipeline on document ids: vectors are looked up through the document
+    index (exact text -> vector), so no text crosses a shuffle after the index."""
+    samples = fx.document_sample_ids(spark, sf_dir)
+    idx = fx.document_index(spark, sf_dir)
+    return embedding.soft_label_triplets(samples, idx, "doc_id", "embedding", keys=["doc_id"], query_col="doc_id")
+
+
+def _with_md5(df: DataFrame, spark, sf_dir, id_col: str, out: str) -> DataFrame:
+    idx = fx.document_index(spark, sf_dir).select(F.col("doc_id").alias(id_col), F.col("text_md5").alias(out))
+    return df.join(idx, id_col, "inner")
 
 
 def document_soft_label_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, _ = _doc_triplets(spark, sf_dir)
+    scored = _with_md5(scored, spark, sf_dir, "negative", "negative_md5")
     return scored.select(
-        "doc_id", "pos_index", "neg_index", F.md5("negative").alias("negative_md5"),
+        "doc_id", "pos_index", "neg_index", "negative_md5",
         F.col("label")[0].alias("label_pos"), F.col("label")[1].alias("label_neg"),
     )
 
 
 def document_missing_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, missing = _doc_triplets(spark, sf_dir)
-    return missing.select("doc_id", "pos_index", "neg_index", F.md5("negative").alias("negative_md5"))
+    missing = _with_md5(missing, spark, sf_dir, "negative", "negative_md5")
+    return missing.select("doc_id", "pos_index", "neg_index", "negative_md5")
 
 
 def document_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mining grouped by the query *text*: exact document copies merge their candidates,
-    as lines sharing a query string do in a scored-pair file."""
-    samples = fx.document_samples(spark, sf_dir)
-    p = pairs.samples_to_pairs(samples, ["doc_id"])
-    vec = teacher.prepare_vectors(fx.text_vectors(spark, sf_dir), "text")
+    """Mining grouped by the query *text* (its exact-text key): document copies merge
+    their candidates, as lines sharing a query string do in a scored-pair file."""
+    idx = fx.document_index(spark, sf_dir)
+    p = pairs.samples_to_pairs(fx.document_sample_ids(spark, sf_dir), ["doc_id"], query_col="doc_id")
+    vec = teacher.prepare_vectors(idx.filter(F.col("embedding").isNotNull()), "doc_id")
     scored = teacher.score_pairs_cosine(p, vec, "query", "passage", "score", how="left")
+    keys = idx.select("doc_id", "text_key")
+    scored = (
+        scored.join(keys.withColumnRenamed("doc_id", "query").withColumnRenamed("text_key", "query_key"), "query")
+        .join(keys.withColumnRenamed("doc_id", "passage").withColumnRenamed("text_key", "passage_key"), "passage")
+    )
     side = F.when(F.col("side") == pairs.POSITIVE, F.lit(0)).otherwise(F.lit(1))
     scored = scored.withColumn("seq", F.struct("doc_id", side.alias("side"), F.col("pos")))
-    t = mining.mine_hard_negatives(scored, ["query"], "passage", "score", "seq", TOP_K, NUM_NEGATIVES)
-    return t.select(
-        F.md5("query").alias("query_md5"), F.md5("positive").alias("positive_md5"),
-        F.md5("negative").alias("negative_md5"), "pos_rank", "neg_rank", "score",
-    )
+    t = mining.mine_hard_negatives(scored, ["query_key"], "passage_key", "score", "seq", TOP_K, NUM_NEGATIVES)
+    t = _with_md5(t.withColumnRenamed("query_key", "q"), spark, sf_dir, "q", "query_md5")
+    t = _with_md5(t.withColumnRenamed("positive", "pk"), spark, sf_dir, "pk", "positive_md5")
+    t = _with_md5(t.withColumnRenamed("negative", "nk"), spark, sf_dir, "nk", "negative_md5")
+    return t.select("query_md5", "positive_md5", "negative_md5", "pos_rank", "neg_rank", "score")
 
 
 QUERIES = {

@@ -16,13 +16,21 @@ KEYS = ["source_file", "seq"]
 
 
 def soft_label_triplets(samples: DataFrame, vectors: DataFrame, text_col: str = "text",
-                        vec_col: str = "embedding", keys=KEYS) -> tuple[DataFrame, DataFrame]:
-    """``(scored, missing)``: scored rows ``source_file, query, positive, negative, label``
+                        vec_col: str = "embedding", keys=KEYS, query_col: str = "query") -> tuple[DataFrame, DataFrame]:
+    """``(scored, missing)``: scored rows ``*keys, query, positive, negative, label``
     (``label = [cos(q, pos), cos(q, neg)]``); ``missing`` lists triplets where any of the
-    three texts has no vector. ``samples`` should already be truthy-filtered."""
-    vec = teacher.prepare_vectors(vectors, text_col, vec_col)
+    three has no vector. ``samples`` should already be truthy-filtered. Queries and
+    passages may be texts or ids: ``vectors`` is keyed by ``text_col`` accordingly
+    (keying by id lets texts stay out of every shuffle)."""
     keys = list(keys)
-    p = pairs.samples_to_pairs(samples, keys)
+    p = pairs.samples_to_pairs(samples, keys, query_col=query_col)
+    return label_pairs(p, vectors, keys, text_col, vec_col)
+
+
+def label_pairs(p: DataFrame, vectors: DataFrame, keys, key_col: str = "text",
+                vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """Pair cosines, then the positive x negative product per sample (see module doc)."""
+    vec = teacher.prepare_vectors(vectors.filter(F.col(vec_col).isNotNull()), key_col, vec_col)
     scored = teacher.score_pairs_cosine(p, vec, "query", "passage", "score", how="left")
     trip = pairs.cross_sides(scored, keys, id_cols=["pos", "passage"], carry_cols=["score", "query"])
     out = trip.select(

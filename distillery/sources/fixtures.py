@@ -212,6 +212,53 @@ def document_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
+def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: ``doc_id, text_key, text_md5, vec_id, embedding``.
+
+    ``text_key`` is the smallest ``doc_id`` carrying the same text (exact-text identity as
+    a long), ``embedding`` the text's vector (the smallest ``vec_id`` among documents with
+    that text; NULL when none has one). Texts are shuffled here and nowhere downstream:
+    one partial+final aggregation by text, and one join back (a text with very many
+    copies is a skewed key that AQE's skew-join handling splits).
+    """
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    dv = docs.join(emb, docs["doc_id"] == emb["vec_id"], "left")
+    per_text = dv.groupBy("text").agg(
+        F.min("doc_id").alias("text_key"),
+        F.min("vec_id").alias("vec_id"),
+        F.min_by("embedding", "vec_id").alias("embedding"),
+    )
+    return docs.join(per_text, "text", "inner").select(
+        "doc_id", "text_key", F.md5("text").alias("text_md5"), "vec_id", "embedding"
+    )
+
+
+@view
+def document_sample_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`document_samples` by id: ``doc_id, positive array<bigint>, negative
+    array<bigint>`` (the ids of documents ``d+1`` and ``d+2``, ``d+3``) -- no text moves."""
+    ids = read_table(spark, sf_dir, "documents", ["doc_id"])
+    rows = ids.select(
+        F.col("doc_id").alias("cand"),
+        F.explode(F.array(*[
+            F.struct((F.col("doc_id") - k).alias("sample"), F.lit(k).alias("slot")) for k in range(4)
+        ])).alias("e"),
+    ).select(F.col("e.sample").alias("doc_id"), F.col("e.slot").alias("slot"), "cand")
+
+    def pick(k: int):
+        return F.max(F.when(F.col("slot") == k, F.col("cand")))
+
+    s = rows.groupBy("doc_id").agg(pick(0).alias("_q"), pick(1).alias("p1"), pick(2).alias("n1"),
+                                   pick(3).alias("n2"))
+    s = s.filter(F.col("_q").isNotNull() & F.col("p1").isNotNull())
+    return s.select(
+        "doc_id", F.array("p1").alias("positive"),
+        F.filter(F.array("n1", "n2"), lambda x: x.isNotNull()).alias("negative"),
+    )
+
+
 @view
 def documents_with_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, text, vec_id, embedding``: documents that have a vector (``doc_id = vec_id``)."""
