@@ -214,7 +214,7 @@ def document_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @view
 def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: ``doc_id, text_key, text_md5, vec_id, embedding``.
+    """One row per document: ``doc_id, text_key, text_md5, n_chars, vec_id, embedding``.
 
     ``text_key`` is the smallest ``doc_id`` carrying the same text (exact-text identity as
     a long), ``embedding`` the text's vector (the smallest ``vec_id`` among documents with
@@ -231,7 +231,8 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min_by("embedding", "vec_id").alias("embedding"),
     )
     return docs.join(per_text, "text", "inner").select(
-        "doc_id", "text_key", F.md5("text").alias("text_md5"), "vec_id", "embedding"
+        "doc_id", "text_key", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"),
+        "vec_id", "embedding",
     )
 
 
