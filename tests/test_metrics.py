@@ -102,3 +102,15 @@ def test_split_equals_window_on_fixture(spark):
     assert a.keys() == b.keys()
     for key in a:
         assert a[key] == pytest.approx(b[key], abs=1e-12)
+
+
+@pytest.mark.parametrize("parts", [1, 4, 17])
+def test_metrics_partition_invariance(spark, parts):
+    rng = random.Random(9)
+    rows = [(q, float(rng.randint(0, 3)), rng.randint(0, 1), i) for q in range(30) for i in range(rng.randint(1, 15))]
+    df = spark.createDataFrame(rows, "qid long, score double, rel int, seq long")
+    ref = {r.qid: (r.ap, r.rr, r.ndcg) for r in metrics.per_query_metrics(df.coalesce(1), ["qid"], empty_side="zero").collect()}
+    got = {r.qid: (r.ap, r.rr, r.ndcg) for r in metrics.per_query_metrics(df.repartition(parts), ["qid"], empty_side="zero").collect()}
+    assert got.keys() == ref.keys()
+    for q in ref:
+        assert got[q] == pytest.approx(ref[q], abs=1e-12)

@@ -134,3 +134,23 @@ def test_hot_query_third_of_rows(spark):
     from pyspark.sql import Window
     limited = df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= 12)
     assert "WindowGroupLimit" in limited._jdf.queryExecution().executedPlan().toString()
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_rows = st.lists(
+    st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["x", "y", "z", "w"]),
+              st.integers(min_value=-3, max_value=3).map(float)),
+    min_size=0, max_size=30,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_rows, top_k=st.integers(1, 5), n=st.integers(1, 4))
+def test_property_hard_negatives(spark, rows, top_k, n):
+    df = spark.createDataFrame([(q, p, s, i) for i, (q, p, s) in enumerate(rows)],
+                               "query string, passage string, score double, seq long")
+    got = mining.mine_hard_negatives(df, ["query"], "passage", "score", "seq", top_k, n)
+    got = sorted((r.query, r.positive, r.negative, round(r.score, 9)) for r in got.collect())
+    assert got == py_mine(rows, top_k, n)
