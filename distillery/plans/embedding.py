@@ -53,3 +53,19 @@ def embed_and_label(samples: DataFrame, embedder=None) -> tuple[DataFrame, DataF
 def soft_label_records(scored: DataFrame) -> DataFrame:
     """The training contract ``query, positive, negative, label array<float>``."""
     return scored.select("query", "positive", "negative", F.col("label").cast("array<float>").alias("label"))
+
+
+def generate_soft_label_files(spark, inputs, output_dir: str, embedder=None, suffix: str = "_soft_labels"):
+    """Soft-label stage over sample files: truthy read, embed every distinct text once,
+    label all positive x negative triplets, write one output per input file. Returns
+    ``(per-file counts, missing-vector triplets)``."""
+    from distillery.operators import stats
+    from distillery.sources import jsonl
+
+    samples = jsonl.read_samples(spark, inputs, mode="truthy")
+    scored, missing = embed_and_label(samples, embedder)
+    records = scored.select("source_file", "query", "positive", "negative",
+                            F.col("label").cast("array<float>").alias("label"))
+    jsonl.run_per_source(records, lambda d: d, output_dir, suffix)
+    counts = stats.triplet_counts(spark.read.json(output_dir), ["output"])
+    return counts, missing

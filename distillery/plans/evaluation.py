@@ -82,3 +82,17 @@ def evaluation_report(
     rep = metrics.rerank_report(judged, models, k=k, empty_side=empty_side)
     cmp = report.format_report(report.compare_runs(rep, models[0], models[1], zero_base=zero_base), style)
     return rep, cmp
+
+
+def evaluate_files(
+    spark, inputs, scorers: Mapping[str, PairScorer], domain: str | None = None, k: int = 10,
+    empty_side: str = "zero", zero_base: str = "inf", style: str = "reranker",
+):
+    """Evaluation over sample files: every model scores every candidate once (one Arrow
+    pass), metrics per (domain, model) in one grouped job, then the before/after
+    comparison of the first two models. ``domain`` defaults to the input file."""
+    from distillery.sources import jsonl
+
+    samples = jsonl.read_samples(spark, inputs, mode="strict")
+    judged = score_with_models(judged_from_samples(samples, domain), scorers)
+    return evaluation_report(judged, list(scorers), k=k, empty_side=empty_side, zero_base=zero_base, style=style)

@@ -55,6 +55,23 @@ def margin_triplets(
     raise ValueError("strategy must be 'hard' or 'random'")
 
 
+def generate_scored_pair_files(
+    spark: SparkSession, inputs, output_dir: str, scorer, suffix: str = "_scored",
+) -> DataFrame:
+    """Teacher stage over sample files: flatten every sample (strict read), score each
+    (query, passage) with a batch scorer ``(queries: pd.Series, passages: pd.Series) ->
+    array`` through ``mapInPandas``, and write one scored-pair output per input file.
+    Returns the per-file and total pair counts."""
+    from distillery.plans.evaluation import score_with_models
+
+    samples = jsonl.read_samples(spark, inputs, mode="strict")
+    p = sample_pairs(samples).withColumn("_pid", F.monotonically_increasing_id())
+    scored = score_with_models(p, {"score": scorer}, keys=["_pid"])
+    records = scored.select("source_file", "query", "passage", F.col("score").cast("double").alias("score"))
+    jsonl.run_per_source(records, lambda d: d, output_dir, suffix)
+    return stats.triplet_counts(spark.read.json(output_dir), ["output"]).withColumnRenamed("n_triplets", "n_pairs")
+
+
 def create_triplet_files(
     spark: SparkSession, inputs, output_dir: str, suffix: str = "_margin_sampled", top_k: int = 8,
     num_negatives: int = 4, strategy: str = "hard",

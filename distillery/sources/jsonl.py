@@ -144,8 +144,12 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def output_name(source_col: str = "source_file", suffix: str = "") -> F.Column:
-    """Per-input output name: ``<base><suffix><ext>`` of the input file name."""
-    base = F.element_at(F.split(F.col(source_col), "/"), -1)
+    """Per-input output name: ``<base><suffix><ext>`` of the input file name. A part file
+    of an earlier stage's output (``.../output=<name>/part-*``) counts as ``<name>``, so
+    chained stages keep the original input's name."""
+    path = F.col(source_col)
+    stage = F.regexp_extract(path, r"/output=([^/]+)/[^/]*$", 1)
+    base = F.when(stage != "", stage).otherwise(F.element_at(F.split(path, "/"), -1))
     return suffixed_path(base, suffix)
 
 

@@ -123,3 +123,25 @@ def test_student_models_evaluation(spark, tmp_path):
     vals = rep.collect()
     assert len(vals) == 6 and all(0.0 <= r.value <= 1.0 for r in vals)
     assert {r.metric_label for r in cmp.collect()} == {"MAP", "MRR@10", "NDCG@10"}
+
+
+def test_file_stages_end_to_end(spark, tmp_path):
+    """Samples -> scored pairs -> margin triplets; samples -> soft labels; evaluation."""
+    a = write(tmp_path / "train.jsonl", SAMPLES)
+    b = write(tmp_path / "test.jsonl", SAMPLES[:2])
+    lexical = lambda q, p: np.array([len(set(x.split()) & set(y.split())) for x, y in zip(q, p)], dtype=float)
+    counts = {r.output: r.n_pairs for r in reranker.generate_scored_pair_files(
+        spark, [a, b], str(tmp_path / "scored"), lexical, "_logit").collect()}
+    assert counts == {"train_logit.jsonl": 11, "test_logit.jsonl": 8, None: 19}
+    scored_files = [os.path.join(tmp_path, "scored", f"output={n}") for n in ("train_logit.jsonl", "test_logit.jsonl")]
+    tri = {r.output: r.n_triplets for r in reranker.create_triplet_files(
+        spark, scored_files, str(tmp_path / "trip"), "_margin").collect()}
+    assert tri[None] >= 1 and set(tri) == {"train_logit_margin.jsonl", "test_logit_margin.jsonl", None}
+    soft_counts, missing = embedding.generate_soft_label_files(spark, [a], str(tmp_path / "soft"))
+    assert {r.output: r.n_triplets for r in soft_counts.collect()}["train_soft_labels.jsonl"] == 8
+    assert missing.count() == 0
+    rep, cmp = evaluation.evaluate_files(spark, [b], {
+        "before": evaluation.bi_encoder_scorer(teacher.hashing_embedder(ngram=2)),
+        "after": lexical,
+    })
+    assert rep.count() == 6 and cmp.count() == 3
