@@ -35,6 +35,19 @@ HEADLINE = [
 ]
 
 
+def driver_memory() -> str:
+    """Heap for the local-mode driver: ``$BENCH_DRIVER_MEMORY`` or 60% of physical memory
+    (at most 16g), so the bench also fits small containers."""
+    if os.environ.get("BENCH_DRIVER_MEMORY"):
+        return os.environ["BENCH_DRIVER_MEMORY"]
+    try:
+        with open("/proc/meminfo") as f:
+            total_kb = next(int(line.split()[1]) for line in f if line.startswith("MemTotal"))
+        return f"{max(1, min(16, int(total_kb * 0.6 / 1024 / 1024)))}g"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -48,7 +61,7 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="distillery-bench",
         shuffle_partitions=cpus * 2,
-        extra_conf={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        extra_conf={"spark.driver.memory": driver_memory()},
     )
     spark.sparkContext.setLogLevel("ERROR")
     for name in names:  # warm-up
