@@ -227,11 +227,13 @@ def text_vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def missing_vector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose text has no vector (P8's report), read off the document index:
-    its text -> vector lookup is a left join, so a missing vector is a NULL there and
-    no second pass over the texts is needed."""
-    idx = fx.document_index(spark, sf_dir)
-    return idx.filter(F.col("vec_id").isNull()).select("doc_id", "text_md5", "n_chars")
+    """Documents whose text has no vector (P8's report): an anti-join by exact text
+    against the text -> vector table (a text with many copies is a skewed key of the
+    anti-join, which AQE splits on the document side)."""
+    docs = fx.read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    tv = fx.text_vectors(spark, sf_dir).select("text")
+    missing = docs.join(tv, "text", "left_anti")
+    return missing.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"))
 
 
 def embed_texts_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:

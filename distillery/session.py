@@ -70,3 +70,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute an intermediate once for several consumers: a reliable checkpoint into the
+    shared checkpoint dir when one is configured (lineage cut, survives executor loss),
+    otherwise a memory-and-disk persist (recomputed from lineage if blocks are lost)."""
+    from pyspark import StorageLevel
+
+    if ensure_checkpoint_dir(df.sparkSession) is not None:
+        return df.checkpoint(eager=True)
+    return df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from distillery.functions.numeric import fix9
 from distillery.functions.vectors import cosine, norm, quantize, to_double_array
 from distillery.functions.scoring import NO_TOKEN, YES_TOKEN
+from distillery.session import materialize
 from distillery.sources.tables import read_table
 
 # ---- fixture parameters ---------------------------------------------------------------
@@ -35,6 +36,14 @@ TOP_LOGPROB_MIN = -3.0         # the teacher returns only tokens with log-prob >
 # ---------------------------------------------------------------------------------------
 
 _PLANS: dict = {}
+_MATERIALIZED = {"document_index"}
+
+
+def reset_materialized() -> None:
+    """Forget materialized fixtures (they are rebuilt on next use); plans stay."""
+    for key in [k for k in _PLANS if k[0] in _MATERIALIZED]:
+        df = _PLANS.pop(key)[1]
+        df.unpersist()
 
 
 def view(fn):
@@ -220,7 +229,9 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     a long), ``embedding`` the text's vector (the smallest ``vec_id`` among documents with
     that text; NULL when none has one). Texts are shuffled here and nowhere downstream:
     one partial+final aggregation by text, and one join back (a text with very many
-    copies is a skewed key that AQE's skew-join handling splits).
+    copies is a skewed key that AQE's skew-join handling splits). The index feeds several
+    branches of each document query (query and passage lookups on both sides of the
+    positive x negative join), so it is materialized once (see ``session.materialize``).
     """
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
@@ -230,10 +241,11 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("vec_id").alias("vec_id"),
         F.min_by("embedding", "vec_id").alias("embedding"),
     )
-    return docs.join(per_text, "text", "inner").select(
+    index = docs.join(per_text, "text", "inner").select(
         "doc_id", "text_key", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"),
         "vec_id", "embedding",
     )
+    return materialize(index)
 
 
 @view
