@@ -341,3 +341,11 @@ SELECT doc_id, side, pos, n_prompt, n_ids,
        array_to_string(t[n_ids - 3:n_ids], ',') AS tail_ids
 FROM tn
 """
+
+# The embedder itself runs in Python; the oracle checks the distributed part: every
+# distinct text of the kept samples is embedded exactly once, at the embedder's dimension.
+ORACLES["embed_texts_pandas"] = TEXT_CTE + """
+, tx AS (SELECT query AS text FROM truthy UNION ALL SELECT reply FROM truthy
+         UNION ALL SELECT n_reply FROM truthy UNION ALL SELECT p_reply FROM truthy)
+SELECT md5(text) AS text_md5, CAST(64 AS BIGINT) AS dim FROM tx WHERE text IS NOT NULL GROUP BY text
+"""
