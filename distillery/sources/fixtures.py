@@ -26,7 +26,7 @@ from distillery.functions.numeric import fix9
 from distillery.functions.vectors import cosine, norm, quantize, to_double_array
 from distillery.functions.scoring import NO_TOKEN, YES_TOKEN
 from distillery.session import materialize
-from distillery.sources.tables import read_table
+from distillery.sources.tables import read_table, spread
 
 # ---- fixture parameters ---------------------------------------------------------------
 CANDIDATE_WINDOW = 24          # candidates judged per query vector
@@ -69,7 +69,7 @@ def view(fn):
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per vector with every per-vector quantity precomputed once
     (double vector, quantized copies and all norms), so pair scoring is only dot products."""
-    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"])
+    emb = spread(read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"]))
     v = emb.select("vec_id", "label", to_double_array("embedding").alias("v"))
     v = v.select("vec_id", "label", "v", quantize("v", 1).alias("v1"), quantize("v", 2).alias("v2"))
     return v.select(
