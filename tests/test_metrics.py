@@ -114,3 +114,12 @@ def test_metrics_partition_invariance(spark, parts):
     assert got.keys() == ref.keys()
     for q in ref:
         assert got[q] == pytest.approx(ref[q], abs=1e-12)
+
+
+def test_metrics_plan_one_exchange_one_sort(spark):
+    rows = [(q, float(i % 3), i % 2, i) for q in range(5) for i in range(6)]
+    df = spark.createDataFrame(rows, "qid long, score double, rel int, seq long").repartition(3)
+    pq = metrics.per_query_metrics(df, ["qid"], empty_side="zero")
+    text = pq._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(qid") == 1, text
+    assert text.count("Sort [qid") == 1, text  # all four window functions share one sort
