@@ -274,23 +274,26 @@ def document_missing_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mining grouped by the query *text* (its exact-text key): document copies merge
-    their candidates, as lines sharing a query string do in a scored-pair file."""
+    their candidates, as lines sharing a query string do in a scored-pair file. Text
+    identity and md5 come from the document index and ride through the miner, so no
+    text and no extra join follows the window."""
     idx = fx.document_index(spark, sf_dir)
     p = pairs.samples_to_pairs(fx.document_sample_ids(spark, sf_dir), ["doc_id"], query_col="doc_id")
     vec = teacher.prepare_vectors(idx.filter(F.col("embedding").isNotNull()), "doc_id")
     scored = teacher.score_pairs_cosine(p, vec, "query", "passage", "score", how="left")
-    keys = idx.select("doc_id", "text_key")
-    scored = (
-        scored.join(keys.withColumnRenamed("doc_id", "query").withColumnRenamed("text_key", "query_key"), "query")
-        .join(keys.withColumnRenamed("doc_id", "passage").withColumnRenamed("text_key", "passage_key"), "passage")
-    )
+    q_keys = idx.select(F.col("doc_id").alias("query"), F.col("text_key").alias("query_key"),
+                        F.col("text_md5").alias("query_md5"))
+    p_keys = idx.select(F.col("doc_id").alias("passage"), F.col("text_key").alias("passage_key"),
+                        F.col("text_md5").alias("md5"))
+    scored = scored.join(q_keys, "query").join(p_keys, "passage")
     side = F.when(F.col("side") == pairs.POSITIVE, F.lit(0)).otherwise(F.lit(1))
     scored = scored.withColumn("seq", F.struct("doc_id", side.alias("side"), F.col("pos")))
-    t = mining.mine_hard_negatives(scored, ["query_key"], "passage_key", "score", "seq", TOP_K, NUM_NEGATIVES)
-    t = _with_md5(t.withColumnRenamed("query_key", "q"), spark, sf_dir, "q", "query_md5")
-    t = _with_md5(t.withColumnRenamed("positive", "pk"), spark, sf_dir, "pk", "positive_md5")
-    t = _with_md5(t.withColumnRenamed("negative", "nk"), spark, sf_dir, "nk", "negative_md5")
-    return t.select("query_md5", "positive_md5", "negative_md5", "pos_rank", "neg_rank", "score")
+    t = mining.mine_hard_negatives(scored, ["query_key", "query_md5"], "passage_key", "score", "seq",
+                                   TOP_K, NUM_NEGATIVES, carry_cols=["md5"])
+    return t.select(
+        "query_md5", F.col("md5_pos").alias("positive_md5"), F.col("md5_neg").alias("negative_md5"),
+        "pos_rank", "neg_rank", "score",
+    )
 
 
 QUERIES = {

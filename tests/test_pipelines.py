@@ -145,3 +145,17 @@ def test_file_stages_end_to_end(spark, tmp_path):
         "after": lexical,
     })
     assert rep.count() == 6 and cmp.count() == 3
+
+
+def test_streaming_triplets_per_file(spark, tmp_path):
+    """Two files with the same query, mined as they arrive: queries never merge across files."""
+    sp = tmp_path / "scored"
+    sp.mkdir()
+    write(sp / "a.jsonl", [{"query": "q", "passage": f"a{i}", "score": float(i)} for i in range(3)])
+    write(sp / "b.jsonl", [{"query": "q", "passage": f"b{i}", "score": float(10 + i)} for i in range(3)])
+    q = streaming.start_triplet_stream(spark, str(sp), str(tmp_path / "trip"), str(tmp_path / "ck"), 8, 4)
+    q.awaitTermination(180)
+    rows = spark.read.json(str(tmp_path / "trip")).collect()
+    # each file alone: 3 candidates -> (2,1), (2,0), (1,0); a merged query would pair a* with b*
+    assert len(rows) == 6
+    assert all(r.positive[0] == r.negative[0] for r in rows)
