@@ -84,6 +84,17 @@ def _read(spark, paths, schema, mode: str, on_missing: str, min_partitions: int
     return df
 
 
+def _touch(array_cols) -> F.Column:
+    """An always-false predicate that references every list field. JSON parsing is pruned
+    to the referenced fields, and a type error in an unreferenced field does not mark the
+    record corrupt -- so without this, the good/quarantined split would depend on which
+    columns a consumer selects. ``size`` of a parsed array is never below -1."""
+    cond = F.lit(False)
+    for c in array_cols:
+        cond = cond | (F.size(F.col(c)) < -1)
+    return cond
+
+
 def read_samples(
     spark: SparkSession, paths, mode: str = "strict", on_missing: str = "skip", min_partitions: int | None = None,
 ):
@@ -104,7 +115,7 @@ def read_samples(
     if mode == "truthy":
         return df.filter(all_truthy(strings=["query"], arrays=["positive", "negative"])).select(
             "query", "positive", "negative", "source_file", "seq")
-    bad = F.col(schemas.CORRUPT_COL).isNotNull() | F.col("query").isNull()
+    bad = F.col(schemas.CORRUPT_COL).isNotNull() | F.col("query").isNull() | _touch(["positive", "negative"])
     good = df.filter(~bad).select("query", *lists, "source_file", "seq")
     return good, df.filter(bad)
 

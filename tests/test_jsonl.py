@@ -97,3 +97,23 @@ def test_sinks(spark, tmp_path):
     assert counts == [176, 512, 512]
     t = jsonl.read_triplets(spark, shards, "margin")
     assert dict(t.dtypes)["score"] == "float"
+
+
+def test_lenient_samples_and_soft_triplets(spark, tmp_path):
+    p = write_lines(tmp_path / "s.jsonl", [
+        json.dumps({"query": "q", "positive": ["a"], "negative": ["b"]}),
+        "{broken",
+        json.dumps({"positive": ["a"]}),
+        json.dumps({"query": "q2", "positive": "not a list"}),
+    ])
+    good, bad = jsonl.read_samples(spark, [p], mode="lenient")
+    assert [r.query for r in good.collect()] == ["q"]
+    assert bad.count() == 3
+    # a consumer that selects only the query still sees the same split
+    assert good.select("query").count() == 1 and bad.select("query").count() == 3
+    t = write_lines(tmp_path / "t.jsonl", [json.dumps({"query": "q", "positive": "a", "negative": "b",
+                                                        "label": [0.25, 0.5]})])
+    soft = jsonl.read_triplets(spark, t, "soft")
+    assert dict(soft.dtypes)["label"] == "array<float>" and soft.first().label == [0.25, 0.5]
+    with pytest.raises(ValueError):
+        jsonl.read_triplets(spark, t, "other")
