@@ -109,8 +109,10 @@ def read_samples(
     lists = [F.coalesce(F.col("positive"), empty).alias("positive"),
              F.coalesce(F.col("negative"), empty).alias("negative")]
     if mode == "strict":
-        query = F.when(F.col("query").isNull(), F.raise_error(F.lit("sample without 'query'"))).otherwise(
-            F.col("query"))
+        # referencing the lists keeps them parsed, so FAILFAST sees a wrong-typed list even
+        # when a consumer selects only the query
+        missing = F.col("query").isNull() | _touch(["positive", "negative"])
+        query = F.when(missing, F.raise_error(F.lit("sample without 'query'"))).otherwise(F.col("query"))
         return df.select(query.alias("query"), *lists, "source_file", "seq")
     if mode == "truthy":
         return df.filter(all_truthy(strings=["query"], arrays=["positive", "negative"])).select(

@@ -35,6 +35,9 @@ def test_strict_reader(spark, tmp_path):
     noq = write_lines(tmp_path / "noq.jsonl", ['{"positive": ["a"]}'])
     with pytest.raises(Exception):
         jsonl.read_samples(spark, [noq], mode="strict").collect()
+    wrong = write_lines(tmp_path / "wrong.jsonl", ['{"query": "q", "positive": "not a list"}'])
+    with pytest.raises(Exception):
+        jsonl.read_samples(spark, [wrong], mode="strict").select("query").collect()
 
 
 def test_truthy_reader(spark, tmp_path):
