@@ -1,7 +1,7 @@
 """Reranking data derived from the driver tables.
 
-All derivations read whole tables and use equi-joins only (no cross joins, no id
-subsets), so their work grows linearly with the input.
+All derivations read whole tables and use equi-joins and aggregations only (no cross
+joins, no id subsets), so their work grows linearly with the input.
 
 * :func:`judged_vector_pairs` -- every ``embeddings`` row is a query, judged against the
   ``CANDIDATE_WINDOW`` vectors that follow it in ``vec_id`` order (the candidate list of
@@ -9,8 +9,12 @@ subsets), so their work grows linearly with the input.
   full vectors; two student "models" = cosine of quantized copies of the full vectors
   (``before``: 1 decimal, ``after``: 2 decimals).
 * :func:`text_samples` -- reranking samples with real text from ``conversations``.
-* :func:`text_vector_pairs_source` / :func:`text_vectors` -- ``documents`` joined to
+* :func:`documents_with_vectors` / :func:`text_vectors` -- ``documents`` joined to
   ``embeddings``; one vector per distinct text.
+* :func:`document_samples` / :func:`document_sample_ids` -- samples over ``documents``
+  (query ``d``, positive ``d+1``, negatives ``d+2``, ``d+3``), with texts or by id.
+* :func:`document_index` -- per document: exact-text key, md5, length and the text's
+  vector; materialized once, so texts leave the shuffles after it.
 * :func:`teacher_logprobs` -- yes/no top-log-probability maps of a teacher whose yes
   probability is a sigmoid of the pair's teacher cosine.
 """
