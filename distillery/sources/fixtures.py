@@ -73,7 +73,7 @@ def view(fn):
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per vector with every per-vector quantity precomputed once
     (double vector, quantized copies and all norms), so pair scoring is only dot products."""
-    emb = spread(read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"]))
+    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "label", "embedding"])
     v = emb.select("vec_id", "label", to_double_array("embedding").alias("v"))
     v = v.select("vec_id", "label", "v", quantize("v", 1).alias("v1"), quantize("v", 2).alias("v2"))
     return v.select(
@@ -92,7 +92,9 @@ def vector_pair_candidates(spark: SparkSession, sf_dir: str, window: int = CANDI
     offsets are exploded on the query side, which is the only replication (``window``x).
     """
     vecs = embedding_vectors(spark, sf_dir)
-    q = vecs.select(
+    # the query side is replicated `window` times and carries the per-pair cosine work:
+    # spread it over all cores when the input arrives in few splits
+    q = spread(vecs).select(
         F.col("vec_id").alias("qid"), F.col("label").alias("qlabel"),
         F.col("v").alias("q_v"), F.col("n").alias("q_n"),
         F.col("v1").alias("q_v1"), F.col("n1").alias("q_n1"),
