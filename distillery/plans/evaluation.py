@@ -74,6 +74,30 @@ def score_with_models(
     return metrics.score_candidates(judged, scores, keys)
 
 
+def score_inline(
+    df: DataFrame, scorers: Mapping[str, PairScorer], keep: Sequence[str],
+    query_col: str = "query", passage_col: str = "passage",
+) -> DataFrame:
+    """Like :func:`score_with_models`, when every needed column can ride through the
+    Arrow batches: ``keep`` columns plus one score column per model, one pass, no join."""
+    keep = list(keep)
+    names = list(scorers)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            out = pdf[keep].copy()
+            for name in names:
+                out[name] = np.asarray(scorers[name](pdf[query_col], pdf[passage_col]), dtype=np.float64)
+            yield out
+
+    types = dict(df.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keep] + [f"`{n}` double" for n in names])
+    cols = list(dict.fromkeys([*keep, query_col, passage_col]))
+    return df.select(*cols).mapInPandas(run, schema)
+
+
 def evaluation_report(
     judged: DataFrame, models: Sequence[str] = ("before", "after"), k: int = 10, empty_side: str = "drop",
     zero_base: str = "inf", style: str = "reranker",

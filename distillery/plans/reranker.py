@@ -62,12 +62,12 @@ def generate_scored_pair_files(
     (query, passage) with a batch scorer ``(queries: pd.Series, passages: pd.Series) ->
     array`` through ``mapInPandas``, and write one scored-pair output per input file.
     Returns the per-file and total pair counts."""
-    from distillery.plans.evaluation import score_with_models
+    from distillery.plans.evaluation import score_inline
 
     samples = jsonl.read_samples(spark, inputs, mode="strict")
-    p = sample_pairs(samples).withColumn("_pid", F.monotonically_increasing_id())
-    scored = score_with_models(p, {"score": scorer}, keys=["_pid"])
-    records = scored.select("source_file", "query", "passage", F.col("score").cast("double").alias("score"))
+    p = sample_pairs(samples)
+    # everything the output needs rides through the scorer's Arrow batches: one pass
+    records = score_inline(p, {"score": scorer}, keep=["source_file", "query", "passage"])
     jsonl.run_per_source(records, lambda d: d, output_dir, suffix)
     return stats.triplet_counts(spark.read.json(output_dir), ["output"]).withColumnRenamed("n_triplets", "n_pairs")
 
