@@ -62,7 +62,7 @@ def all_truthy(strings=(), arrays=()) -> Column:
     for c in strings:
         cond = cond & F.coalesce(F.length(_c(c)) > 0, F.lit(False))
     for c in arrays:
-        cond = cond & F.coalesce(F.size(_c(c)) > 0, F.lit(False))
+        cond = cond & _c(c).isNotNull() & F.coalesce(F.size(_c(c)) > 0, F.lit(False))
     return cond
 
 

@@ -12,8 +12,9 @@ def dataset_stats(samples: DataFrame, query_col="query", positive_col="positive"
                   approx: bool = False) -> DataFrame:
     """One row: samples, distinct queries (exact, or ``approx_count_distinct`` for very
     large inputs), candidate pairs, positives, negatives."""
-    npos = F.coalesce(F.size(positive_col), F.lit(0))
-    nneg = F.coalesce(F.size(negative_col), F.lit(0))
+    # a NULL list counts 0 (not size()'s -1 of non-ANSI sessions)
+    npos = F.when(F.col(positive_col).isNull(), F.lit(0)).otherwise(F.size(positive_col))
+    nneg = F.when(F.col(negative_col).isNull(), F.lit(0)).otherwise(F.size(negative_col))
     distinct = F.approx_count_distinct(query_col) if approx else F.count_distinct(F.col(query_col))
     return samples.agg(
         F.count(F.lit(1)).alias("n_samples"),
