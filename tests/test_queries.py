@@ -52,3 +52,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert sorted(df.columns) == sorted(rel.columns)
     assert len(rows) == len(drows)
     assert _digest(df.columns, rows) == _digest(rel.columns, drows)
+
+
+@pytest.mark.parametrize("name", ["hard_negative_triplets", "rerank_report", "document_hard_negatives"])
+def test_results_independent_of_physical_strategy(spark, name):
+    """Same rows with AQE off, broadcast joins disabled and an odd shuffle partition count."""
+    ref = sorted(map(repr, E.queries()[name](spark, SF_SMALL).collect()))
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.shuffle.partitions": "13"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        got = sorted(map(repr, E.queries()[name](spark, SF_SMALL).collect()))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == ref
