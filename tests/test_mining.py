@@ -154,3 +154,28 @@ def test_property_hard_negatives(spark, rows, top_k, n):
     got = mining.mine_hard_negatives(df, ["query"], "passage", "score", "seq", top_k, n)
     got = sorted((r.query, r.positive, r.negative, round(r.score, 9)) for r in got.collect())
     assert got == py_mine(rows, top_k, n)
+
+
+def test_random_negatives_hot_query_with_skew_split(spark):
+    rng = random.Random(4)
+    rows = [("hot", f"p{i}", float(rng.randint(0, 500))) for i in range(3000)]
+    rows += [(f"q{i % 300}", f"p{i}", float(rng.randint(0, 9))) for i in range(3000)]
+    df = to_df(spark, rows, 8)
+    ref = sorted(tuple(r) for r in mining.mine_random_negatives(df, ["query"], "passage", "score", "seq", 8, 4,
+                                                                 seed=3).collect())
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = sorted(tuple(r) for r in mining.mine_random_negatives(df, ["query"], "passage", "score", "seq", 8, 4,
+                                                                     seed=3).collect())
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == ref  # same draw whichever way the hot query is split
+    hot = [r for r in got if r[0] == "hot"]
+    assert len(hot) == 8 * 4  # 3,000 candidates: every positive draws its full 4
