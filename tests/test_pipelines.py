@@ -159,3 +159,21 @@ def test_streaming_triplets_per_file(spark, tmp_path):
     # each file alone: 3 candidates -> (2,1), (2,0), (1,0); a merged query would pair a* with b*
     assert len(rows) == 6
     assert all(r.positive[0] == r.negative[0] for r in rows)
+
+
+def test_strategy_switch_random_and_ordered(spark, tmp_path):
+    rows = [{"query": "q1", "passage": f"p{i}", "score": float(20 - i)} for i in range(12)]
+    rows += [{"query": "q0", "passage": f"r{i}", "score": float(i)} for i in range(3)]
+    good, _ = jsonl.read_scored_pairs(spark, [write(tmp_path / "s.jsonl", rows)])
+    rnd = reranker.margin_triplets(good, top_k=3, num_negatives=2, strategy="random", seed=1).collect()
+    assert {r.query for r in rnd} == {"q0", "q1"}
+    assert all(r.score > 0 for r in rnd)
+    per_pos = {}
+    for r in rnd:
+        per_pos[(r.query, r.pos_rank)] = per_pos.get((r.query, r.pos_rank), 0) + 1
+    assert max(per_pos.values()) <= 2
+    ordered = reranker.margin_triplets(good, top_k=2, num_negatives=1, ordered=True).collect()
+    # first-seen query order (q1 appears first in the file), then positive rank
+    assert [(r.query, r.pos_rank) for r in ordered] == [("q1", 1), ("q1", 2), ("q0", 1), ("q0", 2)]
+    with pytest.raises(ValueError):
+        reranker.margin_triplets(good, strategy="other")
