@@ -89,16 +89,17 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     spark = docs.sparkSession
     keep = keep or [key]
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.coalesce(F.col(text), F.lit(""))))
-    # a row's number is written down here and read ever after
-    rows = stored(docs.select(
+    # a row's number is written down here and read ever after; what is kept stays there
+    base = stored(docs.select(
         F.monotonically_increasing_id().alias("row_id"), F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         digest.alias("draw"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]))
+    rows = base.select("row_id", "source", "size", "draw")
     sources = stored(targets(rows, weights, share, most))
     n_sources, mixed = sources.agg(F.count(F.lit(1)), F.sum("target")).first()
     block = block_words(mixed or 0, n_sources)
-    by_source = sources.select("source", "sid", "source_size", "target")
-    rows = stored(rows.join(by_source, rows["source"].eqNullSafe(by_source["source"])).drop("source"))
+    by_source = sources.select(F.col("source").alias("name"), "sid", "source_size", "target")
+    rows = stored(rows.join(by_source, F.col("source").eqNullSafe(F.col("name"))).drop("source", "name"))
     taken = schedule(spark, sources, block, int((mixed or 0) / block), most).groupBy("sid", "block").agg(
         F.count(F.lit(1)).alias("times"))
     hexes = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
@@ -109,7 +110,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     words = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
     parts = pieces.select("row_id", "sid", "block", words.alias("words")).join(taken, ["sid", "block"]).groupBy(
         "row_id").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
-    return rows.join(parts, "row_id", "left").select(
+    done = rows.join(parts, "row_id", "left").select("row_id", "source_size", "target", "taken")
+    return base.join(stored(done), "row_id").select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).alias("taken"))
 
