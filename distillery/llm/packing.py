@@ -63,6 +63,21 @@ def best_pattern(values: np.ndarray, sizes: np.ndarray, capacity: int) -> tuple[
     return float(best[capacity]), pattern
 
 
+def _inverse(matrix: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination. At most 256 rows: a threaded linear algebra library, which
+    shares the driver's process with the JVM gateway, isn't worth its start here."""
+    n = len(matrix)
+    both = np.concatenate([matrix.astype(float), np.eye(n)], axis=1)
+    for i in range(n):
+        pivot = i + int(np.abs(both[i:, i]).argmax())
+        both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0
+        both -= np.outer(factor, both[i])
+    return both[:, n:]
+
+
 def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int,
                       max_pivots: int = MAX_PIVOTS) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (rows) and how often to use each, for the linear program that covers
@@ -78,19 +93,19 @@ def column_generation(demand: np.ndarray, sizes: np.ndarray, capacity: int,
         value, pattern = best_pattern(duals, sizes, capacity)
         if value <= 1 + 1e-7:
             break
-        step = inverse @ pattern
+        step = np.einsum("ij,j", inverse, pattern)
         ratio = np.where(step > 1e-9, x / np.where(step > 1e-9, step, 1), np.inf)
         out = int(ratio.argmin())
         if not np.isfinite(ratio[out]):
             break
         patterns[out] = pattern
         if pivot % 200 == 199:
-            inverse = np.linalg.inv(patterns.T.astype(float))
+            inverse = _inverse(patterns.T)
         else:
             row = inverse[out] / step[out]
             inverse -= np.outer(step, row)
             inverse[out] = row
-        x = np.maximum(inverse @ demand, 0)
+        x = np.maximum(np.einsum("ij,j", inverse, demand), 0)
     return patterns, x
 
 
