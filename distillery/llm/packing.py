@@ -183,7 +183,9 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, unit: int = CAPACITY // CLAS
 
     # ranks within each class, then each remainder's slot: the table of slots has at most
     # 256 x 256 entries, whatever the corpus
-    ranked = prefix_sum(small.filter("rest > 0"), F.lit(1), ["draw", "row_id"], "rank", ("class",), total=n_rows)
+    # in order of the draw: what the patterns leave over has the largest draws of its class
+    by_draw = lambda n: F.least(F.floor((F.col("draw").cast("double") / 2.0 ** 64 + 0.5) * n), F.lit(n - 1))
+    ranked = prefix_sum(small.filter("rest > 0"), F.lit(1), ["draw", "row_id"], "rank", ("class",), by_draw, n_rows)
     fits = F.filter("slots", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") < s["last"]))
     dealt = stored(ranked.join(F.broadcast(by_class), "class", "left").withColumn(
         "slot", F.try_element_at(fits, F.lit(1))).drop("slots"))
