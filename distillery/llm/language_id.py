@@ -158,7 +158,7 @@ class Labeller:
         size = np.fromiter(map(len, letters), np.int32, len(letters))
         scores = np.zeros((len(words), len(self.model.langs)), np.float32)
         some = np.flatnonzero(size)
-        if len(some):
+        if len(some) and self.model.langs:
             scores[some] = self.model.word_scores([letters[i] for i in some])
         self.row.update(zip(words, range(len(self.size), len(self.size) + len(words))))
         self.size = np.concatenate([self.size, size])
