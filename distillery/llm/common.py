@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from distillery.session import ensure_checkpoint_dir
 
 #: Characters of text that a Python helper holds decoded at once, besides a single row.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def shared_folder(spark) -> str:

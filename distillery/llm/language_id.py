@@ -25,7 +25,7 @@ BUCKETS = 1 << 16
 #: Labelled rows to learn from, by language (expected number; whole texts).
 SAMPLE_PER_LANG = 400
 SWITCH_PENALTY = 6.0
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 OUT_OF_SCRIPT = -60.0
 
 # First code points of the ranges that the writing systems occupy.
