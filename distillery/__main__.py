@@ -27,6 +27,10 @@ def _load(spec: str):
     return getattr(importlib.import_module(module), name)
 
 
+#: Reports have a row for each input file or metric: all are printed.
+ALL_ROWS = 1_000_000
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="distillery")
     ap.add_argument("--master", default=None, help="Spark master (default: from the launcher)")
@@ -64,16 +68,16 @@ def main(argv=None) -> None:
     spark = build_session(a.master, app_name=f"distillery-{a.stage}")
     if a.stage == "score-pairs":
         from distillery.plans.reranker import generate_scored_pair_files
-        generate_scored_pair_files(spark, a.input_files, a.output_dir, _load(a.scorer), a.output_suffix).show()
+        generate_scored_pair_files(spark, a.input_files, a.output_dir, _load(a.scorer), a.output_suffix).show(ALL_ROWS, False)
     elif a.stage == "create-triplets":
         from distillery.plans.reranker import create_triplet_files
         create_triplet_files(spark, a.input_files, a.output_dir, a.output_suffix, a.top_k, a.num_negatives,
-                             a.strategy).show()
+                             a.strategy).show(ALL_ROWS, False)
     elif a.stage == "soft-labels":
         from distillery.plans.embedding import generate_soft_label_files
         counts, missing = generate_soft_label_files(spark, a.input_files, a.output_dir, _load(a.embedder),
                                                     a.output_suffix)
-        counts.show()
+        counts.show(ALL_ROWS, False)
         print(f"triplets without a vector: {missing.count()}")
     else:
         from distillery.plans.evaluation import evaluate_files
@@ -81,9 +85,9 @@ def main(argv=None) -> None:
         zero_base = "inf" if a.style == "reranker" else "zero"
         rep, cmp = evaluate_files(spark, a.dataset, {"before": _load(a.before), "after": _load(a.after)},
                                   a.domain, a.at_k, empty, zero_base, a.style)
-        rep.orderBy("domain", "model", "metric").show(truncate=False)
+        rep.orderBy("domain", "model", "metric").show(ALL_ROWS, False)
         cmp.select("domain", "metric_label", "before_text", "after_text", "abs_text", "rel_text",
-                   "direction").orderBy("domain", "metric_label").show(truncate=False)
+                   "direction").orderBy("domain", "metric_label").show(ALL_ROWS, False)
     spark.stop()
 
 

@@ -202,10 +202,11 @@ def rerank_report(
     order_col: str = "seq",
     k: int = 10,
     empty_side: str = "drop",
-    metrics: Sequence[str] = METRIC_NAMES,
+    metrics: Sequence[str] | None = None,
     method: str = "window",
 ) -> DataFrame:
-    """Long report ``domain, model, metric, value`` for the requested metric subset."""
+    """Long report ``domain, model, metric, value`` for the requested metric subset (default:
+    all, named after ``k``). A name that isn't one of them is an error."""
     long = models_long(judged, [query_col, domain_col, rel_col, order_col], models)
     wide = rerank_metrics(
         long, query_col, by=(domain_col, "model"), k=k, empty_side=empty_side, rel_col=rel_col, order_col=order_col,
@@ -213,7 +214,10 @@ def rerank_report(
     )
     all_metrics = ("map", f"mrr@{k}", f"ndcg@{k}")
     rep = wide.unpivot([domain_col, "model"], list(all_metrics), "metric", "value")
-    return rep.filter(F.col("metric").isin(list(metrics))).withColumnRenamed(domain_col, "domain")
+    unknown = set(metrics or ()) - set(all_metrics)
+    if unknown:
+        raise ValueError(f"unknown metrics {sorted(unknown)}: there are {all_metrics}")
+    return rep.filter(F.col("metric").isin(list(metrics or all_metrics))).withColumnRenamed(domain_col, "domain")
 
 
 def score_candidates(judged: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -67,5 +67,5 @@ def generate_soft_label_files(spark, inputs, output_dir: str, embedder=None, suf
     records = scored.select("source_file", "query", "positive", "negative",
                             F.col("label").cast("array<float>").alias("label"))
     jsonl.run_per_source(records, lambda d: d, output_dir, suffix)
-    counts = stats.triplet_counts(spark.read.json(output_dir), ["output"])
+    counts = stats.triplet_counts(jsonl.written_outputs(spark, output_dir), ["output"])
     return counts, missing

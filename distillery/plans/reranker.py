@@ -37,9 +37,13 @@ def margin_triplets(
     scored_pairs: DataFrame, top_k: int = 8, num_negatives: int = 4, strategy: str = "hard", seed: int = 0,
     ordered: bool = False,
 ) -> DataFrame:
-    """Mine triplets per (source file, query); queries of different files never merge.
+    """Mine triplets per (input, query); queries of different inputs never merge. The part
+    files of one stage output (``.../output=<name>/part-*``) are one input, ordered by part.
     Output ``source_file, query, positive, negative, score`` (+ ranks)."""
     group = ["source_file", "query"]
+    scored_pairs = scored_pairs.withColumn("seq", F.struct(F.col("source_file").alias("file"), F.col("seq").alias("at")))
+    scored_pairs = scored_pairs.withColumn(
+        "source_file", F.regexp_replace("source_file", r"(/output=[^/]+)/[^/]*$", "$1/all"))
     if strategy == "hard":
         t = mining.mine_hard_negatives(scored_pairs, group, "passage", "score", "seq", top_k, num_negatives,
                                        first_seen=ordered)
@@ -69,7 +73,8 @@ def generate_scored_pair_files(
     # everything the output needs rides through the scorer's Arrow batches: one pass
     records = score_inline(p, {"score": scorer}, keep=["source_file", "query", "passage"])
     jsonl.run_per_source(records, lambda d: d, output_dir, suffix)
-    return stats.triplet_counts(spark.read.json(output_dir), ["output"]).withColumnRenamed("n_triplets", "n_pairs")
+    return stats.triplet_counts(jsonl.written_outputs(spark, output_dir), ["output"]).withColumnRenamed(
+        "n_triplets", "n_pairs")
 
 
 def create_triplet_files(
@@ -82,5 +87,4 @@ def create_triplet_files(
     trip = margin_triplets(good, top_k, num_negatives, strategy)
     records = trip.select("source_file", "query", "positive", "negative", "score")
     jsonl.run_per_source(records, lambda d: d, output_dir, suffix)
-    written = spark.read.json(output_dir)
-    return stats.triplet_counts(written, ["output"])
+    return stats.triplet_counts(jsonl.written_outputs(spark, output_dir), ["output"])

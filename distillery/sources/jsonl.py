@@ -151,8 +151,8 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     """UTF-8 JSON lines, non-ASCII unescaped, NULL fields written as ``null``. The result
     is a directory of part files. Never write NaN (Spark would emit the string "NaN")."""
     w = df.write.mode(mode).option("ignoreNullFields", "false")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    if partition_by:  # a run replaces the outputs it writes and leaves the others alone
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.json(path)
 
 
@@ -175,6 +175,12 @@ def run_per_source(
     write_jsonl(out, path, partition_by=["output"])
 
 
+def written_outputs(spark: SparkSession, path: str) -> DataFrame:
+    """The ``output`` column of what :func:`run_per_source` wrote: nothing is inferred from the
+    data, so a folder without any record is an empty table."""
+    return spark.read.schema("output string").json(path)
+
+
 def write_training_shards(df: DataFrame, path: str, rows_per_shard: int = 512, mode: str = "overwrite") -> None:
     """Training export: at most ``rows_per_shard`` rows per file (one optimizer step of
     16 x 32 = 512 triplets by default), no count or global sort needed."""

@@ -177,3 +177,32 @@ def test_strategy_switch_random_and_ordered(spark, tmp_path):
     assert [(r.query, r.pos_rank) for r in ordered] == [("q1", 1), ("q1", 2), ("q0", 1), ("q0", 2)]
     with pytest.raises(ValueError):
         reranker.margin_triplets(good, strategy="other")
+
+
+def test_query_spread_over_part_files_is_one_query(spark, tmp_path):
+    """One query on many lines: the same triplets from one part file as from many."""
+    from distillery.plans.reranker import create_triplet_files, margin_triplets
+    from distillery.sources import jsonl
+
+    pairs = spark.createDataFrame([("q", f"p{i:03d}", float(i * 37 % 200)) for i in range(200)],
+                                  "query string, passage string, score double")
+    got = []
+    for parts in (1, 4):
+        path = str(tmp_path / f"{parts}/output=in.jsonl")
+        pairs.repartitionByRange(parts, "passage").sortWithinPartitions("passage").write.json(path)
+        good, _ = jsonl.read_scored_pairs(spark, [path])
+        got.append(sorted(tuple(r) for r in margin_triplets(good, 8, 4).select(
+            "query", "positive", "negative", "score").collect()))
+    assert got[0] == got[1] and len(got[0]) == 32
+    out = str(tmp_path / "out")
+    other = str(tmp_path / "b/output=other.jsonl")
+    pairs.write.json(other)
+    one = create_triplet_files(spark, [str(tmp_path / "4/output=in.jsonl")], out)
+    assert {r.output: r.n_triplets for r in one.collect()}[None] == 32
+    create_triplet_files(spark, [other], out)
+    assert {r.output for r in jsonl.written_outputs(spark, out).distinct().collect()} == {
+        "in_margin_sampled.jsonl", "other_margin_sampled.jsonl"}
+    single = str(tmp_path / "c/output=single.jsonl")
+    pairs.limit(1).write.json(single)
+    none = create_triplet_files(spark, [single], str(tmp_path / "none"))
+    assert sum(r.n_triplets for r in none.collect()) == 0
