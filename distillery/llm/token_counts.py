@@ -14,7 +14,11 @@ so no match crosses p; patterns look ahead by one character only across white sp
 matches before p depend on the text before p alone and those after it on the text after it
 alone. NFC doesn't compose across white space, and a special string without white space
 never contains p. The same fact lets short texts be counted as a sum over the pieces
-between stable boundaries, each distinct piece being encoded once (bounded memo).
+between stable boundaries, each distinct piece being encoded once (bounded memo). Pieces also
+end between a Latin letter or digit and a stop (.,;:!?): in both patterns letters, digits and
+other signs are matched apart, only an apostrophe joins them, and a stop composes with nothing
+before it. Where the normalizer lower-cases, Latin texts are lowered before they are cut,
+unless that would make a special string.
 
 A tokenizer for which this isn't proven is applied to whole texts.
 """
@@ -24,6 +28,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +40,11 @@ from distillery.llm.common import in_slices, map_texts
 
 # The code points with the Unicode property White_Space.
 WHITE = "\t-\r\x20\x85\xa0  -     　"
-PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+# Letters and digits of ASCII and Latin-1; punctuation that no contraction begins with.
+ALNUM, STOPS = "0-9A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
+PIECE = re.compile(f"[{WHITE}]*+[^{WHITE}{STOPS}]++(?<=[{ALNUM}])(?=[{STOPS}])|[{WHITE}]*+[^{WHITE}]++|[{WHITE}]++")
+# what a lower-casing normalizer and Python's lower() agree on, one code point for one
+FOLDABLE = re.compile("[^\\x00-\\xff–—‘’“”…•€]")
 STABLE = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
 
 CHUNK_CHARS = 65_536
@@ -87,6 +96,15 @@ class Encoder:
         self.ids = lambda texts: [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
         self.spans = lambda text: model.encode(text, add_special_tokens=False)
         self.proven = _proven(path)
+        self.special = [x.content for x in model.get_added_tokens_decoder().values()]
+        self.lowers = self.proven and model.normalizer is not None
+
+    def folded(self, text: str) -> str:
+        """The text, lowered where that can't change its ids."""
+        if not self.lowers or FOLDABLE.search(text):
+            return text
+        low = text.lower()
+        return text if any(x in low for x in self.special) else low
 
 
 def spliced(encoder: Encoder, text: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS,
@@ -134,6 +152,7 @@ class Counter:
     def __init__(self, path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS):
         self.encoder, self.chunk, self.overlap = Encoder(path), chunk, overlap
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the memo before: what is asked for again moves on
 
     def _learn(self, pieces: set[str]) -> None:
         """Encode new pieces, many at a time: a piece that begins with white space may follow
@@ -142,8 +161,8 @@ class Counter:
         alone = list(pieces.difference(joined))
         for p, ids in zip(alone, self.encoder.ids(alone)):
             self.memo[p] = np.array(ids, "<u4").tobytes()
-        for i in range(0, len(joined), 4096):
-            some = joined[i:i + 4096]
+        for i in range(0, len(joined), 256):
+            some = joined[i:i + 256]
             got = self.encoder.spans("".join(some))
             ids = np.array(got.ids, "<u4").tobytes()
             starts = np.fromiter((s for s, _ in got.offsets), np.int64, len(got.ids))
@@ -155,11 +174,15 @@ class Counter:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         if not self.encoder.proven:
             return [np.array(x, "<u4").tobytes() for x in self.encoder.ids([t or "" for t in texts])]
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        memo = self.memo
-        cut = [None if t is not None and len(t) > self.chunk else PIECE.findall(t or "") for t in texts]
-        new = set().union(*(x for x in cut if x)).difference(memo)
+        if len(self.memo) > MEMO_PIECES // 2:
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        fold = self.encoder.folded
+        cut = [None if t is not None and len(t) > self.chunk else PIECE.findall(fold(t or "")) for t in texts]
+        new = set(filterfalse(memo.__contains__, chain.from_iterable(x for x in cut if x)))
+        known = new.intersection(older)
+        memo.update((p, older[p]) for p in known)
+        new -= known
         self._learn(new)
         out = [np.array(spliced(self.encoder, text, self.chunk, self.overlap), "<u4").tobytes() if pieces is None
                else b"".join(map(memo.__getitem__, pieces)) for text, pieces in zip(texts, cut)]
