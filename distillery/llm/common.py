@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -58,8 +59,21 @@ def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterat
 
 def map_texts(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow``: no shuffle, one pass over the scan's partitions."""
-    return df.mapInArrow(function, schema)
+    """``mapInArrow``: no shuffle, one pass over the scan's partitions. A task that ends hands
+    its freed memory back, as its Python worker lives on beside those of other stages."""
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        hand_back()
+
+    return df.mapInArrow(mapped, schema)
+
+
+def hand_back() -> None:
+    """Return freed memory to the system: Arrow's and, where the C library can, its own."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def prefix_sum(df: DataFrame, value: Column, key: list[str], out: str, group: tuple[str, ...] = (),

@@ -49,7 +49,7 @@ STABLE = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
 
 CHUNK_CHARS = 65_536
 OVERLAP_CHARS = 256
-MEMO_PIECES = 800_000
+MEMO_PIECES = 400_000
 MEMO_PIECE_CHARS = 64
 
 
