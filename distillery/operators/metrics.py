@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from distillery.operators.mining import quarantine_scores
+
 METRIC_NAMES = ("map", "mrr@10", "ndcg@10")
 
 
@@ -46,7 +48,11 @@ def per_query_metrics(
     ``method="split"``: no window ever holds a whole query (see :func:`_split_metrics`),
     for judged sets where one query may carry a large share of all rows; ``num_ranges``
     is the number of score buckets (default 1024).
+
+    NULL and NaN scores can't be ranked: as in mining, those candidates are left out before
+    anything is counted, in both methods (:func:`mining.quarantine_scores` returns them).
     """
+    judged, _ = quarantine_scores(judged, score_col)
     if empty_side not in ("drop", "zero"):
         raise ValueError("empty_side must be 'drop' or 'zero'")
     if method == "split":

@@ -200,19 +200,22 @@ def prompt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def truncate_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prompt token ids of whole document pairs (long texts), truncated to the teacher's
     default limit (8,192) and followed by the assistant suffix. Reported: the full prompt
-    length, the kept length, and the ids at the head, at the seam between the kept prompt
-    and the suffix, and at the tail."""
+    length, the kept length, a digest of all ids, and the ids at the head, at the seam
+    between the kept prompt and the suffix, and at the tail. An id is a code point, so the
+    length is the text's and only the kept part is turned into ids."""
     p = pairs.samples_to_pairs(fx.document_samples(spark, sf_dir), ["doc_id"])
-    ids = tf.char_token_ids(tf.rerank_user_content("query", "passage"))
+    content = tf.rerank_user_content("query", "passage")
+    ids = tf.char_token_ids(F.substring(content, 1, tf.DEFAULT_MAX_TOKENS))
     suffix = tf.suffix_token_ids()
     t = p.select(
         "doc_id", "side", "pos",
-        F.size(ids).cast("long").alias("n_prompt"),
+        F.length(content).cast("long").alias("n_prompt"),
         tf.truncate_with_suffix(ids, tf.DEFAULT_MAX_TOKENS, suffix).alias("ids"),
     ).withColumn("n_ids", F.size("ids").cast("long"))
     seam = F.greatest(F.col("n_ids") - F.lit(len(suffix) + 3), F.lit(1))
     return t.select(
         "doc_id", "side", "pos", "n_prompt", "n_ids",
+        F.md5(F.array_join("ids", ",")).alias("ids_md5"),
         F.array_join(F.slice("ids", 1, 8), ",").alias("head_ids"),
         F.array_join(F.slice("ids", seam, F.lit(8)), ",").alias("seam_ids"),
         F.array_join(F.slice("ids", -4, 4), ",").alias("tail_ids"),

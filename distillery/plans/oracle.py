@@ -336,6 +336,7 @@ tr AS (SELECT doc_id, side, pos, len(ids) AS n_prompt,
               list_concat(ids[1:{DEFAULT_MAX_TOKENS}], {_suffix}) AS t FROM ids),
 tn AS (SELECT *, len(t) AS n_ids, greatest(len(t) - {len(suffix_token_ids(ASSISTANT_SUFFIX)) + 3}, 1) AS seam FROM tr)
 SELECT doc_id, side, pos, n_prompt, n_ids,
+       md5(array_to_string(t, ',')) AS ids_md5,
        array_to_string(t[1:8], ',') AS head_ids,
        array_to_string(t[seam:seam + 7], ',') AS seam_ids,
        array_to_string(t[n_ids - 3:n_ids], ',') AS tail_ids

@@ -123,3 +123,13 @@ def test_metrics_plan_one_exchange_one_sort(spark):
     text = pq._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning(qid") == 1, text
     assert text.count("Sort [qid") == 1, text  # all four window functions share one sort
+
+
+@pytest.mark.parametrize("method", ["window", "split"])
+def test_null_and_nan_scores_take_no_part(spark, method):
+    clean = [(1, 0.9, 0, 0), (1, 0.5, 1, 1), (1, 0.1, 1, 2)]
+    schema = "qid long, score double, rel int, seq long"
+    bad = [(1, float("nan"), 1, 3), (1, None, 1, 4)]
+    row = lambda rows: metrics.per_query_metrics(
+        spark.createDataFrame(rows, schema), ["qid"], method=method).first().asDict()
+    assert row(clean + bad) == pytest.approx(row(clean))
