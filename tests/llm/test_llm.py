@@ -328,3 +328,21 @@ def test_pipeline_and_registered_oracles(spark):  # noqa: F811
         want = con.sql(entry.oracle_sql()[name])
         got = entry.queries()[name](spark, sf).select(*want.columns)
         assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want.fetchall()))
+
+
+def test_pieces_end_before_stops_and_latin_texts_are_lowered():
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from distillery.llm.token_counts import Counter
+
+    texts = ["<|ENDOFTEXT|> Hi, there's", "don't, can't.'S x", "İstanbul, ΣΑΣ. a.b,c!? 1.5, (x), _., ½. ²,", "", None,
+             "  a,  b . ,c", "Å, B.́ c;d e?̧f", "<|startoftext|>, x", "x" * 5000 + ", y", "ÉTÉ, Ça: À. ÷, ×.",
+             " '’s “Q,” — R."]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        path = public_tokenizers.path(name)
+        library, counter = Tokenizer.from_file(path), Counter(path)
+        expected = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert counter.ids(texts) == expected
+        assert counter.ids(texts) == expected  # from the memo
