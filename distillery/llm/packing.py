@@ -139,14 +139,15 @@ def plan(counts: dict[int, int], tokens: dict[int, int], unit: int, capacity: in
 
 
 def tokenized(docs: DataFrame, tokenizer: str, capacity: int, last_id: int, key: str = "doc_id",
-              text: str = "text", unit: int = CAPACITY // CLASSES) -> DataFrame:
+              text: str = "text", unit: int = CAPACITY // CLASSES, memo_pieces: int | None = None) -> DataFrame:
     """A stored row of every document: its ids' number, the CRC-32 of each whole sequence and
-    of the remainder, and the remainder's ids (little-endian, 32 bits)."""
+    of the remainder, and the remainder's ids (little-endian, 32 bits). ``memo_pieces`` bounds
+    the pieces that a Python worker remembers (about 250 bytes each)."""
     path = public_tokenizers.path(tokenizer)
     end = np.array([last_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = worker_counter(path)
+        counter = worker_counter(path, memo_pieces=memo_pieces)
         for part, texts in in_slices(batches):
             ids = [x + end for x in counter.ids(texts)]
             size, width = 4 * capacity, [len(x) // 4 for x in ids]
@@ -284,8 +285,9 @@ def _cut(rows: DataFrame, kind: str) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", last_id: int = 2, capacity: int = CAPACITY,
-                   key: str = "doc_id", text: str = "text") -> DataFrame:
+                   key: str = "doc_id", text: str = "text", memo_pieces: int | None = None) -> DataFrame:
     """Tokenize and pack every document (a null text is empty: the last id alone). Repeated
     rows are packed each for itself; null keys are kept; other columns aren't read."""
     unit = max(1, capacity // CLASSES)
-    return pack(tokenized(docs, tokenizer, capacity, last_id, key, text, unit), capacity, unit).withColumnRenamed("key", key)
+    rows = tokenized(docs, tokenizer, capacity, last_id, key, text, unit, memo_pieces)
+    return pack(rows, capacity, unit).withColumnRenamed("key", key)

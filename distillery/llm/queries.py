@@ -43,7 +43,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_table(spark, sf_dir, "documents"))
+    return pack_documents(_table(spark, sf_dir, "documents"), memo_pieces=1_000_000)
 
 
 def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,7 +18,9 @@ between stable boundaries, each distinct piece being encoded once (bounded memo)
 end between a Latin letter or digit and a stop (.,;:!?): in both patterns letters, digits and
 other signs are matched apart, only an apostrophe joins them, and a stop composes with nothing
 before it. Where the normalizer lower-cases, Latin texts are lowered before they are cut,
-unless that would make a special string.
+unless that would make a special string. A new piece of Latin letters alone, or of a space and
+such letters (where white space is dropped, a line break too), is a single match of either pattern that no normalizer changes, so its byte
+characters go straight to the library's merge model; other pieces pass the whole tokenizer.
 
 A tokenizer for which this isn't proven is applied to whole texts.
 """
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from collections.abc import Iterator
 from itertools import chain, filterfalse
 
@@ -46,6 +49,20 @@ PIECE = re.compile(f"[{WHITE}]*+[^{WHITE}{STOPS}]++(?<=[{ALNUM}])(?=[{STOPS}])|[
 # what a lower-casing normalizer and Python's lower() agree on, one code point for one
 FOLDABLE = re.compile("[^\\x00-\\xff–—‘’“”…•€]")
 STABLE = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
+# pieces that are one match: of any letters, and of those that lower-casing leaves alone
+LETTERS, LOWERED = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ÿ]+"), re.compile("[ \\n]?[a-zß-öø-ÿ]+")
+
+
+def _byte_characters() -> dict[int, str]:
+    """For each Latin-1 code point, the characters by which byte-level models write its UTF-8
+    bytes: printable bytes stand for themselves, the others follow from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    of = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(of[b] for b in chr(c).encode()) for c in range(256)}
+
+
+BYTE_CHARACTERS = _byte_characters()
 
 CHUNK_CHARS = 65_536
 OVERLAP_CHARS = 256
@@ -98,6 +115,18 @@ class Encoder:
         self.proven = _proven(path)
         self.special = [x.content for x in model.get_added_tokens_decoder().values()]
         self.lowers = self.proven and model.normalizer is not None
+        merges, self.single = model.model, LOWERED if self.lowers else LETTERS
+        if type(merges).__name__ != "BPE" or any(LETTERS.fullmatch(x) for x in self.special):
+            self.single = re.compile("(?!)")  # no piece goes straight to the model
+
+        def merged(piece: str) -> list[int]:
+            if self.lowers:  # this pattern drops white space
+                piece = piece.lstrip(" \n")
+            if not (self.lowers and piece.isascii()):
+                piece = piece.translate(BYTE_CHARACTERS)
+            return [x.id for x in merges.tokenize(piece)]
+
+        self.merged = merged
 
     def folded(self, text: str) -> str:
         """The text, lowered where that can't change its ids."""
@@ -149,18 +178,27 @@ def _common(text: str, a: list, a_base: int, b: list, b_base: int, end: int) ->
 class Counter:
     """Counts or encodes texts; keeps a bounded memo of short pieces."""
 
-    def __init__(self, path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS):
+    def __init__(self, path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, memo_pieces: int | None = None):
         self.encoder, self.chunk, self.overlap = Encoder(path), chunk, overlap
+        self.memo_pieces = MEMO_PIECES if memo_pieces is None else memo_pieces
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the memo before: what is asked for again moves on
 
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, pieces: set[str]) -> None:
         """Encode new pieces, many at a time: a piece that begins with white space may follow
         any other, as a stable boundary lies between them."""
+        single, merged, pack = self.encoder.single.fullmatch, self.encoder.merged, self.pack
+        straight = [p for p in pieces if single(p)]
+        self.memo.update((p, pack(merged(p))) for p in straight)
+        pieces = pieces.difference(straight)
         joined = [p for p in pieces if p[0].isspace() and not p[-1].isspace() and len(p) <= MEMO_PIECE_CHARS]
         alone = list(pieces.difference(joined))
         for p, ids in zip(alone, self.encoder.ids(alone)):
-            self.memo[p] = np.array(ids, "<u4").tobytes()
+            self.memo[p] = pack(ids)
         for i in range(0, len(joined), 256):
             some = joined[i:i + 256]
             got = self.encoder.spans("".join(some))
@@ -174,7 +212,7 @@ class Counter:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         if not self.encoder.proven:
             return [np.array(x, "<u4").tobytes() for x in self.encoder.ids([t or "" for t in texts])]
-        if len(self.memo) > MEMO_PIECES // 2:
+        if len(self.memo) > self.memo_pieces // 2:
             self.memo, self.older = {}, self.memo
         memo, older = self.memo, self.older
         fold = self.encoder.folded
@@ -198,9 +236,10 @@ class Counter:
 _counters: dict[tuple, Counter] = {}
 
 
-def worker_counter(path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> Counter:
-    """This Python worker's counter: its memo outlives a task, as workers are reused."""
-    key = path, chunk, overlap
+def worker_counter(path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS,
+                   memo_pieces: int | None = None) -> Counter:
+    """The counter of this task's functions (a task gets its own copy of the package, by value)."""
+    key = path, chunk, overlap, memo_pieces
     if key not in _counters:
         _counters[key] = Counter(*key)
     return _counters[key]
