@@ -59,7 +59,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", lines:
     cover = covered_lines(docs, key, text, lines).select(
         F.col("key").alias("x_key"), F.col("digest").alias("x_digest"), F.col("covered").alias("x_covered"))
     rows = docs.withColumn("x_own", F.xxhash64(F.col(text)))
-    rows = rows.join(cover, rows[key].eqNullSafe(cover["x_key"]) & (rows["x_own"] == cover["x_digest"]), "left")
+    rows = rows.join(cover.hint("merge"), rows[key].eqNullSafe(cover["x_key"]) & (rows["x_own"] == cover["x_digest"]), "left")
     line = F.split(F.col(text), "\n", -1)
     kept = F.array_join(F.filter(line, lambda x, i: ~F.array_contains("x_covered", i)), "\n")
     total = F.when(F.col(text).isNull(), 0).otherwise(F.size(line)).cast("long")

@@ -111,7 +111,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     parts = pieces.select("row_id", "sid", "block", words.alias("words")).join(taken, ["sid", "block"]).groupBy(
         "row_id").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     done = rows.join(parts, "row_id", "left").select("row_id", "source_size", "target", "taken")
-    return base.join(stored(done), "row_id").select(
+    # kept columns may be whole texts: joined by merging at every size
+    return base.join(stored(done).hint("merge"), "row_id").select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).alias("taken"))
 

@@ -245,4 +245,5 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     small = groups(rows.select("row_id", "digest", F.col(f"c{at}").alias("key"), "fp"), distance)
     keep = stored(small.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("n"), "key", "digest", "row_id"))
                                             .alias("first")).select("first.row_id"))
-    return rows.join(keep, "row_id", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+    # whole texts are joined by merging at every size: no plan that a larger table would lose
+    return rows.join(keep.hint("merge"), "row_id", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
