@@ -28,7 +28,7 @@ from distillery.llm.markov_secrets import find_secrets, scan  # noqa: E402
 from distillery.llm.markov_secrets import train as train_markov  # noqa: E402
 from distillery.llm.mixing import mix  # noqa: E402
 from distillery.llm.prefix_forest import nearest  # noqa: E402
-from distillery.llm.token_counts import Counter, spliced, token_counts  # noqa: E402
+from distillery.llm.token_counts import PIECE, Counter, Encoder, spliced, token_counts  # noqa: E402
 from distillery.llm.warc import read_warc, transactions, write_warc  # noqa: E402
 
 DOC = "doc_id long, text string"
@@ -346,3 +346,16 @@ def test_pieces_end_before_stops_and_latin_texts_are_lowered():
         expected = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
         assert counter.ids(texts) == expected
         assert counter.ids(texts) == expected  # from the memo
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_plain_words_straight_to_the_merge_model(name):
+    """Words of Latin letters, alone, after a space or a line break, among signs: the library's ids."""
+    encoder = Encoder(public_tokenizers.path(name))
+    draw = random.Random(5)
+    texts = ["".join(draw.choice("abcXYZ éÉßÿÀ×÷µªº'sS.,!? \n\t 09ſİıǅ中") for _ in range(draw.randint(1, 60))) for _ in range(3000)]
+    counter = Counter(public_tokenizers.path(name), memo_pieces=500)
+    for start in range(0, len(texts), 100):  # a small memo: pieces are learnt, kept and forgotten
+        some = texts[start:start + 100]
+        assert counter.ids(some) == [np.array(x, "<u4").tobytes() for x in encoder.ids(some)]
+    assert any(encoder.single.fullmatch(p) for p in PIECE.findall(encoder.folded("déjà vu")))
