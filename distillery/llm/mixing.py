@@ -6,6 +6,10 @@ frac(i * phi), which the cumulative targets map to a source; the slots of a sour
 ranked, and the slot of rank r takes block r modulo the number of blocks, so that a source
 is repeated only after all of it was taken. Golden-ratio points are evenly spread in every
 prefix of the schedule: each source's share holds all along, to a few blocks.
+
+A few blocks are much of a small source. A source of fewer than ``SETTLED`` blocks therefore
+has blocks of one word, and as many of them as its target: the words of its stream are taken
+in turn, over and over, until the target is met.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 GRID, STEP = 1 << 31, 1327217885
 CELLS = 4096
 CHUNK = 1 << 14
+#: Sources of fewer blocks are taken word by word, to their target.
+SETTLED = 128
 
 
 def targets(rows: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
@@ -82,7 +88,8 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     """Columns ``keep`` (default: the key) and ``size, source_size, target, taken`` of every row.
 
     ``taken`` counts the words that the scheduled blocks take of a document, repeats counted:
-    at most ``most`` x its size. A null text has size 0; null sources are one source, the
+    at most ``most`` x its size. A source of fewer than ``SETTLED`` blocks gets its target to a
+    word, a larger one to a few blocks. A null text has size 0; null sources are one source, the
     last. Of repeated rows each is a document (which of them is taken when doesn't matter).
     An empty table gives an empty mix. Reruns agree, whatever the partitioning.
     """
@@ -103,13 +110,19 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     taken = schedule(spark, sources, block, int((mixed or 0) / block), most).groupBy("sid", "block").agg(
         F.count(F.lit(1)).alias("times"))
     hexes = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
-    placed = prefix_sum(rows.filter("size > 0").select("row_id", "sid", "size", "draw"), F.col("size"),
+    placed = prefix_sum(rows.filter("size > 0").select("row_id", "sid", "size", "draw", "source_size", "target"), F.col("size"),
                         ["draw", "row_id"], "at", ("sid",), lambda n: F.floor(hexes * n / F.lit(float(1 << 32))))
-    pieces = placed.withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("at") / block), F.floor((F.col("at") + F.col("size") - 1) / block))))
+    due = F.least(F.round("target").cast("long"), F.col("source_size") * most)
+    turns, rest = F.floor(due / F.col("source_size")), due % F.col("source_size")
+    settled = turns * F.col("size") + F.least(F.greatest(rest - F.col("at"), F.lit(0)), F.col("size"))
+    placed = placed.withColumn("settled", F.when(F.ceil(F.col("source_size") / block) < SETTLED, settled))
+    first = F.floor(F.col("at") / block)
+    pieces = placed.withColumn("block", F.explode(F.when(F.col("settled").isNotNull(), F.array(first)).otherwise(
+        F.sequence(first, F.floor((F.col("at") + F.col("size") - 1) / block)))))
     words = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
-    parts = pieces.select("row_id", "sid", "block", words.alias("words")).join(taken, ["sid", "block"]).groupBy(
-        "row_id").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    parts = pieces.select("row_id", "sid", "block", "settled", words.alias("words")).join(
+        taken, ["sid", "block"], "left").groupBy("row_id").agg(
+        F.sum(F.coalesce("settled", F.col("words") * F.col("times"))).alias("taken"))
     done = rows.join(parts, "row_id", "left").select("row_id", "source_size", "target", "taken")
     return base.join(stored(done), "row_id").select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target",
