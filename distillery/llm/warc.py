@@ -7,8 +7,9 @@ separator, gzip-compressed.
 
 Reading: Spark's text reader cuts the files at the version line, so that no file is ever
 held whole. The version line can't occur inside a block that this module writes: a payload
-that contains it is sent with ``Transfer-Encoding: chunked``, cut inside the word. A piece
-whose ``Content-Length`` doesn't fit its block is marked ``complete = false``.
+that contains it is sent with ``Transfer-Encoding: chunked``, cut inside the word. Nor in a
+header: a target URI that ends in the version word has a space behind it, which belongs to the
+line's layout, not to its value, so that readers drop it. A piece whose ``Content-Length`` doesn't fit its block is marked ``complete = false``.
 
 Assembly: request and metadata records are joined to their response through the
 concurrent-to identifier, revisits to the response they refer to; one nested row a capture.
@@ -72,7 +73,8 @@ def write_warc(pages: DataFrame, path: str, date: str = "2020-01-01T00:00:00Z",
         F.concat(F.lit("Content-Length: "), F.octet_length("body").cast("string")))
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=UTF-8\r\n"), length, F.lit("\r\n\r\n"))
     block = F.concat(head, F.when(revisit, F.lit("")).when(chunked, framed).otherwise(F.col("body")))
-    own, uri, when = _urn("capture"), {"WARC-Target-URI": F.col("uri")}, {"WARC-Date": F.lit(date)}
+    apart = F.when(F.col("uri").endswith(VERSION.strip()), F.lit(" ")).otherwise(F.lit(""))
+    own, uri, when = _urn("capture"), {"WARC-Target-URI": F.concat("uri", apart)}, {"WARC-Date": F.lit(date)}
     target = F.when(revisit, _urn("capture", "last"))
     records = [
         _record(F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")), own, when | uri | {
