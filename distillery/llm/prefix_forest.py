@@ -11,7 +11,8 @@ with probability ``1 - target`` at most, (1 - p^x)^trees with p = 1 - angle / pi
 data stops deep; data without structure ascends almost to the root, as it must.
 
 Equal vectors are one row of the index; a run that is too long for one task is scored in
-chunks. Only query rows meet the runs, in blocks; nothing else is paired.
+chunks, and its queries, if they are too many, in blocks: each chunk meets each block in a
+group of its own. Only query rows meet the runs; nothing else is paired.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ from distillery.llm.common import stored
 
 TREES = 24
 TARGET = 0.95
-#: Rows of a run that are scored in one task; expected rows of the first runs.
+#: Rows of a run, and queries that meet them, in one group (expected numbers); expected rows of the first runs.
 CHUNK_ROWS = 8_192
+BLOCK_QUERIES = 4_096
 FIRST_ROWS = 64
 SEED = 20_240_601
 
@@ -80,9 +82,12 @@ def _dot(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return (rows * q).sum(axis=-1)
 
 
-def _scored(data: DataFrame, queries: DataFrame, depth: int, trees: int, k: int) -> DataFrame:
-    """``query, node, score``: of each tree's run that shares ``depth`` bits with a query, the
-    ``k`` rows nearest to it (from each chunk of a long run)."""
+GROUP = ["tree", "cell", "chunk", "block"]
+
+
+def _dealt(data: DataFrame, queries: DataFrame, depth: int, trees: int) -> tuple[DataFrame, DataFrame]:
+    """The rows and the queries that share ``depth`` bits in a tree, by ``GROUP``: every chunk
+    of a run with every block of its queries, both of bounded size."""
     cell = lambda c: F.shiftrightunsigned(c, 64 - depth) if depth else F.lit(0).cast("long")
     runs = data.select("node", "vector", F.posexplode(F.slice("rows_", 1, trees)).alias("tree", "h")).withColumn(
         "cell", cell(F.col("h")))
@@ -90,11 +95,20 @@ def _scored(data: DataFrame, queries: DataFrame, depth: int, trees: int, k: int)
                            F.posexplode(F.slice("asks", 1, trees)).alias("tree", "h")).withColumn("cell", cell(F.col("h")))
     sizes = data.select(F.posexplode(F.slice("rows_", 1, trees)).alias("tree", "h")).withColumn(
         "cell", cell(F.col("h"))).groupBy("tree", "cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).alias("chunks"))
-    sizes = stored(sizes.join(asked.select("tree", "cell").distinct(), ["tree", "cell"]))
+    sizes = stored(sizes.join(asked.groupBy("tree", "cell").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).alias("blocks")), ["tree", "cell"]))
+    each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     runs = runs.join(sizes, ["tree", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))).select(
-        "tree", "cell", "chunk", "node", "vector")
-    asked = asked.join(sizes, ["tree", "cell"]).select(
-        "tree", "cell", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "query", "asked")
+        "tree", "cell", "chunk", each("blocks").alias("block"), "node", "vector")
+    asked = asked.join(sizes, ["tree", "cell"]).withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks"))).select(
+        "tree", "cell", each("chunks").alias("chunk"), "block", "query", "asked")
+    return runs, asked
+
+
+def _scored(data: DataFrame, queries: DataFrame, depth: int, trees: int, k: int) -> DataFrame:
+    """``query, node, score``: of each tree's run that shares ``depth`` bits with a query, the
+    ``k`` rows nearest to it (from each chunk of a long run)."""
+    runs, asked = _dealt(data, queries, depth, trees)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out: tuple[list, list, list] = ([], [], [])
@@ -114,8 +128,7 @@ def _scored(data: DataFrame, queries: DataFrame, depth: int, trees: int, k: int)
         return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())],
                         ["query", "node", "score"])
 
-    keys = ["tree", "cell", "chunk"]
-    return runs.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
+    return runs.groupBy(*GROUP).cogroup(asked.groupBy(*GROUP)).applyInArrow(
         score, "query long, node long, score double")
 
 
