@@ -33,6 +33,8 @@ TARGET = 0.95
 #: Rows of a run, and queries that meet them, in one group (expected numbers); expected rows of the first runs.
 CHUNK_ROWS = 8_192
 BLOCK_QUERIES = 4_096
+#: Pairs of a query and a row that are scored exactly at once.
+PAIRS = 1 << 15
 FIRST_ROWS = 64
 SEED = 20_240_601
 
@@ -55,7 +57,7 @@ def _strings(x: np.ndarray, extra: np.ndarray, planes: np.ndarray) -> np.ndarray
 
 
 def _hashed(nodes: DataFrame, size: int, trees: int, longest: float) -> DataFrame:
-    """``node, vector, rows_`` (one string a tree) of every row, and ``asks`` (the same for its
+    """``node, least, vector, rows_`` (one string a tree) of every row, and ``asks`` (the same for its
     vector as a query) where it is one."""
     def hash_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes = _planes(size, trees)
@@ -69,12 +71,12 @@ def _hashed(nodes: DataFrame, size: int, trees: int, longest: float) -> DataFram
                 rows_ = _strings(x, extra, planes).view(np.int64)
                 asks = _strings(x, np.zeros(len(x)), planes).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(2),
+                    [part.column(0), part.column(1), part.column(2), part.column(3),
                      *[pa.array(list(v), pa.list_(pa.int64())) for v in (rows_, asks)]],
-                    ["node", "vector", "is_query", "rows_", "asks"])
+                    ["node", "vector", "is_query", "least", "rows_", "asks"])
 
-    return nodes.select("node", "vector", "is_query").mapInArrow(
-        hash_, "node long, vector array<double>, is_query boolean, rows_ array<long>, asks array<long>")
+    return nodes.select("node", "vector", "is_query", "least").mapInArrow(
+        hash_, "node long, vector array<double>, is_query boolean, least long, rows_ array<long>, asks array<long>")
 
 
 def _dot(q: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -89,7 +91,7 @@ def _dealt(data: DataFrame, queries: DataFrame, depth: int, trees: int) -> tuple
     """The rows and the queries that share ``depth`` bits in a tree, by ``GROUP``: every chunk
     of a run with every block of its queries, both of bounded size."""
     cell = lambda c: F.shiftrightunsigned(c, 64 - depth) if depth else F.lit(0).cast("long")
-    runs = data.select("node", "vector", F.posexplode(F.slice("rows_", 1, trees)).alias("tree", "h")).withColumn(
+    runs = data.select("node", "least", "vector", F.posexplode(F.slice("rows_", 1, trees)).alias("tree", "h")).withColumn(
         "cell", cell(F.col("h")))
     asked = queries.select(F.col("node").alias("query"), F.col("vector").alias("asked"),
                            F.posexplode(F.slice("asks", 1, trees)).alias("tree", "h")).withColumn("cell", cell(F.col("h")))
@@ -99,43 +101,50 @@ def _dealt(data: DataFrame, queries: DataFrame, depth: int, trees: int) -> tuple
         F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).alias("blocks")), ["tree", "cell"]))
     each = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     runs = runs.join(sizes, ["tree", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))).select(
-        "tree", "cell", "chunk", each("blocks").alias("block"), "node", "vector")
+        "tree", "cell", "chunk", each("blocks").alias("block"), "node", "least", "vector")
     asked = asked.join(sizes, ["tree", "cell"]).withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks"))).select(
         "tree", "cell", each("chunks").alias("chunk"), "block", "query", "asked")
     return runs, asked
 
 
 def _scored(data: DataFrame, queries: DataFrame, depth: int, trees: int, k: int) -> DataFrame:
-    """``query, node, score``: of each tree's run that shares ``depth`` bits with a query, the
-    ``k`` rows nearest to it (from each chunk of a long run)."""
+    """``query, node, least, score``: of each tree's run that shares ``depth`` bits with a query,
+    the ``k`` rows nearest to it (from each chunk of a long run), ties to the least key."""
     runs, asked = _dealt(data, queries, depth, trees)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, ...] = ([], [], [], [])
         if left.num_rows and right.num_rows:
             x, q = (np.array(t.column(c).combine_chunks().flatten().to_numpy(), np.float64).reshape(t.num_rows, -1)
                     for t, c in ((left, "vector"), (right, "asked")))
-            nodes, asks = (t.column(c).to_numpy() for t, c in ((left, "node"), (right, "query")))
+            nodes, least, asks = (t.column(c).to_numpy() for t, c in ((left, "node"), (left, "least"), (right, "query")))
+            # a matrix product may round equal scores apart: what it puts within ``off`` of the cut is scored exactly
+            off = 2.0 ** -50 * x.shape[1] * np.sqrt((x * x).sum(axis=1).max())
             for start in range(0, len(q), 256):
                 some = q[start:start + 256]
                 all_ = some @ x.T
                 n = min(k, len(x))
-                best = np.argpartition(-all_, n - 1, axis=1)[:, :n]
-                out[0].append(np.repeat(asks[start:start + 256], n))
-                out[1].append(nodes[best].reshape(-1))
-                out[2].append(_dot(some[:, None, :], x[best]).reshape(-1))
-        a, b, c = (np.concatenate(v) if v else [] for v in out)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.float64())],
-                        ["query", "node", "score"])
+                cut = np.partition(all_, len(x) - n, axis=1)[:, len(x) - n]
+                which, row = np.nonzero(all_ >= (cut - off * np.sqrt((some * some).sum(axis=1)))[:, None])
+                exact = np.concatenate([_dot(some[which[i:i + PAIRS]], x[row[i:i + PAIRS]]) for i in range(0, len(row), PAIRS)])
+                order = np.lexsort((nodes[row], least[row], -exact, which))
+                which, row, exact = which[order], row[order], exact[order]
+                best = np.arange(len(which)) - np.searchsorted(which, which) < n
+                for column, values in zip(out, (asks[start:start + 256][which], nodes[row], least[row], exact)):
+                    column.append(values[best])
+        a, b, c, d = (np.concatenate(v) if v else [] for v in out)
+        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.float64())],
+                        ["query", "node", "least", "score"])
 
     return runs.groupBy(*GROUP).cogroup(asked.groupBy(*GROUP)).applyInArrow(
-        score, "query long, node long, score double")
+        score, "query long, node long, least long, score double")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
-    """The k nearest of each query; the same row found in several trees counts once."""
-    once = found.groupBy("query", "node").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "node")
+    """The k nearest of each query, ties to the least key; the same row found in several trees
+    counts once."""
+    once = found.groupBy("query", "node").agg(F.min("least").alias("least"), F.max("score").alias("score"))
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "least", "node")
     return once.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).drop("r")
 
 
@@ -167,7 +176,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, key: str = "vec_id",
     nodes = few.groupBy("a", "b").agg(F.array_sort(F.collect_set("id")).alias("ids"), F.first("vector").alias("vector"))
     asking = good.filter("is_query").select("a", "b").distinct().withColumn("is_query", F.lit(True))
     nodes = stored(nodes.join(asking, ["a", "b"], "left").select(
-        "a", "b", "ids", "vector", F.coalesce("is_query", F.lit(False)).alias("is_query"),
+        "a", "b", "ids", F.element_at("ids", 1).alias("least"), "vector", F.coalesce("is_query", F.lit(False)).alias("is_query"),
         F.monotonically_increasing_id().alias("node")))
     norm = F.aggregate("vector", F.lit(0.0), lambda s, v: s + v * v)
     n, longest = nodes.agg(F.count(F.lit(1)), F.sqrt(F.max(norm))).first()

@@ -12,7 +12,8 @@ def test_both_sides_of_every_group_are_bounded(spark, monkeypatch):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.standard_normal(4)]) for i in range(600)]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    nodes = vectors.select(F.col("vec_id").alias("node"), F.col("embedding").alias("vector"), F.lit(True).alias("is_query"))
+    nodes = vectors.select(F.col("vec_id").alias("node"), F.col("embedding").alias("vector"), F.lit(True).alias("is_query"),
+                            F.col("vec_id").alias("least"))
     data = pf.stored(pf._hashed(nodes, 4, 2, 5.0))
     runs, asked = pf._dealt(data, data, 0, 1)
     for side, bound in ((runs, 100), (asked, 40)):
