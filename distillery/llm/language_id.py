@@ -67,13 +67,15 @@ class Model:
     grams: np.ndarray  # BUCKETS x langs, log-probabilities
     scripts: np.ndarray  # scripts x langs, True where a language writes the script
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
+    def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores by word and language, and whether any language writes the word's script."""
         h, place, script = _trigrams(words)
         scores = np.add.reduceat(self.grams[h], place, axis=0)
         allowed = self.scripts[script]
         # a script that no language writes tells nothing
         scores = np.where(allowed, scores - scores.max(axis=1, keepdims=True), OUT_OF_SCRIPT)
-        return np.where(allowed.any(axis=1, keepdims=True), scores, 0.0)
+        told = allowed.any(axis=1)
+        return np.where(told[:, None], scores, 0.0), told
 
 
 def train(docs: DataFrame, learn_from: Column, per_lang: int = SAMPLE_PER_LANG, key: str = "doc_id",
@@ -151,21 +153,25 @@ class Labeller:
     def _reset(self) -> None:
         self.row: dict[str, int] = {}
         self.size = np.zeros(0, np.int32)  # letters
+        self.told = np.zeros(0, bool)  # some language writes the script
         self.scores = np.zeros((0, len(self.model.langs)), np.float32)
 
     def _learn(self, words: list[str]) -> None:
         letters = [_letters(w) for w in words]
         size = np.fromiter(map(len, letters), np.int32, len(letters))
         scores = np.zeros((len(words), len(self.model.langs)), np.float32)
+        told = np.zeros(len(words), bool)
         some = np.flatnonzero(size)
         if len(some) and self.model.langs:
-            scores[some] = self.model.word_scores([letters[i] for i in some])
+            scores[some], told[some] = self.model.word_scores([letters[i] for i in some])
         self.row.update(zip(words, range(len(self.size), len(self.size) + len(words))))
         self.size = np.concatenate([self.size, size])
+        self.told = np.concatenate([self.told, told])
         self.scores = np.concatenate([self.scores, scores])
 
     def label(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:
-        """Of each text: language, share of its letters so labelled, and spans of words."""
+        """Of each text: language, share of its letters so labelled, and spans of words. Words in a
+        script that no language writes count as letters, but for no language."""
         langs = self.model.langs
         words = [t.lower().split() if t is not None else [] for t in texts]
         if len(self.row) > MEMO_WORDS:
@@ -178,16 +184,17 @@ class Labeller:
         rows = np.fromiter(map(self.row.__getitem__, (w for x in words for w in x)), np.int64, sizes.sum())
         labels = viterbi(self.scores[rows], sizes[sizes > 0], self.penalty)
         letters = self.size[rows]
+        told = letters * self.told[rows]
         end = np.cumsum(sizes)
         for i in np.flatnonzero(sizes):
             a, b = end[i] - sizes[i], end[i]
-            share = np.bincount(labels[a:b], letters[a:b], len(langs))
+            share = np.bincount(labels[a:b], told[a:b], len(langs))
             if share.sum():
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(labels[a:b])) + 1, [b - a]])
                 best = int(share.argmax())
                 spans = [{"lang": langs[labels[a + x]], "first_word": int(x), "n_words": int(y - x)}
                          for x, y in zip(cut, cut[1:])]
-                out[i] = (langs[best], float(share[best] / share.sum()), spans)
+                out[i] = (langs[best], float(share[best] / letters[a:b].sum()), spans)
             elif _LETTER.search(texts[i]):
                 out[i] = (langs[0], 0.0, [])
         return out
