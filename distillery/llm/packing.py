@@ -123,7 +123,8 @@ def plan(counts: dict[int, int], tokens: dict[int, int], unit: int, capacity: in
     mean = np.array([tokens[c] for c in classes]) / demand
     used = patterns @ mean  # tokens expected in a sequence of each pattern
     slack, total = float((x * (capacity - used)).sum()), float(sum(tokens.values()))
-    kept = max(0.0, 1 - 1.1 * slack / max(total, 1.0))
+    # so many that what the others leave to the stream is 1.1 x the room within these
+    kept = total / (total + 1.1 * slack)
     times = np.floor(x * kept + 1e-9).astype(np.int64)
     rank, sequence, rows = np.zeros(len(classes), np.int64), 0, []
     for pattern, n in zip(patterns, times):
