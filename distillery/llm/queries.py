@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from distillery.llm import line_windows, mixing
+from distillery.llm import divergence_rules, line_windows, mixing
 from distillery.llm.common import shared_folder, stored
+from distillery.llm.divergence_rules import quality, word_references
 from distillery.llm.language_id import held_out, identify, train
 from distillery.llm.line_windows import dedup_lines
 from distillery.llm.markov_secrets import find_secrets
@@ -17,8 +18,10 @@ from distillery.llm.order_minhash import order_minhash
 from distillery.llm.packing import pack_documents
 from distillery.llm.prefix_forest import nearest
 from distillery.llm.simhash_links import near_duplicates
+from distillery.llm.token_alignment import align
 from distillery.llm.token_counts import token_counts
 from distillery.llm.warc import read_warc, transactions, write_warc
+from distillery.llm.whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,9 +75,22 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality(docs, stored(word_references(docs)))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_language_id, op3_warc, op4_packing, op5_order_minhash, op6_mixing, op7_prefix_forest,
-    op8_line_windows, op9_secrets, op10_simhash)}
+    op8_line_windows, op9_secrets, op10_simhash, op11_divergence, op12_whitening, op13_alignment)}
 
 ORACLES = {
     "op3_warc": """
@@ -87,4 +103,5 @@ FROM (SELECT *, payload_bytes >= 1000 AND copies > 1 AND page_id IS DISTINCT FRO
 """,
     "op6_mixing": mixing.ORACLE,
     "op8_line_windows": line_windows.ORACLE,
+    "op11_divergence": divergence_rules.ORACLE,
 }

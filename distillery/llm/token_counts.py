@@ -46,6 +46,7 @@ WHITE = "\t-\r\x20\x85\xa0  -     　"
 # Letters and digits of ASCII and Latin-1; punctuation that no contraction begins with.
 ALNUM, STOPS = "0-9A-Za-zÀ-ÖØ-öø-ÿ", ".,;:!?"
 PIECE = re.compile(f"[{WHITE}]*+[^{WHITE}{STOPS}]++(?<=[{ALNUM}])(?=[{STOPS}])|[{WHITE}]*+[^{WHITE}]++|[{WHITE}]++")
+SPACES = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{WHITE}]", c))
 # what a lower-casing normalizer and Python's lower() agree on, one code point for one
 FOLDABLE = re.compile("[^\\x00-\\xff–—‘’“”…•€]")
 STABLE = re.compile(f"(?<=[^{WHITE}])(?=[{WHITE}])")
@@ -92,9 +93,10 @@ def _proven(path: str) -> bool:
 
 
 class Encoder:
-    """A public tokenizer by file: ``.json`` for tokenizers, ``.model`` for sentencepiece."""
+    """A public tokenizer by file: ``.json`` for tokenizers, ``.model`` for sentencepiece. With
+    ``plain``, special strings inside texts are ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain: bool = False):
         if path.endswith(".model"):
             import sentencepiece
 
@@ -110,10 +112,11 @@ class Encoder:
         model = Tokenizer.from_file(path)
         model.no_truncation()
         model.no_padding()
+        model.encode_special_tokens = plain
         self.ids = lambda texts: [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
         self.spans = lambda text: model.encode(text, add_special_tokens=False)
         self.proven = _proven(path)
-        self.special = [x.content for x in model.get_added_tokens_decoder().values()]
+        self.special = [] if plain else [x.content for x in model.get_added_tokens_decoder().values()]
         self.lowers = self.proven and model.normalizer is not None
         merges, self.single = model.model, LOWERED if self.lowers else LETTERS
         if type(merges).__name__ != "BPE" or any(LETTERS.fullmatch(x) for x in self.special):
@@ -178,8 +181,9 @@ def _common(text: str, a: list, a_base: int, b: list, b_base: int, end: int) ->
 class Counter:
     """Counts or encodes texts; keeps a bounded memo of short pieces."""
 
-    def __init__(self, path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, memo_pieces: int | None = None):
-        self.encoder, self.chunk, self.overlap = Encoder(path), chunk, overlap
+    def __init__(self, path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, memo_pieces: int | None = None,
+                 plain: bool = False):
+        self.encoder, self.chunk, self.overlap = Encoder(path, plain), chunk, overlap
         self.memo_pieces = MEMO_PIECES if memo_pieces is None else memo_pieces
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the memo before: what is asked for again moves on
@@ -189,13 +193,14 @@ class Counter:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _learn(self, pieces: set[str]) -> None:
-        """Encode new pieces, many at a time: a piece that begins with white space may follow
-        any other, as a stable boundary lies between them."""
+        """Encode new pieces, many at a time: a piece that begins with white space (as the
+        pre-tokenizers know it: Python's ``isspace`` counts more) may follow any that doesn't end
+        with it, as a stable boundary lies between them."""
         single, merged, pack = self.encoder.single.fullmatch, self.encoder.merged, self.pack
         straight = [p for p in pieces if single(p)]
         self.memo.update((p, pack(merged(p))) for p in straight)
         pieces = pieces.difference(straight)
-        joined = [p for p in pieces if p[0].isspace() and not p[-1].isspace() and len(p) <= MEMO_PIECE_CHARS]
+        joined = [p for p in pieces if p[0] in SPACES and p[-1] not in SPACES and len(p) <= MEMO_PIECE_CHARS]
         alone = list(pieces.difference(joined))
         for p, ids in zip(alone, self.encoder.ids(alone)):
             self.memo[p] = pack(ids)
@@ -237,9 +242,9 @@ _counters: dict[tuple, Counter] = {}
 
 
 def worker_counter(path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS,
-                   memo_pieces: int | None = None) -> Counter:
+                   memo_pieces: int | None = None, plain: bool = False) -> Counter:
     """The counter of this task's functions (a task gets its own copy of the package, by value)."""
-    key = path, chunk, overlap, memo_pieces
+    key = path, chunk, overlap, memo_pieces, plain
     if key not in _counters:
         _counters[key] = Counter(*key)
     return _counters[key]
