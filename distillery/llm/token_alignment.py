@@ -245,7 +245,7 @@ def align(docs: DataFrame, byte_tokenizer: str = "byte_bpe_50k.json", piece_toke
     id_a = F.floor(F.col("pairs") / many)
     most = counts.groupBy(id_a.alias("id_a")).agg(F.max("n").alias("most"))
     counts = counts.withColumn("id_a", id_a).join(most, "id_a").select("pairs", "n", (F.col("n") == F.col("most")).alias("best"))
-    told = asked.select("block", "spot", "pairs").join(counts, "pairs").select("block", "spot", "n", "best")
+    told = asked.select(F.col("block").alias("asker"), "spot", "pairs").join(counts, "pairs").select("asker", "spot", "n", "best")
     out = f"key {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
     def finish(blocks: pa.Table, told: pa.Table) -> pa.Table:
@@ -263,7 +263,7 @@ def align(docs: DataFrame, byte_tokenizer: str = "byte_bpe_50k.json", piece_toke
                         ["key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
     documents = blocks.withColumn("n_pairs", F.size("pairs")).drop("pairs", "docs")
-    return documents.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(finish, out).withColumnRenamed("key", key)
+    return documents.groupBy("block").cogroup(told.groupBy("asker")).applyInArrow(finish, out).withColumnRenamed("key", key)
 
 
 def _block(number: int, held: list[tuple]) -> pa.RecordBatch:
