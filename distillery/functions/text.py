@@ -16,6 +16,7 @@ RERANK_SYSTEM_PROMPT = (
 DEFAULT_INSTRUCTION = "Given a web search query, retrieve relevant passages that answer the query"
 ASSISTANT_SUFFIX = "<|im_end|>\n<|im_start|>assistant\n<think>\n\n</think>\n\n"
 DEFAULT_MAX_TOKENS = 8192
+TURN_START, TURN_END = "<|im_start|>", "<|im_end|>\n"
 # ------------------------------------------------------------------------------------
 
 
@@ -33,6 +34,13 @@ def rerank_messages(query, doc, instruction: str = DEFAULT_INSTRUCTION) -> Colum
     )
 
 
+def rerank_template(query, doc, instruction: str = DEFAULT_INSTRUCTION) -> Column:
+    """The whole prompt as the chat template writes it: the system turn and the user turn, each
+    between turn marks (no generation prompt: :data:`ASSISTANT_SUFFIX` follows the cut prompt)."""
+    turn = lambda role, content: F.concat(F.lit(f"{TURN_START}{role}\n"), content, F.lit(TURN_END))
+    return F.concat(turn("system", F.lit(RERANK_SYSTEM_PROMPT)), turn("user", rerank_user_content(query, doc, instruction)))
+
+
 def char_token_ids(text) -> Column:
     """Character-level token ids (Unicode code points) of the whole text.
 

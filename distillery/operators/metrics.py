@@ -18,8 +18,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from distillery.operators.mining import quarantine_scores
+from distillery.operators.skew import hot_keys, with_parts
 
 METRIC_NAMES = ("map", "mrr@10", "ndcg@10")
+#: Levels of a query that one range should hold, and ranges that are cut from one sample.
+RANGE_LEVELS, SPLITTER_SAMPLE = 20_000, 16
+#: Ranges of one query at most: beyond them, ranges hold more levels each.
+MAX_RANGES = 256
 
 
 def _log2(col):
@@ -35,7 +40,7 @@ def per_query_metrics(
     k: int = 10,
     empty_side: str = "drop",
     method: str = "window",
-    num_ranges: int | None = None,
+    range_levels: int = RANGE_LEVELS,
 ) -> DataFrame:
     """``*group_cols, n_cand, n_rel, ap, rr, ndcg`` -- one row per query.
 
@@ -46,8 +51,8 @@ def per_query_metrics(
     ``method="window"`` (default): one exchange, one sort; a query's candidates are
     ranked inside one task, which suits evaluation groups that are one input sample.
     ``method="split"``: no window ever holds a whole query (see :func:`_split_metrics`),
-    for judged sets where one query may carry a large share of all rows; ``num_ranges``
-    is the number of score buckets (default 1024).
+    for judged sets where one query may carry a large share of all rows; ``range_levels``
+    is the number of distinct scores that one range of a query should hold.
 
     NULL and NaN scores can't be ranked: as in mining, those candidates are left out before
     anything is counted, in both methods (:func:`mining.quarantine_scores` returns them).
@@ -56,7 +61,7 @@ def per_query_metrics(
     if empty_side not in ("drop", "zero"):
         raise ValueError("empty_side must be 'drop' or 'zero'")
     if method == "split":
-        out = _split_metrics(judged, list(group_cols), score_col, rel_col, order_col, k, num_ranges)
+        out = _split_metrics(judged, list(group_cols), score_col, rel_col, order_col, k, range_levels)
         return _finish(out, list(group_cols), empty_side)
     if method != "window":
         raise ValueError("method must be 'window' or 'split'")
@@ -105,29 +110,46 @@ def _ideal_dcg(n_rel_col: str, k: int):
     return F.when(F.col(n_rel_col) > 0, ideal)
 
 
-def _split_metrics(judged, g, score_col, rel_col, order_col, k, num_ranges):
+def _ranges(levels: DataFrame, g: list[str], range_levels: int) -> DataFrame:
+    """``levels`` with ``_b``: the score range of the query that a level lies in, from 0, the lowest.
+
+    A query with more than ``range_levels`` levels is cut at quantiles of a sample of its own
+    scores (about ``SPLITTER_SAMPLE`` for each range, drawn by a hash of the score), so ranges
+    hold about as many levels each wherever the scores lie. The draw, and with it the ranges, is
+    the same whenever it is repeated; any splitters give the same metrics."""
+    hot = hot_keys(levels, g, range_levels)
+    sized = with_parts(levels, hot, g)
+    n = F.col("_parts").cast("long")
+    keep = F.pmod(F.xxhash64(F.col("_s"), F.lit("splitters")), F.lit(range_levels)) < SPLITTER_SAMPLE
+    drawn = sized.filter((n > 1) & keep).groupBy(*g).agg(F.sort_array(F.collect_list("_s")).alias("_sample"))
+    step = F.greatest(F.lit(SPLITTER_SAMPLE), F.ceil(F.size("_sample") / MAX_RANGES))
+    every = F.filter("_sample", lambda x, i: (i + 1) % step == 0)
+    cuts = drawn.select(*[F.col(c).alias(f"_c_{c}") for c in g], F.array_distinct(every).alias("_cuts"))
+    same = F.lit(True)
+    for c in g:
+        same = same & levels[c].eqNullSafe(cuts[f"_c_{c}"])
+    cut = levels.join(cuts, same, "left").drop(*[f"_c_{c}" for c in g])
+    below = F.size(F.filter("_cuts", lambda x: x <= F.col("_s")))
+    return cut.withColumn("_b", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(below)).drop("_cuts")
+
+
+def _split_metrics(judged, g, score_col, rel_col, order_col, k, range_levels):
     """AP / RR@k / NDCG@k without ranking any query inside a single task.
 
     * tie groups ("levels": one row per query and distinct score) come from a
       partial + final aggregation;
     * AP needs, per level, the candidates and relevant candidates scoring at least as
-      high. Levels are cut into score ranges by a deterministic, order-preserving bucket
-      ``floor(B * (1/2 + atan(score) / pi))`` -- a query with many levels spreads over
-      many (query, bucket) keys, and recomputing after a lost task gives identical
-      buckets. The cumulative counts are a window per (query, bucket) plus the totals of
-      the higher buckets of the query (at most ``B`` rows per query);
+      high. The levels of a hot query are cut into score ranges at sampled quantiles (see
+      :func:`_ranges`), so that they spread over many (query, range) keys. The cumulative
+      counts are a window per (query, range) plus the totals of the higher ranges;
     * RR@k and DCG@k need only the top ``k`` candidates (a partial ``WindowGroupLimit``
       before the shuffle) joined to their tie group's mean gain.
     """
-    b = int(num_ranges or 1024)
     base = judged.select(
         *g, F.col(score_col).alias("_s"), F.col(rel_col).cast("long").alias("_rel"), F.col(order_col).alias("_o")
     )
     levels = base.groupBy(*g, "_s").agg(F.count(F.lit(1)).alias("_n"), F.sum("_rel").alias("_r"))
-    bucket = F.least(
-        F.floor(F.lit(float(b)) * (F.lit(0.5) + F.atan(F.col("_s")) / F.lit(math.pi))), F.lit(b - 1)
-    )
-    lv = levels.withColumn("_b", bucket)
+    lv = _ranges(levels, g, range_levels)
     w_local = Window.partitionBy(*g, "_b").orderBy(F.col("_s").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from distillery.functions.numeric import fix9
+from distillery.operators.skew import hot_keys, part_of, with_parts
 
 
 def _check(top_k: int, num_negatives: int) -> None:
@@ -108,43 +109,58 @@ def mine_random_negatives(
     num_negatives: int = 4,
     seed: int = 0,
     carry_cols: Sequence[str] = (),
+    key_col: str | None = None,
+    rows_per_salt: int = 20_000,
 ) -> DataFrame:
     """Random strategy: each positive (rank ``r <= top_k``) draws ``min(pool, n)``
     candidates from the pool ranked below it. The draw orders the pool by
-    ``md5(seed|group|r|candidate order value)``: reproducible, and computable in any engine.
+    ``md5(seed|group|r|key of the candidate)``: reproducible, and computable in any engine.
+    ``key_col`` (default: ``order_col``) must not depend on how the input is split: a line
+    number, an id, a digest. Candidates of equal key are taken in ``order_col`` order.
 
     Output ``*group_cols, positive, negative, pos_rank, neg_seq, score`` (+ carries).
 
-    No whole-query window: the positives are a top-k (partial ``WindowGroupLimit``);
-    each candidate is joined to the at most ``top_k`` positives of its query and kept
-    where the positive outranks it; the per-positive draw is another top-n. A query with
-    very many candidates is a skewed key of that join, split by AQE's skew-join handling.
-    ``order_col`` must be unique inside a query; the group key must be one column.
+    No whole-query window: the positives are a top-k (partial ``WindowGroupLimit``). A query
+    with more than ``rows_per_salt`` candidates is salted: its candidates are dealt over as
+    many salts as it takes, its positives are copied to each, every (positive, salt) draws
+    its best ``num_negatives``, and a last top-n over at most ``salts * num_negatives`` rows
+    merges them. The draw key doesn't know the salts, so the result is the same for any number.
+    ``scored`` is read three times: store it if it is dear. The group key must be one column.
     """
     _check(top_k, num_negatives)
     if len(group_cols) != 1:
         raise ValueError("random strategy needs exactly one group column")
     g = group_cols[0]
+    key_col = key_col or order_col
     rankable, _ = quarantine_scores(scored, score_col)
     w = rank_window(group_cols, score_col, order_col)
+    hot = hot_keys(rankable, group_cols, rows_per_salt)
     cols = list(dict.fromkeys([passage_col, score_col, order_col, *carry_cols]))
     positives = (
         rankable.withColumn("pos_rank", F.row_number().over(w).cast("long"))
         .filter(F.col("pos_rank") <= top_k)
         .select(*group_cols, "pos_rank", *[F.col(c).alias(f"{c}_pos") for c in cols])
     )
-    cands = rankable.select(*group_cols, *[F.col(c).alias(f"{c}_neg") for c in cols])
+    positives = with_parts(positives, hot, group_cols).withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    cands = rankable.select(*group_cols, F.col(key_col).alias("_key"), *[F.col(c).alias(f"{c}_neg") for c in cols])
+    cands = with_parts(cands, hot, group_cols).withColumn(
+        "_salt", part_of(F.col("_parts"), F.col("_key"), F.col(f"{order_col}_neg"))).drop("_parts")
     s_pos, s_neg = F.col(f"{score_col}_pos"), F.col(f"{score_col}_neg")
     below = (s_neg < s_pos) | ((s_neg == s_pos) & (F.col(f"{order_col}_neg") > F.col(f"{order_col}_pos")))
-    pool = positives.join(cands, list(group_cols), "inner").filter(below)
+    pool = positives.join(cands, [g, "_salt"], "inner").filter(below)
     draw_key = F.md5(
         F.concat_ws(
-            "|", F.lit(str(seed)), F.col(g).cast("string"), F.col("pos_rank").cast("string"),
-            F.col(f"{order_col}_neg").cast("string"),
+            "|", F.lit(str(seed)), F.col(g).cast("string"), F.col("pos_rank").cast("string"), F.col("_key").cast("string"),
         )
     )
-    wd = Window.partitionBy(*group_cols, "pos_rank").orderBy(draw_key, F.col(f"{order_col}_neg"))
-    drawn = pool.withColumn("_draw", F.row_number().over(wd)).filter(F.col("_draw") <= num_negatives)
+    pool = pool.withColumn("_draw_key", draw_key)
+    best = [F.col("_draw_key"), F.col(f"{order_col}_neg")]
+    # the join has dealt by (group, salt): the first top-n needs no further exchange
+    local = Window.partitionBy(g, "_salt", "pos_rank").orderBy(*best)
+    some = pool.withColumn("_draw", F.row_number().over(local)).filter(F.col("_draw") <= num_negatives)
+    merged = Window.partitionBy(g, "pos_rank").orderBy(*best)
+    drawn = some.withColumn("_draw", F.row_number().over(merged)).filter(F.col("_draw") <= num_negatives)
     margin = s_pos - s_neg
     out = drawn.select(
         *group_cols,

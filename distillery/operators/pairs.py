@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from distillery.operators.skew import hot_keys, part_of, with_parts
+
 POSITIVE = "positive"
 NEGATIVE = "negative"
 
@@ -50,29 +52,50 @@ def samples_to_pairs(
     ).filter(F.col("passage").isNotNull())
 
 
+#: Candidates of one side that a block of the product holds, on average.
+BLOCK_ROWS = 2_000
+
+
 def cross_sides(
     pairs: DataFrame,
     key_cols: Sequence[str],
     side_col: str = "side",
     id_cols: Sequence[str] = ("pos",),
     carry_cols: Sequence[str] = (),
+    block_rows: int | None = BLOCK_ROWS,
 ) -> DataFrame:
     """Positive x negative product inside each sample (positive-major, duplicates kept,
     no inequality filter). Columns of the positive side get suffix ``_pos``, of the
     negative side ``_neg``.
 
-    An equi-join on the sample key: a sample with very many candidates is a skewed join
-    key, which AQE's skew-join handling splits at runtime (the large side is cut into
-    ranges, the other side replicated), so no single task holds the whole product.
+    An equi-join on the sample key and a block of it. The sides of a sample with more than
+    ``block_rows`` positives or negatives are cut, by a hash of ``id_cols``, into a grid of
+    blocks: each positive is copied to every block of negatives and each negative to every
+    block of positives, so a join key never has more than about ``block_rows`` rows on either
+    side, and its product about ``block_rows ** 2`` rows, however large the sample. (Rows that
+    agree in all ``id_cols`` share a block.) Samples below that have the one block (0, 0).
+    ``pairs`` is read four times, twice only to count: store it if it is dear. Where samples
+    are small by construction, ``block_rows=None`` saves counting them.
     """
+    keys = list(key_cols)
     cols = list(id_cols) + [c for c in carry_cols if c not in id_cols]
-    pos = pairs.filter(F.col(side_col) == POSITIVE).select(
-        *key_cols, *[F.col(c).alias(f"{c}_pos") for c in cols]
-    )
-    neg = pairs.filter(F.col(side_col) == NEGATIVE).select(
-        *key_cols, *[F.col(c).alias(f"{c}_neg") for c in cols]
-    )
-    return pos.join(neg, list(key_cols), "inner")
+    if block_rows is None:
+        sides = [pairs.filter(F.col(side_col) == name).select(*keys, *[F.col(c).alias(f"{c}{suffix}") for c in cols])
+                 for name, suffix in ((POSITIVE, "_pos"), (NEGATIVE, "_neg"))]
+        return sides[0].join(sides[1], keys, "inner")
+    n_pos = hot_keys(pairs, keys, block_rows, "_np", F.col(side_col) == POSITIVE)
+    n_neg = hot_keys(pairs, keys, block_rows, "_nn", F.col(side_col) == NEGATIVE)
+
+    def side(name: str, suffix: str, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
+        rows = pairs.filter(F.col(side_col) == name).select(*keys, *[F.col(c).alias(f"{c}{suffix}") for c in cols])
+        rows = with_parts(with_parts(rows, n_pos, keys, "_np"), n_neg, keys, "_nn")
+        at = part_of(F.col(own), *[F.col(f"{c}{suffix}") for c in id_cols])
+        return rows.withColumn(own_block, at).withColumn(
+            other_block, F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("_np", "_nn")
+
+    pos = side(POSITIVE, "_pos", "_np", "_nn", "_bp", "_bn")
+    neg = side(NEGATIVE, "_neg", "_nn", "_np", "_bn", "_bp")
+    return pos.join(neg, [*keys, "_bp", "_bn"], "inner").drop("_bp", "_bn")
 
 
 def distinct_texts(

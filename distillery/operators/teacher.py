@@ -9,7 +9,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -18,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from distillery.functions.numeric import fix9
-from distillery.functions.scoring import yes_no_logit
+from distillery.functions.scoring import MISSING_LOGPROB, NO_TOKEN, YES_TOKEN, yes_no_logit
+from distillery.functions.text import ASSISTANT_SUFFIX, DEFAULT_MAX_TOKENS
 from distillery.functions.vectors import COSINE_EPS, cosine, norm, to_double_array
 
 Scorer = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
@@ -70,6 +70,90 @@ def score_pairs(pairs: DataFrame, scorer: Scorer, out_schema: str) -> DataFrame:
     return pairs.mapInPandas(scorer, out_schema)
 
 
+Tokenizer = Callable[[list[str]], list[np.ndarray]]
+Teacher = Callable[[list[np.ndarray]], list[dict[str, float]]]
+
+#: Prompts that are sorted by length together, and padded tokens that a batch may have.
+SORT_ROWS, TOKEN_BUDGET = 4_096, 65_536
+
+
+def code_point_tokenizer(texts: list[str]) -> list[np.ndarray]:
+    """Token ids that are code points: a stand-in for a model's tokenizer."""
+    return [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) for t in texts]
+
+
+def length_batches(lengths: np.ndarray, batch_size: int, token_budget: int) -> Iterator[np.ndarray]:
+    """The numbers of the prompts in batches, shortest first: at most ``batch_size`` prompts, and
+    at most ``token_budget`` tokens after padding to the longest, unless one prompt alone has more."""
+    order = np.argsort(lengths, kind="stable")
+    start = 0
+    for i in range(1, len(order) + 1):
+        if i == len(order) or i - start >= batch_size or (i + 1 - start) * lengths[order[i]] > token_budget:
+            yield order[start:i]
+            start = i
+
+
+def score_prompts(
+    pairs: DataFrame, load_teacher: Callable[[], Teacher], keep_cols: Sequence[str], prompt_col: str = "prompt",
+    max_length: int = DEFAULT_MAX_TOKENS, batch_size: int = 8, token_budget: int = TOKEN_BUDGET,
+    tokenizer: Tokenizer = code_point_tokenizer, sort_rows: int = SORT_ROWS, out_col: str = "score",
+) -> DataFrame:
+    """``keep_cols``, ``n_ids`` (of the cut prompt with its suffix) and ``out_col``, the yes/no
+    log-odds of a batch teacher.
+
+    ``load_teacher`` is called once a task and gives a function from a batch of token ids to
+    each prompt's log-probabilities by token. Every whole prompt is turned into ids, cut to
+    ``max_length`` and followed by the assistant's suffix, which isn't cut. Within runs of
+    ``sort_rows`` rows prompts are batched by length (see :func:`length_batches`), so that
+    little is spent on padding and a batch's memory is bounded; rows leave in the order they
+    came. A token without a log-probability counts as the floor."""
+    if min(max_length, batch_size, token_budget, sort_rows) <= 0:
+        raise ValueError("lengths and sizes must be positive")
+    keep = list(keep_cols)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        teacher, suffix = load_teacher(), tokenizer([ASSISTANT_SUFFIX])[0]
+
+        def scored(rows: pd.DataFrame) -> pd.DataFrame:
+            ids = [np.concatenate([x[:max_length], suffix]) for x in tokenizer(rows[prompt_col].tolist())]
+            lengths = np.array([len(x) for x in ids], np.int64)
+            score = np.empty(len(ids))
+            for some in length_batches(lengths, batch_size, token_budget):
+                for i, told in zip(some, teacher([ids[i] for i in some])):
+                    score[i] = told.get(YES_TOKEN, MISSING_LOGPROB) - told.get(NO_TOKEN, MISSING_LOGPROB)
+            return rows[keep].assign(n_ids=lengths, **{out_col: _fix9_np(score)})
+
+        held, n = [], 0
+        for pdf in batches:
+            for start in range(0, len(pdf), sort_rows):
+                part = pdf.iloc[start:start + sort_rows]
+                held.append(part)
+                n += len(part)
+                if n >= sort_rows:
+                    yield scored(pd.concat(held, ignore_index=True))
+                    held, n = [], 0
+        if n:
+            yield scored(pd.concat(held, ignore_index=True))
+
+    types = dict(pairs.dtypes)
+    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["n_ids long", f"`{out_col}` double"])
+    return pairs.select(*keep, prompt_col).mapInPandas(run, schema)
+
+
+def stand_in_teacher() -> Teacher:
+    """A deterministic stand-in for a constrained one-token model: log-probabilities from the
+    sum of the ids, the less likely token sometimes missing, as beyond the top log-probabilities."""
+    def tell(batch: list[np.ndarray]) -> list[dict[str, float]]:
+        out = []
+        for ids in batch:
+            total = int(ids.sum())
+            both = {YES_TOKEN: -(total % 1201) / 100.0, NO_TOKEN: -(total % 997) / 80.0}
+            out.append({k: v for k, v in both.items() if v >= -9.0})
+        return out
+
+    return tell
+
+
 def _fix9_np(x: np.ndarray) -> np.ndarray:
     return np.floor(x * 1e9 + 0.5) / 1e9
 
@@ -99,17 +183,21 @@ def numpy_cosine_scorer(
 
 def hashing_embedder(dim: int = 64, ngram: int = 3) -> Callable[[pd.Series], np.ndarray]:
     """Deterministic character n-gram hashing embedder (unit-normalised), a stand-in
-    for a neural text encoder: whole texts in, ``dim`` floats out."""
+    for a neural text encoder: whole texts in, ``dim`` floats out. An n-gram of the text
+    between two spaces has the number ``sum(code point * 31 ** place)``; its remainder by
+    ``dim`` is the entry, and the parity of its quotient the sign, with which it counts."""
 
     def embed(texts: pd.Series) -> np.ndarray:
-        out = np.zeros((len(texts), dim), dtype=np.float32)
+        out = np.zeros((len(texts), dim))
         for i, t in enumerate(texts):
-            s = f" {t} "
-            for j in range(max(1, len(s) - ngram + 1)):
-                h = zlib.crc32(s[j:j + ngram].encode("utf-8"))
-                out[i, h % dim] += 1.0 if (h >> 16) & 1 else -1.0
-        n = np.linalg.norm(out, axis=1, keepdims=True)
-        return out / np.maximum(n, COSINE_EPS)
+            codes = code_point_tokenizer([f" {t} "])[0]
+            codes = np.pad(codes, (0, max(0, ngram - len(codes))))
+            h = np.zeros(len(codes) - ngram + 1, np.int64)
+            for k in range(ngram):
+                h = h * 31 + codes[k:len(h) + k]
+            out[i] = np.bincount(h % dim, 1 - 2 * (h // dim % 2), dim)
+        n = np.sqrt((out * out).sum(axis=1, keepdims=True))
+        return (out / np.maximum(n, COSINE_EPS)).astype(np.float32)
 
     return embed
 

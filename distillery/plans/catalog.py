@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from distillery.functions import text as tf
 from distillery.functions.numeric import fix6
 from distillery.operators import losses, metrics, mining, pairs, report, stats, teacher
-from distillery.plans import embedding
+from distillery.plans import embedding, file_queries
+from distillery.session import materialize
 from distillery.sources import fixtures as fx
 
 TOP_K = 8
@@ -19,6 +20,12 @@ RANDOM_SEED = 42
 EVAL_K = 10
 KL_TEMPERATURES = (1.0, 2.0)
 STUDENTS = ("before", "after")
+TEACHER_INSTRUCTION = "Given a user turn, retrieve the reply that answers it"
+TEACHER_MAX_LENGTH = 400
+TEACHER_BATCH = 8
+#: Queries with a label up to this are one query in the hot-query evaluation (near a third of all).
+HOT_MAX_LABEL = 2
+HOT_RANGE_LEVELS = 2_000
 
 
 # ---- vector-judged pairs (reranker / embedding distillation core) ---------------------
@@ -45,9 +52,10 @@ def hard_negative_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_negative_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # scored once: the miner reads its input three times
+    scored = materialize(fx.judged_vector_pairs(spark, sf_dir).select("qid", "pid", "teacher", "seq"))
     return mining.mine_random_negatives(
-        fx.judged_vector_pairs(spark, sf_dir), ["qid"], "pid", "teacher", "seq",
-        top_k=TOP_K, num_negatives=NUM_NEGATIVES, seed=RANDOM_SEED,
+        scored, ["qid"], "pid", "teacher", "seq", top_k=TOP_K, num_negatives=NUM_NEGATIVES, seed=RANDOM_SEED,
     )
 
 
@@ -66,7 +74,8 @@ def triplet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def soft_label_triplets(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fx.judged_vector_pairs(spark, sf_dir)
-    t = pairs.cross_sides(p, ["qid"], id_cols=["pid"], carry_cols=["teacher"])
+    # a query has at most CANDIDATE_WINDOW candidates
+    t = pairs.cross_sides(p, ["qid"], id_cols=["pid"], carry_cols=["teacher"], block_rows=None)
     return t.select(
         "qid", F.col("pid_pos").alias("positive"), F.col("pid_neg").alias("negative"),
         F.col("teacher_pos").alias("label_pos"), F.col("teacher_neg").alias("label_neg"),
@@ -138,7 +147,7 @@ def margin_mse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def distill_kl(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = fx.judged_vector_pairs(spark, sf_dir)
-    t = pairs.cross_sides(p, ["qid"], id_cols=["pid"], carry_cols=["teacher", *STUDENTS])
+    t = pairs.cross_sides(p, ["qid"], id_cols=["pid"], carry_cols=["teacher", *STUDENTS], block_rows=None)
     variants = {
         f"{m}|{round(temp * 1000)}": (f"{m}_pos", f"{m}_neg", temp) for m in STUDENTS for temp in KL_TEMPERATURES
     }
@@ -150,6 +159,18 @@ def distill_kl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hot_query_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank metrics where one query has about a third of all candidates: the judged pairs of
+    all queries with a small label are pooled into one. Ranked in ranges at sampled quantiles,
+    never whole in one task."""
+    p = materialize(fx.judged_vector_pairs(spark, sf_dir).select(
+        F.when(F.col("qlabel") <= HOT_MAX_LABEL, F.lit(-1)).otherwise(F.col("qid")).alias("query"), "rel", "teacher",
+        F.struct("qid", "pid").alias("at")))
+    m = metrics.per_query_metrics(p, ["query"], "teacher", "rel", "at", k=EVAL_K, empty_side="zero", method="split",
+                                  range_levels=HOT_RANGE_LEVELS)
+    return m.select("query", "n_cand", "n_rel", fix6("ap").alias("ap"), fix6("rr").alias("rr"), fix6("ndcg").alias("ndcg"))
+
+
 # ---- text samples (conversations) ------------------------------------------------------
 
 def _text_pairs(spark, sf_dir):
@@ -198,19 +219,21 @@ def prompt_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def truncate_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prompt token ids of whole document pairs (long texts), truncated to the teacher's
-    default limit (8,192) and followed by the assistant suffix. Reported: the full prompt
-    length, the kept length, a digest of all ids, and the ids at the head, at the seam
-    between the kept prompt and the suffix, and at the tail. An id is a code point, so the
-    length is the text's and only the kept part is turned into ids."""
-    p = pairs.samples_to_pairs(fx.document_samples(spark, sf_dir), ["doc_id"])
-    content = tf.rerank_user_content("query", "passage")
-    ids = tf.char_token_ids(F.substring(content, 1, tf.DEFAULT_MAX_TOKENS))
+    """Prompt token ids of whole document pairs (long texts): the whole chat template, cut to
+    the teacher's default limit (8,192) and followed by the assistant suffix. Reported: the full
+    prompt length, the kept length, a digest of all ids, and the ids at the head, at the seam
+    between the kept prompt and the suffix, and at the tail. An id is a code point, so what a
+    prompt keeps depends on no more than that many characters of its texts: the rest is known
+    by its length alone and isn't moved."""
+    limit = tf.DEFAULT_MAX_TOKENS
+    p = pairs.samples_to_pairs(fx.document_heads(spark, sf_dir, limit), ["doc_id"])
+    prompt = F.left(tf.rerank_template("query.head", "passage.head"), F.lit(limit))
+    frame = F.length(tf.rerank_template(F.lit(""), F.lit("")))
     suffix = tf.suffix_token_ids()
     t = p.select(
         "doc_id", "side", "pos",
-        F.length(content).cast("long").alias("n_prompt"),
-        tf.truncate_with_suffix(ids, tf.DEFAULT_MAX_TOKENS, suffix).alias("ids"),
+        (frame + F.col("query.n_chars") + F.col("passage.n_chars")).alias("n_prompt"),
+        tf.truncate_with_suffix(tf.char_token_ids(prompt), limit, suffix).alias("ids"),
     ).withColumn("n_ids", F.size("ids").cast("long"))
     seam = F.greatest(F.col("n_ids") - F.lit(len(suffix) + 3), F.lit(1))
     return t.select(
@@ -222,6 +245,14 @@ def truncate_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def teacher_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From samples to log-odds: pairs, the prompt with an instruction, token ids cut to a
+    maximum length, length-batched scoring by a (stand-in) one-token teacher."""
+    p = _text_pairs(spark, sf_dir).withColumn("prompt", tf.rerank_template("query", "passage", TEACHER_INSTRUCTION))
+    return teacher.score_prompts(p, teacher.stand_in_teacher, ["conv_id", "turn", "side", "pos"],
+                                 max_length=TEACHER_MAX_LENGTH, batch_size=TEACHER_BATCH, out_col="logit")
+
+
 # ---- text -> vector table (documents x embeddings) -------------------------------------
 
 def text_vector_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +273,9 @@ def missing_vector_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def embed_texts_pandas(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = pairs.distinct_texts(_truthy(spark, sf_dir))
     e = teacher.embed_texts(d, text_col="text")
-    return e.select(F.md5("text").alias("text_md5"), F.size("embedding").cast("long").alias("dim"))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000000.0 + 0.5))
+    return e.select(F.md5("text").alias("text_md5"), F.size("embedding").cast("long").alias("dim"),
+                    F.md5(F.array_join(whole.cast("array<string>"), ",")).alias("vector_md5"))
 
 
 # ---- documents: embedding pipeline on whole texts ---------------------------------------
@@ -252,7 +285,8 @@ def _doc_triplets(spark, sf_dir):
     index (exact text -> vector), so no text crosses a shuffle after the index."""
     samples = fx.document_sample_ids(spark, sf_dir)
     idx = fx.document_index(spark, sf_dir)
-    return embedding.soft_label_triplets(samples, idx, "doc_id", "embedding", keys=["doc_id"], query_col="doc_id")
+    return embedding.soft_label_triplets(samples, idx, "doc_id", "embedding", keys=["doc_id"], query_col="doc_id",
+                                         block_rows=None)  # three candidates a sample
 
 
 def _with_md5(df: DataFrame, spark, sf_dir, id_col: str, out: str) -> DataFrame:
@@ -317,16 +351,18 @@ QUERIES = {
     "compare_runs": compare_runs,
     "margin_mse": margin_mse,
     "distill_kl": distill_kl,
+    "hot_query_metrics": hot_query_metrics,
     "samples_to_pairs": samples_to_pairs,
     "truthy_samples": truthy_samples,
     "distinct_texts": distinct_texts,
     "dataset_stats": dataset_stats,
     "prompt_messages": prompt_messages,
     "truncate_suffix": truncate_suffix,
+    "teacher_logits": teacher_logits,
     "text_vector_table": text_vector_table,
     "missing_vector_report": missing_vector_report,
     "embed_texts_pandas": embed_texts_pandas,
     "document_soft_label_triplets": document_soft_label_triplets,
     "document_missing_triplets": document_missing_triplets,
     "document_hard_negatives": document_hard_negatives,
-}
+} | file_queries.QUERIES

@@ -8,7 +8,8 @@ IEEE arithmetic in both engines, unlike ``round()`` on exact half-way values.
 from __future__ import annotations
 
 from distillery.functions.text import (
-    ASSISTANT_SUFFIX, DEFAULT_INSTRUCTION, DEFAULT_MAX_TOKENS, RERANK_SYSTEM_PROMPT, suffix_token_ids,
+    ASSISTANT_SUFFIX, DEFAULT_INSTRUCTION, DEFAULT_MAX_TOKENS, RERANK_SYSTEM_PROMPT, TURN_END, TURN_START,
+    suffix_token_ids,
 )
 from distillery.sources.fixtures import (
     CANDIDATE_WINDOW, IN_DOMAIN_MAX_LABEL, LOGPROB_SCALE, TOP_LOGPROB_MIN,
@@ -32,16 +33,16 @@ eq AS (SELECT vec_id, label, v,
               list_transform(v, lambda x: floor(x * 100 + 0.5) / 100) AS v2 FROM ev),
 en AS (SELECT *, sqrt(list_dot_product(v, v)) AS n, sqrt(list_dot_product(v1, v1)) AS n1,
               sqrt(list_dot_product(v2, v2)) AS n2 FROM eq),
-pairs AS (
+pairs AS MATERIALIZED (
   SELECT q.vec_id AS qid, p.vec_id AS pid,
          CAST(q.label = p.label AS INTEGER) AS rel,
          CASE WHEN q.label = p.label THEN 'positive' ELSE 'negative' END AS side,
          CASE WHEN q.label <= {IN_DOMAIN_MAX_LABEL} THEN 'in' ELSE 'out' END AS domain,
-         p.vec_id AS seq,
+         q.label AS qlabel, p.vec_id AS seq,
          {_fix(_cos('q', 'p'))} AS teacher,
          {_fix(_cos('q', 'p', '1'))} AS "before",
          {_fix(_cos('q', 'p', '2'))} AS "after"
-  FROM en q JOIN en p ON p.vec_id > q.vec_id AND p.vec_id <= q.vec_id + {CANDIDATE_WINDOW})
+  FROM (SELECT *, unnest(range(1, {CANDIDATE_WINDOW} + 1)) AS off FROM en) q JOIN en p ON p.vec_id = q.vec_id + q.off)
 """
 
 
@@ -329,11 +330,17 @@ WHERE a.rk <= 8 AND a.passage <> b.passage AND a.score - b.score > 0
 """
 
 _suffix = "[" + ", ".join(str(i) for i in suffix_token_ids(ASSISTANT_SUFFIX)) + "]"
+def _template(instruction: str) -> str:
+    """The chat template of a pair ``query, passage``."""
+    head = (f"{TURN_START}system\n{RERANK_SYSTEM_PROMPT}{TURN_END}{TURN_START}user\n<Instruct>: {instruction}\n<Query>: ")
+    return f"{_q(head)} || query || {_q(chr(10) + '<Document>: ')} || passage || {_q(TURN_END)}"
+
+
 ORACLES["truncate_suffix"] = DOC_CTE + f"""
-, ids AS (SELECT doc_id, side, pos,
-                 list_transform(string_split({_content}, ''), lambda ch: unicode(ch)) AS ids FROM dp),
-tr AS (SELECT doc_id, side, pos, len(ids) AS n_prompt,
-              list_concat(ids[1:{DEFAULT_MAX_TOKENS}], {_suffix}) AS t FROM ids),
+, whole AS (SELECT doc_id, side, pos, {_template(DEFAULT_INSTRUCTION)} AS prompt FROM dp),
+ids AS (SELECT doc_id, side, pos, length(prompt) AS n_prompt,
+               list_transform(string_split(left(prompt, {DEFAULT_MAX_TOKENS}), ''), lambda ch: unicode(ch)) AS ids FROM whole),
+tr AS (SELECT doc_id, side, pos, n_prompt, list_concat(ids, {_suffix}) AS t FROM ids),
 tn AS (SELECT *, len(t) AS n_ids, greatest(len(t) - {len(suffix_token_ids(ASSISTANT_SUFFIX)) + 3}, 1) AS seam FROM tr)
 SELECT doc_id, side, pos, n_prompt, n_ids,
        md5(array_to_string(t, ',')) AS ids_md5,
@@ -343,10 +350,136 @@ SELECT doc_id, side, pos, n_prompt, n_ids,
 FROM tn
 """
 
-# The embedder itself runs in Python; the oracle checks the distributed part: every
-# distinct text of the kept samples is embedded exactly once, at the embedder's dimension.
-ORACLES["embed_texts_pandas"] = TEXT_CTE + """
+# a log-probability below -9 isn't told and counts as -10
+_lp = {"yes": "-(total % 1201) / CAST(100 AS DOUBLE)", "no": "-(total % 997) / CAST(80 AS DOUBLE)"}
+_told = {k: f"CASE WHEN {v} >= -9.0 THEN {v} ELSE -10.0 END" for k, v in _lp.items()}
+
+
+def teacher_logits_sql(instruction: str, max_length: int) -> str:
+    return TEXT_CTE + f"""
+, p AS (SELECT conv_id, turn, side, pos, list_concat(list_transform(string_split(left({_template(instruction)}, {max_length}), ''),
+               lambda ch: unicode(ch)), {_suffix}) AS ids FROM tp),
+t AS (SELECT conv_id, turn, side, pos, len(ids) AS n_ids, list_sum(ids)::BIGINT AS total FROM p)
+SELECT conv_id, turn, side, pos, n_ids, {_fix(f"{_told['yes']} - {_told['no']}")} AS logit FROM t
+"""
+
+
+ORACLES["teacher_logits"] = teacher_logits_sql("Given a user turn, retrieve the reply that answers it", 400)
+
+# n-grams of the text between two spaces, numbered by code points to base 31
+EMBED_CTE = """
+codes AS (SELECT text, list_transform(string_split(' ' || text || ' ', ''), lambda ch: unicode(ch)::BIGINT) AS c FROM told),
+padded AS (SELECT text, CASE WHEN len(c) < 3 THEN list_append(c, 0) ELSE c END AS c FROM codes),
+grams AS (SELECT text, unnest(list_transform(range(1, len(c) - 1), lambda i: (c[i] * 31 + c[i + 1]) * 31 + c[i + 2])) AS h FROM padded),
+entries AS (SELECT text, h % 64 AS place, sum(1 - 2 * ((h // 64) % 2))::DOUBLE AS v FROM grams GROUP BY ALL),
+norms AS (SELECT text, greatest(sqrt(sum(v * v)), 1e-8) AS n FROM entries GROUP BY text),
+places AS (SELECT text, n, unnest(range(64)) AS place FROM norms),
+vectors AS (SELECT places.text, string_agg(CAST(floor(CAST(CAST(coalesce(v, 0) / n AS FLOAT) AS DOUBLE) * 1000000 + 0.5) AS BIGINT), ','
+                                           ORDER BY places.place) AS said
+            FROM places LEFT JOIN entries ON entries.text = places.text AND entries.place = places.place GROUP BY places.text)
+"""
+_TRUTHY_TEXTS = """
 , tx AS (SELECT query AS text FROM truthy UNION ALL SELECT reply FROM truthy
-         UNION ALL SELECT n_reply FROM truthy UNION ALL SELECT p_reply FROM truthy)
-SELECT md5(text) AS text_md5, CAST(64 AS BIGINT) AS dim FROM tx WHERE text IS NOT NULL GROUP BY text
+         UNION ALL SELECT n_reply FROM truthy UNION ALL SELECT p_reply FROM truthy),
+told AS (SELECT DISTINCT text FROM tx WHERE text IS NOT NULL),
+"""
+ORACLES["embed_texts_pandas"] = TEXT_CTE + _TRUTHY_TEXTS + EMBED_CTE + """
+SELECT md5(text) AS text_md5, CAST(64 AS BIGINT) AS dim, md5(said) AS vector_md5 FROM vectors
+"""
+
+ORACLES["hot_query_metrics"] = with_jv(f"""
+, h AS (SELECT CASE WHEN qlabel <= 2 THEN -1 ELSE qid END AS query, rel, teacher AS score, qid, pid FROM pairs),
+w AS (SELECT query, rel, row_number() OVER (PARTITION BY query ORDER BY score DESC, qid, pid) AS rn,
+             sum(rel) OVER c AS cr, count(*) OVER c AS cn, avg(rel) OVER (PARTITION BY query, score) AS g,
+             row_number() OVER (PARTITION BY query ORDER BY rel DESC) AS irn
+      FROM h WINDOW c AS (PARTITION BY query ORDER BY score DESC RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+m AS (SELECT query, count(*) AS n_cand, sum(rel)::BIGINT AS n_rel,
+             sum(CASE WHEN rel = 1 THEN CAST(cr AS DOUBLE) / cn ELSE 0 END) / nullif(CAST(sum(rel) AS DOUBLE), 0) AS ap,
+             coalesce(max(CASE WHEN rel = 1 AND rn <= 10 THEN CAST(1 AS DOUBLE) / rn END), 0) AS rr,
+             sum(CASE WHEN rn <= 10 THEN g / (ln(rn + 1) / ln(2)) ELSE 0 END)
+               / nullif(sum(CASE WHEN irn <= 10 THEN rel / (ln(irn + 1) / ln(2)) ELSE 0 END), 0) AS ndcg FROM w GROUP BY query)
+SELECT query, n_cand, n_rel, {_fix('coalesce(ap, 0)', 6)} AS ap, {_fix('rr', 6)} AS rr, {_fix('coalesce(ndcg, 0)', 6)} AS ndcg FROM m
+""")
+
+# ---- file stages: the same rows without files --------------------------------------------
+
+LINES_CTE = TEXT_CTE + """
+, ln AS (SELECT CASE WHEN conv_id % 2 = 0 THEN 'a' ELSE 'b' END AS input, query, passage, length(passage) AS size, conv_id, turn,
+                CASE WHEN side = 'positive' THEN 0 ELSE 1 END AS side_rank, pos FROM tp),
+tagged AS (SELECT *, row_number() OVER (PARTITION BY input ORDER BY conv_id, turn, side_rank, pos) - 1 AS line,
+                  CASE WHEN size % 11 = 3 THEN 'malformed' WHEN size % 13 = 5 THEN 'missing' WHEN size % 17 = 7 THEN 'nan' END AS reason,
+                  (size % 97) / CAST(8 AS DOUBLE) AS score FROM ln),
+good AS (SELECT * FROM tagged WHERE reason IS NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY input, query ORDER BY score DESC, line) AS rk,
+             min(line) OVER (PARTITION BY input, query) AS seen FROM good),
+hard AS (SELECT a.input || '__train_margin_sampled.jsonl' AS output, a.query, a.passage AS positive, b.passage AS negative,
+                a.score - b.score AS score, a.seen, a.rk AS pos_rank, b.rk AS neg_rank
+         FROM r a JOIN r b ON a.input = b.input AND a.query = b.query AND b.rk > a.rk AND b.rk <= a.rk + 4
+         WHERE a.rk <= 8 AND a.passage <> b.passage AND a.score > b.score)
+"""
+_MD5S = "md5(query) AS query_md5, md5(positive) AS positive_md5, md5(negative) AS negative_md5"
+ORACLES["file_margin_triplets"] = LINES_CTE + f"SELECT output, {_MD5S}, {_fix('score', 6)} AS score FROM hard"
+
+ORACLES["file_triplet_order"] = LINES_CTE + f"""
+SELECT output, row_number() OVER (PARTITION BY output ORDER BY seen, pos_rank, neg_rank) - 1 AS line, {_MD5S} FROM hard
+"""
+
+ORACLES["file_random_triplets"] = LINES_CTE + f"""
+, pool AS (SELECT a.input || '__train_margin_sampled.jsonl' AS output, a.query, a.passage AS positive, b.passage AS negative,
+                  a.score - b.score AS score,
+                  row_number() OVER (PARTITION BY a.input, a.query, a.rk ORDER BY md5(concat_ws('|', '7',
+                      CASE WHEN a.input = 'a' THEN '0' ELSE '1' END || chr(1) || a.query, a.rk::VARCHAR, b.line::VARCHAR)), b.line) AS d
+           FROM r a JOIN r b ON a.input = b.input AND a.query = b.query AND b.rk > a.rk WHERE a.rk <= 8)
+SELECT output, {_MD5S}, {_fix('score', 6)} AS score FROM pool WHERE d <= 4 AND positive <> negative AND score > 0
+"""
+
+ORACLES["file_triplet_counts"] = LINES_CTE + """
+, read AS (SELECT input || '__train_margin_sampled.jsonl' AS output, count(*) AS n_lines, count(*) FILTER (reason = 'malformed') AS n_malformed,
+                  count(*) FILTER (reason = 'missing') AS n_missing, count(*) FILTER (reason = 'nan') AS n_nan FROM tagged GROUP BY input),
+inputs AS (SELECT unnest(['a__train_margin_sampled.jsonl', 'b__train_margin_sampled.jsonl']) AS output),
+out AS (SELECT output, count(*) AS n_triplets FROM hard GROUP BY output),
+each AS (SELECT output, coalesce(n_triplets, 0) AS n_triplets, coalesce(n_lines, 0) AS n_lines, coalesce(n_malformed, 0) AS n_malformed,
+                coalesce(n_missing, 0) AS n_missing, coalesce(n_nan, 0) AS n_nan
+         FROM inputs LEFT JOIN read USING (output) LEFT JOIN out USING (output))
+FROM each UNION ALL SELECT NULL, sum(n_triplets)::BIGINT, sum(n_lines)::BIGINT, sum(n_malformed)::BIGINT, sum(n_missing)::BIGINT,
+                           sum(n_nan)::BIGINT FROM each
+"""
+
+ORACLES["file_soft_label_counts"] = TEXT_CTE + """
+, t AS (SELECT *, CASE WHEN conv_id % 2 = 0 THEN 'a' ELSE 'b' END || '__test_soft_labels.jsonl' AS output,
+               (n_reply IS NOT NULL)::INTEGER + (p_reply IS NOT NULL)::INTEGER AS n FROM truthy),
+x AS (SELECT output, query AS text FROM t UNION SELECT output, reply FROM t UNION SELECT output, n_reply FROM t
+      UNION SELECT output, p_reply FROM t),
+each AS (SELECT output, coalesce(sum(n), 0)::BIGINT AS n_triplets,
+                (SELECT count(*) FROM x WHERE x.output = i.output AND text IS NOT NULL) AS n_texts
+         FROM (SELECT unnest(['a__test_soft_labels.jsonl', 'b__test_soft_labels.jsonl']) AS output) i LEFT JOIN t USING (output) GROUP BY output)
+SELECT output, n_triplets, n_texts, 0::BIGINT AS n_missing FROM each
+UNION ALL SELECT NULL, sum(n_triplets)::BIGINT, sum(n_texts)::BIGINT, 0 FROM each
+"""
+
+ORACLES["file_sample_lines"] = TEXT_CTE + """
+SELECT row_number() OVER (ORDER BY conv_id, turn) - 1 AS line, md5(query) AS query_md5, CAST(1 AS BIGINT) AS n_positive,
+       CAST((n_reply IS NOT NULL)::INTEGER + (p_reply IS NOT NULL)::INTEGER AS BIGINT) AS n_negative FROM s
+"""
+
+ORACLES["training_shards"] = with_jv(HARD_CTE + """
+, n AS (SELECT qid, (row_number() OVER (ORDER BY qid, pos_rank, neg_rank) - 1) // 512 AS shard FROM ht)
+SELECT shard, count(*) AS n_rows, min(qid) AS first_qid, max(qid) AS last_qid FROM n GROUP BY shard
+""")
+
+ORACLES["output_names"] = r"""
+SELECT page_id, CASE WHEN regexp_matches(url, '[^/]\.[^./]*$') THEN regexp_replace(url, '([^/])(\.[^./]*)$', '\1_scored\2')
+                     ELSE url || '_scored' END AS output,
+       string_split(url, '_')[-1] AS metric FROM pages
 """
+
+ORACLES["embedded_once"] = TEXT_CTE + """
+, tx AS (SELECT query AS text FROM s UNION ALL SELECT reply FROM s UNION ALL SELECT n_reply FROM s UNION ALL SELECT p_reply FROM s),
+told AS (SELECT DISTINCT text FROM tx WHERE text IS NOT NULL),
+""" + EMBED_CTE + "SELECT sha256(text) AS digest, md5(said) AS vector_md5 FROM vectors"
+
+ORACLES["score_distribution"] = with_jv(f"""
+, e AS (SELECT qid, pid, exp(teacher / 0.5 - max(teacher / 0.5) OVER (PARTITION BY qid)) AS x FROM pairs)
+SELECT qid, count(*) OVER (PARTITION BY qid) AS n, row_number() OVER (PARTITION BY qid ORDER BY pid) - 1 AS place,
+       {_fix('x / sum(x) OVER (PARTITION BY qid)', 6)} AS p FROM e
+""")

@@ -88,31 +88,34 @@ def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vector_pair_candidates(spark: SparkSession, sf_dir: str, window: int = CANDIDATE_WINDOW) -> DataFrame:
     """The banded candidate join with both sides' vectors attached (``q_*`` / ``p_*``).
 
-    The band ``pid in (qid, qid + window]`` is an equi-join on ``qid + offset``: the
-    offsets are exploded on the query side, which is the only replication (``window``x).
+    The band ``pid in (qid, qid + window]`` is an interval join by buckets of ``window`` ids: a
+    query's candidates lie in its own bucket or the next one, so each passage goes to two
+    buckets, each query to one, and the band is checked within a bucket (at most ``window``
+    queries by two ``window`` passages). A vector is moved three times at most, however wide
+    the band.
     """
     vecs = embedding_vectors(spark, sf_dir)
-    # the query side is replicated `window` times and carries the per-pair cosine work:
-    # spread it over all cores when the input arrives in few splits
+    bucket = lambda c: F.floor(F.col(c) / window)
+    # pair scoring is per-query work: spread it over all cores when the input is a few splits
     q = spread(vecs).select(
         F.col("vec_id").alias("qid"), F.col("label").alias("qlabel"),
         F.col("v").alias("q_v"), F.col("n").alias("q_n"),
         F.col("v1").alias("q_v1"), F.col("n1").alias("q_n1"),
         F.col("v2").alias("q_v2"), F.col("n2").alias("q_n2"),
-        F.explode(F.sequence(F.lit(1), F.lit(window))).alias("off"),
-    ).withColumn("cand", F.col("qid") + F.col("off"))
+    ).withColumn("bucket", bucket("qid"))
     p = vecs.select(
         F.col("vec_id").alias("pid"), F.col("label").alias("plabel"),
         F.col("v").alias("p_v"), F.col("n").alias("p_n"),
         F.col("v1").alias("p_v1"), F.col("n1").alias("p_n1"),
         F.col("v2").alias("p_v2"), F.col("n2").alias("p_n2"),
-    )
-    return q.join(p, q["cand"] == p["pid"], "inner")
+    ).withColumn("p_bucket", F.explode(F.array(bucket("pid"), bucket("pid") - 1)))
+    band = (q["bucket"] == p["p_bucket"]) & (F.col("pid") > F.col("qid")) & (F.col("pid") <= F.col("qid") + window)
+    return q.join(p, band, "inner").drop("bucket", "p_bucket")
 
 
 @view
 def judged_vector_pairs(spark: SparkSession, sf_dir: str, window: int = CANDIDATE_WINDOW) -> DataFrame:
-    """``qid, pid, rel, side, domain, seq, teacher, before, after`` (scores fixed to 9 decimals)."""
+    """``qid, pid, rel, side, domain, qlabel, seq, teacher, before, after`` (scores fixed to 9 decimals)."""
     joined = vector_pair_candidates(spark, sf_dir, window)
     rel = (F.col("qlabel") == F.col("plabel")).cast("int")
     return joined.select(
@@ -121,6 +124,7 @@ def judged_vector_pairs(spark: SparkSession, sf_dir: str, window: int = CANDIDAT
         rel.alias("rel"),
         F.when(rel == 1, F.lit("positive")).otherwise(F.lit("negative")).alias("side"),
         F.when(F.col("qlabel") <= IN_DOMAIN_MAX_LABEL, F.lit("in")).otherwise(F.lit("out")).alias("domain"),
+        "qlabel",
         F.col("pid").alias("seq"),
         fix9(cosine("q_v", "p_v", "q_n", "p_n")).alias("teacher"),
         fix9(cosine("q_v1", "p_v1", "q_n1", "p_n1")).alias("before"),
@@ -227,6 +231,24 @@ def document_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@view
+def document_heads(spark: SparkSession, sf_dir: str, n_chars: int) -> DataFrame:
+    """:func:`document_samples` with each text as ``struct<head, n_chars>``: its first ``n_chars``
+    characters and its whole length. What is cut off doesn't cross the shuffle."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    part = F.struct(F.left("text", F.lit(n_chars)).alias("head"), F.length("text").cast("long").alias("n_chars"))
+    # a document is the query of its own sample and a candidate of the three before it
+    rows = docs.select("doc_id", part.alias("part"))
+    rows = rows.select("part", F.explode(F.array(*[
+        F.struct((F.col("doc_id") - k).alias("sample"), F.lit(k).alias("slot")) for k in range(4)
+    ])).alias("e")).select(F.col("e.sample").alias("doc_id"), F.col("e.slot").alias("slot"), "part")
+    pick = lambda k: F.max(F.when(F.col("slot") == k, F.col("part")))
+    s = rows.groupBy("doc_id").agg(pick(0).alias("query"), pick(1).alias("p1"), pick(2).alias("n1"), pick(3).alias("n2"))
+    s = s.filter(F.col("query").isNotNull() & F.col("p1").isNotNull())
+    return s.select("doc_id", "query", F.array("p1").alias("positive"),
+                    F.filter(F.array("n1", "n2"), lambda x: x.isNotNull()).alias("negative"))
+
+
 @view
 def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: ``doc_id, text_key, text_md5, n_chars, vec_id, embedding``.

@@ -84,6 +84,12 @@ def _read(spark, paths, schema, mode: str, on_missing: str, min_partitions: int
     return df
 
 
+def read_lines(spark: SparkSession, paths, schema, min_partitions: int | None = None) -> DataFrame:
+    """Every line of JSONL files, malformed ones too: the fields (NULL where malformed), the
+    corrupt record, ``source_file`` and ``seq``."""
+    return _read(spark, paths, schema, "lenient", "skip", min_partitions)
+
+
 def _touch(array_cols) -> F.Column:
     """An always-false predicate that references every list field. JSON parsing is pruned
     to the referenced fields, and a type error in an unreferenced field does not mark the
@@ -181,9 +187,12 @@ def written_outputs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("output string").json(path)
 
 
-def write_training_shards(df: DataFrame, path: str, rows_per_shard: int = 512, mode: str = "overwrite") -> None:
-    """Training export: at most ``rows_per_shard`` rows per file (one optimizer step of
-    16 x 32 = 512 triplets by default), no count or global sort needed."""
-    if rows_per_shard <= 0:
-        raise ValueError("rows_per_shard must be positive")
-    df.write.mode(mode).option("maxRecordsPerFile", rows_per_shard).option("ignoreNullFields", "false").json(path)
+def write_training_shards(df: DataFrame, path: str, rows_per_shard: int = 512, mode: str = "overwrite",
+                          order: Sequence[str] = ()) -> None:
+    """Training export: files of exactly ``rows_per_shard`` rows (one optimizer step of
+    16 x 32 = 512 triplets by default), but for the last one. Files read by name hold the rows
+    by ``order`` (which should be unique), or in the order of ``df``'s partitions."""
+    from distillery.sources.ordering import in_shards
+
+    in_shards(df, rows_per_shard, order).write.mode(mode).option("maxRecordsPerFile", rows_per_shard).option(
+        "ignoreNullFields", "false").json(path)

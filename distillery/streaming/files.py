@@ -55,7 +55,8 @@ def start_triplet_stream(
         spark.readStream.schema(schemas.SCORED_PAIR).option("maxFilesPerTrigger", 1).json(scored_dir)
         .select("*", F.col("_metadata.file_path").alias("source_file"),
                 F.col("_metadata.file_block_start").alias("_block"))
-        .filter(F.col("score").isNotNull() & ~F.isnan("score"))
+        # the readers' rule: what lacks a key or a rankable score takes no part
+        .filter(F.col("query").isNotNull() & F.col("passage").isNotNull() & F.col("score").isNotNull() & ~F.isnan("score"))
     )
 
     def mine(batch: DataFrame, batch_id: int) -> None:

@@ -71,8 +71,8 @@ def test_report_shape(spark):
     assert {r.metric for r in rep} == {"map", "mrr@10", "ndcg@10"}
 
 
-@pytest.mark.parametrize("num_ranges", [1, 3, 1024])
-def test_split_method_against_brute_force_with_hot_query(spark, num_ranges):
+@pytest.mark.parametrize("range_levels", [1, 3, 1024])
+def test_split_method_against_brute_force_with_hot_query(spark, range_levels):
     rng = random.Random(5)
     rows, expect = [], {}
     groups = {q: [(float(rng.randint(0, 4)), rng.randint(0, 1), i) for i in range(rng.randint(1, 25))]
@@ -83,7 +83,7 @@ def test_split_method_against_brute_force_with_hot_query(spark, num_ranges):
         rows += [(q, s, r, i) for s, r, i in cands]
         expect[q] = brute(cands)
     df = spark.createDataFrame(rows, "qid long, score double, rel int, seq long").repartition(6)
-    got = metrics.per_query_metrics(df, ["qid"], empty_side="zero", method="split", num_ranges=num_ranges).collect()
+    got = metrics.per_query_metrics(df, ["qid"], empty_side="zero", method="split", range_levels=range_levels).collect()
     assert len(got) == len(groups)
     for r in got:
         ap, rr, nd = expect[r.qid]
