@@ -13,7 +13,6 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,16 +36,13 @@ class VectorStore:
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             path = f"{top.rstrip('/')}/vectors-{uuid.uuid4().hex}"
         self.spark, self.path = spark, path.rstrip("/")
+        # an empty run, so that there is always something to read
+        spark.createDataFrame([], SCHEMA).write.mode("ignore").parquet(f"{self.path}/run=0")
 
     def rows(self) -> DataFrame:
         """What the runs have added: ``digest, embedding``. Two runs at the same time may both
         add a text's vector."""
-        try:
-            return self.spark.read.schema(SCHEMA).parquet(f"{self.path}/run=*").select("digest", "embedding")
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return self.spark.createDataFrame([], SCHEMA)
+        return self.spark.read.schema(SCHEMA).parquet(f"{self.path}/run=*").select("digest", "embedding")
 
     def table(self) -> DataFrame:
         """``digest, embedding``, unique by digest."""
