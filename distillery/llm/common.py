@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -34,12 +35,42 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ROW_BITS = (1 << 33) - 1  # of monotonically_increasing_id: the row within its partition
+
+
+def stored_by_part(df: DataFrame) -> DataFrame:
+    """Like :func:`stored`, with each row's place: ``x_part`` (the partition that wrote it) and
+    ``x_at`` (its number there, from 0). The table is bucketed by ``x_part``, one file a partition,
+    so that a join on ``x_part`` reads these rows where they are: what was decided about them
+    comes to them (see :func:`decided`), however long their texts."""
+    spark = df.sparkSession
+    path, name = shared_folder(spark), f"llm_{uuid.uuid4().hex}"
+    placed = df.select("*", F.spark_partition_id().alias("x_part"),
+                       F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)).alias("x_at"))
+    placed.write.format("parquet").bucketBy(max(1, df.rdd.getNumPartitions()), "x_part").option("path", path).saveAsTable(name)
+    out = spark.table(name).select(*placed.columns)
+    out.schema  # noqa: B018  resolved, then the name isn't needed any more
+    return out
+
+
+def decided(rows: DataFrame, decisions: DataFrame, out: str) -> DataFrame:
+    """``rows`` of :func:`stored_by_part` with ``out``: a struct of the other columns of
+    ``decisions``, which have one row for each of ``rows``, by ``x_part, x_at``. The decisions
+    are gathered by partition, as many of them as it has rows, and looked up by place."""
+    fields = [c for c in decisions.columns if c not in ("x_part", "x_at")]
+    lists = decisions.groupBy(F.col("x_part").alias("x_p")).agg(
+        F.sort_array(F.collect_list(F.struct("x_at", *fields))).alias("x_list"))
+    told = rows.join(lists, F.col("x_part") == F.col("x_p"))
+    return told.withColumn(out, F.get("x_list", F.col("x_at").cast("int"))).drop("x_p", "x_list")
+
+
 def text_key(text: Column) -> Column:
     """128-bit digest of a text (null and empty differ), as two longs."""
     return F.struct(F.xxhash64(text, F.lit(1)).alias("a"), F.xxhash64(F.lit(2), text, text.isNull()).alias("b"))
 
 
-def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list]]:
+def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text",
+              chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
     """Each Arrow batch cut into slices of a bounded amount of text, with its decoded texts
     (None where null). A single longer row is a slice of its own."""
     for batch in batches:
@@ -47,7 +78,7 @@ def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterat
         sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
-            if i > start and total + size > SLICE_CHARS:
+            if i > start and total + size > chars:
                 part = batch.slice(start, i - start)
                 yield part, part.column(at).to_pylist()
                 start, total = i, 0
@@ -59,17 +90,24 @@ def in_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterat
 
 def map_texts(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
-    """``mapInArrow``: no shuffle, one pass over the scan's partitions. A task that ends hands
-    its freed memory back, as its Python worker lives on beside those of other stages."""
+    """``mapInArrow``: no shuffle, one pass over the scan's partitions. A task drops what earlier
+    tasks have left in its Python worker, and hands its own freed memory back, as the worker
+    lives on beside those of other stages."""
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from function(batches)
         hand_back()
+        try:
+            yield from function(batches)
+        finally:
+            hand_back()
 
     return df.mapInArrow(mapped, schema)
 
 
 def hand_back() -> None:
-    """Return freed memory to the system: Arrow's and, where the C library can, its own."""
+    """Return freed memory to the system: Arrow's and, where the C library can, its own. A
+    task's functions come with their own copy of the package, which only the collector of
+    cycles lets go of."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

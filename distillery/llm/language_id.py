@@ -107,7 +107,7 @@ def train(docs: DataFrame, learn_from: Column, per_lang: int = SAMPLE_PER_LANG,
     counts[got.slot.to_numpy(int), [langs.index(x) for x in got.lang]] = got.n
     grams = counts[:BUCKETS] + 0.3
     words = counts[BUCKETS:]
-    return Model(langs, np.log(grams / grams.sum(axis=0)), words >= np.maximum(1, 0.01 * words.sum(axis=0)))
+    return Model(langs, np.log(grams / grams.sum(axis=0)).astype(np.float32), words >= np.maximum(1, 0.01 * words.sum(axis=0)))
 
 
 def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
@@ -169,8 +169,8 @@ class Labeller:
         self.told = np.concatenate([self.told, told])
         self.scores = np.concatenate([self.scores, scores])
 
-    def label(self, texts: list[str | None]) -> list[tuple[str, float, list[dict]]]:
-        """Of each text: language, share of its letters so labelled, and spans of words. Words in a
+    def label(self, texts: list[str | None], spans: bool = True) -> list[tuple[str, float, list[dict]]]:
+        """Of each text: language, share of its letters so labelled, and spans of words (if asked for). Words in a
         script that no language writes count as letters, but for no language."""
         langs = self.model.langs
         words = [t.lower().split() if t is not None else [] for t in texts]
@@ -190,11 +190,12 @@ class Labeller:
             a, b = end[i] - sizes[i], end[i]
             share = np.bincount(labels[a:b], told[a:b], len(langs))
             if share.sum():
-                cut = np.concatenate([[0], np.flatnonzero(np.diff(labels[a:b])) + 1, [b - a]])
-                best = int(share.argmax())
-                spans = [{"lang": langs[labels[a + x]], "first_word": int(x), "n_words": int(y - x)}
-                         for x, y in zip(cut, cut[1:])]
-                out[i] = (langs[best], float(share[best] / letters[a:b].sum()), spans)
+                best, runs = int(share.argmax()), []
+                if spans:
+                    cut = np.concatenate([[0], np.flatnonzero(np.diff(labels[a:b])) + 1, [b - a]])
+                    runs = [{"lang": langs[labels[a + x]], "first_word": int(x), "n_words": int(y - x)}
+                            for x, y in zip(cut, cut[1:])]
+                out[i] = (langs[best], float(share[best] / letters[a:b].sum()), runs)
             elif _LETTER.search(texts[i]):
                 out[i] = (langs[0], 0.0, [])
         return out
@@ -203,9 +204,15 @@ class Labeller:
 SPANS = "array<struct<lang:string,first_word:long,n_words:long>>"
 
 
+#: Characters of text that are labelled at once: their words' scores are held together.
+LABEL_CHARS = 250_000
+
+
 def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, text: str = "text",
-             keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` and ``lang_pred, score, spans`` of every row. Only the text decides.
+             keep: list[str] | None = None, spans: bool = True, least: float | None = None) -> DataFrame:
+    """The columns ``keep`` and ``lang_pred, score, spans`` of every row (without the last if ``spans``
+    is false). Only the text decides. With ``least``, rows that are ``und`` or score less are left out,
+    before they leave the task.
 
     A text that is null, empty or without a letter is ``und`` with score 0 and no spans, as
     is every text if nothing was learnt. Repeated rows are labelled alike; other columns pass
@@ -213,21 +220,28 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, tex
     """
     keep = list(keep or [])
     schema = ", ".join([f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
-                       + ["lang_pred string", "score double", f"spans {SPANS}"])
+                       + ["lang_pred string", "score double"] + [f"spans {SPANS}"] * spans)
+    at = f"c{keep.index(text)}" if text in keep else "x_text"  # a text that is kept is sent once
+    n = len(keep)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model, penalty)
         kinds = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
-        for part, texts in in_slices(batches, "x_text"):
-            got = labeller.label(texts)
-            yield pa.RecordBatch.from_arrays(
-                [*part.columns[1:], pa.array([x[0] for x in got], pa.string()),
-                 pa.array([x[1] for x in got], pa.float64()), pa.array([x[2] for x in got], kinds)],
-                [*part.schema.names[1:], "lang_pred", "score", "spans"])
-
-    rows = docs.select(F.col(text).alias("x_text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)])
+        for part, texts in in_slices(batches, at, LABEL_CHARS):
+            got = labeller.label(texts, spans)
+            if least is not None:
+                rows = [i for i, x in enumerate(got) if x[0] != "und" and x[1] >= least]
+                part, got = part.take(pa.array(rows, pa.int64())), [got[i] for i in rows]
+            columns = [pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())]
+            if spans:
+                columns.append(pa.array([x[2] for x in got], kinds))
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], *columns], [
+                *part.schema.names[:n], "lang_pred", "score", *["spans"] * spans])
+
+    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)],
+                       *([] if text in keep else [F.col(text).alias("x_text")]))
     return map_texts(rows, label, schema).select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "spans")
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", *["spans"] * spans)
 
 
 def held_out(key: str = "doc_id") -> Column:
