@@ -158,6 +158,7 @@ def tokenized(docs: DataFrame, tokenizer: str, capacity: int, last_id: int, key:
                           pa.list_(pa.int64())),
                  pa.array([x[len(x) - len(x) % size:] for x in ids], pa.binary())],
                 ["row_id", "key", "n", "crcs", "ids"])
+        counter.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(key).alias("key"),

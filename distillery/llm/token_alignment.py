@@ -235,6 +235,7 @@ def align(docs: DataFrame, byte_tokenizer: str = "byte_bpe_50k.json", piece_toke
             chars += size
         if held:
             yield _block(number, held)
+        aligner.a.counter.forget()
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     blocks = stored(map_texts(rows, gather, block))

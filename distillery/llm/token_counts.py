@@ -223,9 +223,9 @@ class Counter:
         fold = self.encoder.folded
         cut = [None if t is not None and len(t) > self.chunk else PIECE.findall(fold(t or "")) for t in texts]
         new = set(filterfalse(memo.__contains__, chain.from_iterable(x for x in cut if x)))
-        known = new.intersection(older)
-        memo.update((p, older[p]) for p in known)
-        new -= known
+        known = {p: older[p] for p in new if p in older}
+        memo.update(known)
+        new.difference_update(known)
         self._learn(new)
         out = [np.array(spliced(self.encoder, text, self.chunk, self.overlap), "<u4").tobytes() if pieces is None
                else b"".join(map(memo.__getitem__, pieces)) for text, pieces in zip(texts, cut)]
@@ -234,6 +234,10 @@ class Counter:
                 del memo[p]
         return out
 
+    def forget(self) -> None:
+        """Drop the memo, as a task does at its end."""
+        self.memo, self.older = {}, {}
+
     def counts(self, texts: list[str | None]) -> list[int]:
         return [len(x) // 4 for x in self.ids(texts)]
 
@@ -264,6 +268,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
         for part, texts in in_slices(batches):
             n = pa.array(counter.counts(texts), pa.int64())
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), n], ["key", "n_bytes", "n_tokens"])
+        counter.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
