@@ -1,15 +1,15 @@
 """Mixing sources to target weights by a low-discrepancy schedule. DataFrame operations only.
 
 Every source's documents are shuffled (by digest) and their words laid end to end; the
-stream is cut into blocks of equal size. Slot i of the schedule has the golden-ratio point
-frac(i * phi), which the cumulative targets map to a source; the slots of a source are
-ranked, and the slot of rank r takes block r modulo the number of blocks, so that a source
-is repeated only after all of it was taken. Golden-ratio points are evenly spread in every
-prefix of the schedule: each source's share holds all along, to a few blocks.
-
-A few blocks are much of a small source. A source of fewer than ``SETTLED`` blocks therefore
-has blocks of one word, and as many of them as its target: the words of its stream are taken
-in turn, over and over, until the target is met.
+stream is cut into blocks of equal size, a size of the source's own: that of the mix, or, in a
+small source, so much less that it has about ``LEAST_BLOCKS`` of them, down to a word each.
+A source's target is a number of blocks, its quota. Slot i of the schedule has the
+golden-ratio point frac(i * phi), which the cumulative quotas map to a source; the slots of a
+source are ranked, and the slot of rank r takes block r modulo the number of blocks, so that a
+source is repeated only after all of it was taken. Golden-ratio points are evenly spread in
+every prefix of the schedule: each source's share holds all along, to a few blocks. A source
+ends with its quota: what it gets beyond it is left out, and what it lacks by then (a few
+slots) follows at the schedule's end.
 """
 
 from __future__ import annotations
@@ -18,15 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from distillery.llm.common import prefix_sum, stored
+from distillery.llm.common import ROW_BITS, decided, prefix_sum, stored, stored_by_part
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Points are multiples of 2**-31; the step is the odd number next to 2**31 divided by the golden ratio.
 GRID, STEP = 1 << 31, 1327217885
 CELLS = 4096
 CHUNK = 1 << 14
-#: Sources of fewer blocks are taken word by word, to their target.
-SETTLED = 128
+#: Blocks that a source has at least, if it has so many words.
+LEAST_BLOCKS = 1024
 
 
 def targets(rows: DataFrame, weights: tuple[int, ...], share: float, most: int) -> DataFrame:
@@ -53,27 +53,41 @@ def targets(rows: DataFrame, weights: tuple[int, ...], share: float, most: int)
         F.col("full"), F.col("bound").cast("double")).otherwise(F.col("weight") * F.col("rest") / F.col("open")).alias("target"))
 
 
-def schedule(spark, sources: DataFrame, block: int, slots: int, most: int) -> DataFrame:
-    """``slot, sid, rank, block``: the sources' blocks in the order of the mix. A source is
-    taken ``most`` times at most; later slots that would take it again stay empty."""
+def with_quotas(sources: DataFrame, block: int, most: int) -> DataFrame:
+    """``sources`` with ``own`` (words of a block), ``blocks`` and ``quota`` (blocks to take): as many
+    whole rounds as the target holds, and of the last round so many blocks as come nearest."""
+    size, target = F.col("source_size"), F.col("target")
+    s = sources.withColumn("own", F.greatest(F.lit(1).cast("long"), F.least(
+        F.lit(block).cast("long"), F.floor(size / LEAST_BLOCKS)))).withColumn("blocks", F.ceil(size / F.col("own")))
+    rounds = F.least(F.floor(F.try_divide(target, size)), F.lit(most).cast("long"))
+    last = F.least(F.col("blocks"), F.floor((target - rounds * size) / F.col("own") + 0.5))
+    return s.withColumn("quota", F.when((size > 0) & (target > 0), F.least(
+        rounds * F.col("blocks") + last, most * F.col("blocks"))).otherwise(F.lit(0)).cast("long"))
+
+
+def schedule(spark, sources: DataFrame, slots: int, n_sources: int) -> DataFrame:
+    """``slot, sid, rank, block``: the sources' blocks in the order of the mix, from the rows of
+    :func:`with_quotas`; ``slots`` is the sum of quotas."""
     all_ = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, 0)
-    s = sources.withColumn("part", F.round(F.col("target") * 1024).cast("long"))
-    s = s.withColumn("upto", F.sum("part").over(all_)).withColumn("whole", F.sum("part").over(Window.partitionBy()))
-    edge = lambda c: F.floor(c.cast("double") / F.col("whole") * F.lit(float(GRID)))
-    s = s.filter("part > 0").select("sid", F.ceil(F.col("source_size") / block).alias("blocks"),
-                                    edge(F.col("upto") - F.col("part")).alias("lo"), edge(F.col("upto")).alias("hi"))
+    s = sources.filter("quota > 0").withColumn("upto", F.sum("quota").over(all_))
+    edge = lambda c: F.floor(c.cast("double") / F.lit(float(max(slots, 1))) * F.lit(float(GRID)))
+    s = s.select("sid", "blocks", "quota", edge(F.col("upto") - F.col("quota")).alias("lo"), edge(F.col("upto")).alias("hi"))
     width = GRID // CELLS
-    s = s.filter("hi > lo").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))))
+    cells = s.filter("hi > lo").withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))))
     points = spark.range(slots).select(F.col("id").alias("slot"), (F.col("id") % GRID * STEP % GRID).alias("point"))
-    hit = points.withColumn("cell", F.floor(F.col("point") / width)).join(s, "cell").filter("lo <= point and point < hi")
-    hit = hit.withColumn("chunk", F.floor(F.col("slot") / CHUNK)).select("slot", "sid", "blocks", "chunk")
-    counts = hit.groupBy("sid", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    hit = points.withColumn("cell", F.floor(F.col("point") / width)).join(cells, "cell").filter("lo <= point and point < hi")
+    hit = hit.withColumn("chunk", F.floor(F.col("slot") / CHUNK)).select("slot", "sid", "blocks", "quota", "chunk")
+    counts = stored(hit.groupBy("sid", "chunk").agg(F.count(F.lit(1)).alias("n")))
     before = Window.partitionBy("sid").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("sid", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    earlier = counts.select("sid", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("sid", "chunk").orderBy("slot")
-    ranked = hit.join(counts, ["sid", "chunk"]).withColumn("rank", F.col("before") + F.row_number().over(inside) - 1)
-    return ranked.filter(F.col("rank") < most * F.col("blocks")).select(
-        "slot", "sid", "rank", (F.col("rank") % F.col("blocks")).alias("block"))
+    ranked = hit.join(earlier, ["sid", "chunk"]).withColumn("rank", F.col("before") + F.row_number().over(inside) - 1)
+    ranked = ranked.filter(F.col("rank") < F.col("quota")).select("slot", "sid", "rank", "blocks")
+    got = counts.groupBy(F.col("sid").alias("g")).agg(F.sum("n").alias("got"))
+    lacking = s.join(got, F.col("sid") == F.col("g"), "left").withColumn("got", F.coalesce("got", F.lit(0))).filter("got < quota")
+    rest = lacking.withColumn("rank", F.explode(F.sequence(F.col("got"), F.col("quota") - 1)))
+    rest = rest.select((F.lit(slots) + (F.col("rank") - F.col("got")) * n_sources + F.col("sid")).alias("slot"), "sid", "rank", "blocks")
+    return ranked.unionByName(rest).select("slot", "sid", "rank", (F.col("rank") % F.col("blocks")).alias("block"))
 
 
 def block_words(total: float, sources: int) -> int:
@@ -85,48 +99,48 @@ def block_words(total: float, sources: int) -> int:
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
         weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2,
         keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (default: the key) and ``size, source_size, target, taken`` of every row.
+    """Columns ``keep`` (default: the key) and ``size, source_size, target, taken, first_slot`` of every row.
 
     ``taken`` counts the words that the scheduled blocks take of a document, repeats counted:
-    at most ``most`` x its size. A source of fewer than ``SETTLED`` blocks gets its target to a
-    word, a larger one to a few blocks. A null text has size 0; null sources are one source, the
-    last. Of repeated rows each is a document (which of them is taken when doesn't matter).
-    An empty table gives an empty mix. Reruns agree, whatever the partitioning.
+    at most ``most`` x its size; ``first_slot`` is the first slot that takes some of it (null if none
+    does). A source gets its target to half a block, one of few words to a word. A null text
+    has size 0; null sources are one source, the last. Of repeated rows each is a document
+    (which of them is taken when doesn't matter). An empty table gives an empty mix. Reruns agree,
+    whatever the partitioning.
     """
     spark = docs.sparkSession
     keep = keep or [key]
     digest = F.md5(F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("-")), F.coalesce(F.col(text), F.lit(""))))
-    # a row's number is written down here and read ever after; what is kept stays there
-    base = stored(docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col(source).cast("string").alias("source"),
+    # a row's place is written down here and read ever after; what is kept stays there
+    base = stored_by_part(docs.select(
+        F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         digest.alias("draw"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]))
-    rows = base.select("row_id", "source", "size", "draw")
+    row_id = F.shiftleft(F.col("x_part").cast("long"), 33) + F.col("x_at")
+    rows = base.select(row_id.alias("row_id"), "source", "size", "draw")
     sources = stored(targets(rows, weights, share, most))
     n_sources, mixed = sources.agg(F.count(F.lit(1)), F.sum("target")).first()
-    block = block_words(mixed or 0, n_sources)
-    by_source = sources.select(F.col("source").alias("name"), "sid", "source_size", "target")
+    sources = stored(with_quotas(sources, block_words(mixed or 0, n_sources), most))
+    by_source = sources.select(F.col("source").alias("name"), "sid", "source_size", "target", "own")
     rows = stored(rows.join(by_source, F.col("source").eqNullSafe(F.col("name"))).drop("source", "name"))
-    taken = schedule(spark, sources, block, int((mixed or 0) / block), most).groupBy("sid", "block").agg(
-        F.count(F.lit(1)).alias("times"))
+    slots = sources.agg(F.sum("quota")).first()[0] or 0
+    taken = schedule(spark, sources, slots, n_sources).groupBy("sid", "block").agg(
+        F.count(F.lit(1)).alias("times"), F.min("slot").alias("first"))
     hexes = F.conv(F.substring("draw", 1, 8), 16, 10).cast("long")
-    placed = prefix_sum(rows.filter("size > 0").select("row_id", "sid", "size", "draw", "source_size", "target"), F.col("size"),
+    placed = prefix_sum(rows.filter("size > 0").select("row_id", "sid", "size", "draw", "own"), F.col("size"),
                         ["draw", "row_id"], "at", ("sid",), lambda n: F.floor(hexes * n / F.lit(float(1 << 32))))
-    due = F.least(F.round("target").cast("long"), F.col("source_size") * most)
-    turns, rest = F.floor(due / F.col("source_size")), due % F.col("source_size")
-    settled = turns * F.col("size") + F.least(F.greatest(rest - F.col("at"), F.lit(0)), F.col("size"))
-    placed = placed.withColumn("settled", F.when(F.ceil(F.col("source_size") / block) < SETTLED, settled))
-    first = F.floor(F.col("at") / block)
-    pieces = placed.withColumn("block", F.explode(F.when(F.col("settled").isNotNull(), F.array(first)).otherwise(
-        F.sequence(first, F.floor((F.col("at") + F.col("size") - 1) / block)))))
-    words = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
-    parts = pieces.select("row_id", "sid", "block", "settled", words.alias("words")).join(
-        taken, ["sid", "block"], "left").groupBy("row_id").agg(
-        F.sum(F.coalesce("settled", F.col("words") * F.col("times"))).alias("taken"))
-    done = rows.join(parts, "row_id", "left").select("row_id", "source_size", "target", "taken")
-    return base.join(stored(done), "row_id").select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "size", "source_size", "target",
-        F.coalesce("taken", F.lit(0)).alias("taken"))
+    own = F.col("own")
+    pieces = placed.withColumn("block", F.explode(F.sequence(
+        F.floor(F.col("at") / own), F.floor((F.col("at") + F.col("size") - 1) / own))))
+    words = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * own) - F.greatest("at", F.col("block") * own)
+    parts = pieces.select("row_id", "sid", "block", words.alias("words")).join(taken, ["sid", "block"]).groupBy("row_id").agg(
+        F.sum(F.col("words") * F.col("times")).alias("taken"), F.min("first").alias("first_slot"))
+    done = stored(rows.join(parts, "row_id", "left").select(
+        F.shiftright("row_id", 33).cast("int").alias("x_part"), F.col("row_id").bitwiseAND(F.lit(ROW_BITS)).alias("x_at"),
+        "source_size", "target", "taken", "first_slot"))
+    return decided(base, done, "x_mix").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "size", "x_mix.source_size", "x_mix.target",
+        F.coalesce("x_mix.taken", F.lit(0)).alias("taken"), "x_mix.first_slot")
 
 
 #: The same in DuckDB SQL, over the table ``documents``.
@@ -146,22 +160,29 @@ s6 AS (SELECT *, budget - (sum(CASE WHEN filled THEN bound ELSE 0 END) OVER ()):
               all_weights - (sum(CASE WHEN filled THEN weight ELSE 0 END) OVER ())::BIGINT AS opened FROM s5),
 s AS (SELECT source, source_size, sid, CASE WHEN filled THEN bound::DOUBLE ELSE weight * rest / opened END AS target FROM s6),
 b AS (SELECT greatest(1, floor(sqrt(sum(target) / count(*)) / 8)::BIGINT) AS block, sum(target) AS mixed FROM s),
-p0 AS (SELECT *, round(target * 1024)::BIGINT AS part FROM s),
-p1 AS (SELECT *, (sum(part) OVER (ORDER BY sid))::BIGINT AS upto, (sum(part) OVER ())::BIGINT AS whole_ FROM p0),
-p AS (SELECT sid, ceil(source_size::DOUBLE / block)::BIGINT AS blocks,
-             floor((upto - part)::DOUBLE / whole_ * 2147483648.0::DOUBLE)::BIGINT AS lo,
-             floor(upto::DOUBLE / whole_ * 2147483648.0::DOUBLE)::BIGINT AS hi FROM p1, b WHERE part > 0),
-slots AS (SELECT range AS slot, range % 2147483648 * 1327217885 % 2147483648 AS point
-          FROM range((SELECT floor(mixed / block)::BIGINT FROM b))),
-ranked AS (SELECT sid, blocks, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
-           FROM slots JOIN p ON lo <= point AND point < hi),
-taken AS (SELECT sid, rank % blocks AS block, count(*) AS times FROM ranked WHERE rank < 2 * blocks GROUP BY ALL),
-placed AS (SELECT d.*, sid, source_size, target, row_number() OVER () AS row_id,
+q0 AS (SELECT s.*, greatest(1, least(block, floor(source_size::DOUBLE / 1024)::BIGINT)) AS own FROM s, b),
+q1 AS (SELECT *, ceil(source_size::DOUBLE / own)::BIGINT AS blocks,
+              CASE WHEN source_size > 0 THEN least(floor(target / source_size)::BIGINT, 2) END AS rounds FROM q0),
+q AS (SELECT *, CASE WHEN source_size > 0 AND target > 0 THEN least(rounds * blocks + least(blocks,
+              floor((target - rounds * source_size) / own + 0.5::DOUBLE)::BIGINT), 2 * blocks) ELSE 0 END AS quota FROM q1),
+n AS (SELECT coalesce(sum(quota), 0)::BIGINT AS slots, count(*) AS n_sources FROM q),
+p AS (SELECT sid, blocks, quota, floor((upto - quota)::DOUBLE / slots * 2147483648.0::DOUBLE)::BIGINT AS lo,
+             floor(upto::DOUBLE / slots * 2147483648.0::DOUBLE)::BIGINT AS hi
+      FROM (SELECT *, (sum(quota) OVER (ORDER BY sid))::BIGINT AS upto FROM q WHERE quota > 0), n),
+points AS (SELECT range AS slot, range % 2147483648 * 1327217885 % 2147483648 AS point FROM range((SELECT slots FROM n))),
+hits AS (SELECT sid, blocks, quota, slot, row_number() OVER (PARTITION BY sid ORDER BY slot) - 1 AS rank
+         FROM points JOIN p ON lo <= point AND point < hi),
+lacking AS (SELECT p.sid, blocks, quota, coalesce(got, 0) AS got FROM p LEFT JOIN (SELECT sid, count(*) AS got FROM hits GROUP BY sid) USING (sid)
+            WHERE coalesce(got, 0) < quota),
+rest AS (SELECT sid, blocks, got, unnest(range(got, quota)) AS rank FROM lacking),
+ranked AS (SELECT sid, rank % blocks AS block, slot FROM hits WHERE rank < quota
+           UNION ALL SELECT sid, rank % blocks, slots + (rank - got) * n_sources + sid FROM rest, n),
+taken AS (SELECT sid, block, count(*) AS times, min(slot) AS first FROM ranked GROUP BY ALL),
+placed AS (SELECT d.*, sid, source_size, target, own, row_number() OVER () AS row_id,
                   (coalesce(sum(size) OVER (PARTITION BY sid ORDER BY draw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS pos
-           FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
-pieces AS (SELECT row_id, sid, pos, size, unnest(range(pos // b.block, (pos + size - 1) // b.block + 1)) AS block, b.block AS width
-           FROM placed, b WHERE size > 0),
-parts AS (SELECT row_id, sum((least(pos + size, (pieces.block + 1) * width) - greatest(pos, pieces.block * width)) * times) AS taken
+           FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+pieces AS (SELECT row_id, sid, pos, size, own, unnest(range(pos // own, (pos + size - 1) // own + 1)) AS block FROM placed WHERE size > 0),
+parts AS (SELECT row_id, sum((least(pos + size, (block + 1) * own) - greatest(pos, block * own)) * times) AS taken, min(first) AS first_slot
           FROM pieces JOIN taken USING (sid, block) GROUP BY row_id)
-SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN parts USING (row_id)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, first_slot FROM placed LEFT JOIN parts USING (row_id)
 """

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distillery.llm.common import in_slices, map_texts, stored
+from distillery.llm.common import ROW_BITS, decided, in_slices, map_texts, stored, stored_by_part
 from distillery.llm.components import components
 
 BITS = 64
@@ -55,19 +55,23 @@ def simhash(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shingle: int = 3) -> DataFrame:
-    """A stored row of every document: ``row_id``, ``fp`` (the fingerprint's bits as a long),
-    ``digest`` (of the text) and columns ``keep`` as c0, c1, ..."""
-    schema = ", ".join(["row_id long", "digest long"] + [
+    """A row of every document, stored by part: ``row_id``, ``fp`` (the fingerprint's bits as a
+    long), ``digest`` (of the text) and columns ``keep`` as c0, c1, ... A text that is kept is sent
+    to the Python workers once."""
+    schema = ", ".join(["digest long"] + [
         f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)] + ["fp long"])
+    at = f"c{keep.index(text)}" if text in keep else "x_text"
+    n = 1 + len(keep)
 
     def hash_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in in_slices(batches, "x_text"):
+        for part, texts in in_slices(batches, at):
             fp = np.array([simhash(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*part.columns[1:], pa.array(fp)], [*part.schema.names[1:], "fp"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:n], pa.array(fp)], [*part.schema.names[:n], "fp"])
 
-    return stored(map_texts(docs.select(
-        F.col(text).alias("x_text"), F.monotonically_increasing_id().alias("row_id"), F.xxhash64(text).alias("digest"),
-        *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]), hash_, schema))
+    rows = docs.select(F.xxhash64(text).alias("digest"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)],
+                       *([] if text in keep else [F.col(text).alias("x_text")]))
+    rows = stored_by_part(map_texts(rows, hash_, schema))
+    return rows.withColumn("row_id", F.shiftleft(F.col("x_part").cast("long"), 33) + F.col("x_at"))
 
 
 def bit_statistics(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -243,6 +247,11 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     rows = fingerprints(docs, columns, text, shingle)
     at = columns.index(key)
     small = groups(rows.select("row_id", "digest", F.col(f"c{at}").alias("key"), "fp"), distance)
-    keep = stored(small.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("n"), "key", "digest", "row_id"))
-                                            .alias("first")).select("first.row_id"))
-    return rows.join(keep, "row_id", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+    first = small.groupBy("root").agg(F.min(F.struct(F.col("key").isNull().alias("n"), "key", "digest", "row_id")).alias("first"))
+    keep = first.select("first.row_id").withColumn("stays", F.lit(True))
+    # only ids and decisions are shuffled; the texts stay in the files that they were written to
+    verdicts = stored(small.select("row_id").join(keep, "row_id", "left").select(
+        F.shiftright("row_id", 33).cast("int").alias("x_part"), F.col("row_id").bitwiseAND(F.lit(ROW_BITS)).alias("x_at"),
+        F.coalesce("stays", F.lit(False)).alias("stays")))
+    return decided(rows, verdicts, "x_verdict").filter("x_verdict.stays").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
