@@ -3,8 +3,9 @@
 A document's histograms of character classes and of common words are compared, by
 Jensen-Shannon distance, to the references of its language: the same histograms over all
 texts of that language. Short texts have noisy histograms, so each comparison has its own
-minimum length; a language with too few words has no reference, and its texts (like those
-without a language) are held against the reference of all texts.
+minimum length. A language with too few words has no reference; its texts, like those without
+a language, are held against the nearest of all references (each language's, and that of all
+texts together).
 
 References are aggregations over the whole corpus (pre-aggregated before the shuffle), a row a
 language with a fixed number of common words. Everything about a document is computed within
@@ -135,10 +136,19 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total / 2 / F.ln(F.lit(2.0)), F.lit(0.0)))
 
 
+def _candidates(refs: DataFrame, lang: str, *fields: str) -> DataFrame:
+    """``x_for, x_refs``: the references that a text of a language is held against: its own, or,
+    without a language, all (as many as there are languages)."""
+    one = F.struct(*fields)
+    each = refs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("x_for"), F.array(one).alias("x_refs"))
+    return each.unionByName(refs.agg(F.collect_list(one).alias("x_refs")).select(
+        F.lit(None).cast("string").alias("x_for"), "x_refs"))
+
+
 def measure(docs: DataFrame, refs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
             keep: list[str] | None = None) -> DataFrame:
     """The columns ``keep`` as ``c0, c1, ...``, the counts, ``x_classes``, ``x_held`` (the language
-    whose reference applies; null: all texts) and ``wd`` (distance of the common words)."""
+    whose reference applies; null: the nearest) and ``wd`` (distance of the common words)."""
     keep = list(keep or [key])
     rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)], F.col(text).alias("x_t"),
                        F.col(lang).cast("string").alias("x_l"))
@@ -146,15 +156,19 @@ def measure(docs: DataFrame, refs: DataFrame, key: str = "doc_id", text: str = "
     known = refs.filter("x_lang is not null").select(F.col("x_lang").alias("l"), F.lit(True).alias("known"))
     rows = rows.join(known, F.col("x_l") == F.col("l"), "left").withColumn(
         "x_held", F.when(F.col("known"), F.col("x_l"))).drop("l", "known", "x_l")
-    rows = rows.join(refs, F.col("x_held").eqNullSafe(F.col("x_lang")), "left").drop("x_lang")
+    rows = rows.join(_candidates(refs, "x_lang", "common", "common_part"), F.col("x_held").eqNullSafe(F.col("x_for")), "left").drop("x_for")
     # the references' words: a fixed number for each language
     common = [r[0] for r in refs.select(F.explode("common")).distinct().collect()]
     rows = rows.withColumn("x_words", F.filter("x_words", lambda w: w.isin(common)) if common else F.array().cast("array<string>"))
-    part = F.transform("common", lambda w: (F.size("x_words") - F.size(F.array_remove("x_words", w))) / F.col("n_words"))
-    rows = rows.withColumn("x_part", F.when((F.col("n_words") >= WORD_WORDS) & (F.size("common") > 0), part)).drop("x_words")
-    rest = F.greatest(F.lit(1.0) - F.aggregate("x_part", F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
-    wd = F.when(F.col("x_part").isNotNull(), js_distance(F.concat("x_part", F.array(rest)), F.col("common_part")))
-    return rows.withColumn("wd", wd).drop("common", "common_part", "x_part")
+    rest = lambda p: F.greatest(F.lit(1.0) - F.aggregate(p, F.lit(0.0), lambda a, x: a + x), F.lit(0.0))
+
+    def distance(ref: Column) -> Column:
+        part = F.transform(ref["common"], lambda w: (F.size("x_words") - F.size(F.array_remove("x_words", w))) / F.col("n_words"))
+        return _with(part, lambda p: js_distance(F.concat(p, F.array(rest(p))), ref["common_part"]))
+
+    told = F.filter("x_refs", lambda r: F.size(r["common"]) > 0)
+    wd = F.when(F.col("n_words") >= WORD_WORDS, F.array_min(F.transform(told, distance)))
+    return rows.withColumn("wd", wd).drop("x_refs", "x_words")
 
 
 def quality(docs: DataFrame, refs: DataFrame, classes: DataFrame | None = None, key: str = "doc_id", text: str = "text",
@@ -168,16 +182,16 @@ def quality(docs: DataFrame, refs: DataFrame, classes: DataFrame | None = None,
     short for it (``CLASS_WORDS, WORD_WORDS``), or if a reference is empty; a null distance speaks
     against no text. A null or empty text has no words and fails the base rules. Repeated rows
     and null keys get a row each; a null language, or one without a reference, is held against
-    all texts. Other columns, whatever their names, aren't touched. An empty table gives an
+    the nearest reference. Other columns, whatever their names, aren't touched. An empty table gives an
     empty result.
     """
     keep = list(keep or [key])
     rows = stored(measure(docs, refs, key, text, lang, keep))
     classes = class_references(rows) if classes is None else classes
-    rows = rows.join(classes, F.col("x_held").eqNullSafe(F.col("c_lang")), "left")
+    rows = rows.join(_candidates(stored(classes), "c_lang", "class_part"), F.col("x_held").eqNullSafe(F.col("x_for")), "left")
     shares = F.transform("x_classes", lambda n: n / F.col("word_chars"))
-    told = F.aggregate("class_part", F.lit(0.0), lambda a, x: a + x) > 0
-    cd = F.when((F.col("n_words") >= CLASS_WORDS) & told, js_distance(shares, F.col("class_part")))
+    told = F.filter("x_refs", lambda r: F.aggregate(r["class_part"], F.lit(0.0), lambda a, x: a + x) > 0)
+    cd = F.when(F.col("n_words") >= CLASS_WORDS, F.array_min(F.transform(told, lambda r: js_distance(shares, r["class_part"]))))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = rows.select("*", failed.alias("failed"), cd.alias("cd"))
     fits = F.coalesce(F.col("cd") <= max_class_distance, F.lit(True)) & F.coalesce(F.col("wd") <= max_word_distance, F.lit(True))
@@ -219,17 +233,21 @@ cref AS (SELECT lang, list_transform(s, lambda x: x::DOUBLE / list_sum(s)) AS cq
            SELECT lang, [sum(classes[1]), sum(classes[2]), sum(classes[3]), sum(classes[4]), sum(classes[5]), sum(classes[6])] AS s
            FROM sums GROUP BY lang)),
 e AS (SELECT row_id, n_words, CASE WHEN lang IN (FROM big) THEN lang END AS held FROM f),
-hist AS (SELECT e.row_id, rank, q, coalesce(b.n, 0)::DOUBLE / e.n_words AS p
-         FROM e JOIN part ON held IS NOT DISTINCT FROM part.lang LEFT JOIN by_row b ON b.row_id = e.row_id AND b.w = part.w
-         WHERE e.n_words >= 50),
-rest AS (SELECT row_id, greatest(1 - sum(p ORDER BY rank), 0) AS p, greatest(1 - sum(q ORDER BY rank), 0) AS q FROM hist GROUP BY row_id),
-terms AS (SELECT row_id, p, q FROM hist UNION ALL FROM rest),
-wd AS (SELECT row_id, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END
-                                     + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2 / ln(2), 0)) AS wd FROM terms GROUP BY row_id),
-cd AS (SELECT e.row_id, sqrt(greatest(list_sum(list_transform(list_zip(list_transform(classes, lambda x: x::DOUBLE / word_chars), cq), lambda z:
+-- a text is held against its language's reference, or the nearest of all
+for_ref AS (SELECT DISTINCT lang AS ref, lang AS held FROM part WHERE lang IS NOT NULL UNION ALL SELECT DISTINCT lang, NULL FROM part),
+hist AS (SELECT e.row_id, ref, rank, q, coalesce(b.n, 0)::DOUBLE / e.n_words AS p
+         FROM e JOIN for_ref ON e.held IS NOT DISTINCT FROM for_ref.held JOIN part ON ref IS NOT DISTINCT FROM part.lang
+         LEFT JOIN by_row b ON b.row_id = e.row_id AND b.w = part.w WHERE e.n_words >= 50),
+rest AS (SELECT row_id, ref, greatest(1 - sum(p ORDER BY rank), 0) AS p, greatest(1 - sum(q ORDER BY rank), 0) AS q FROM hist GROUP BY ALL),
+terms AS (SELECT row_id, ref, p, q FROM hist UNION ALL FROM rest),
+wd AS (SELECT row_id, min(d) AS wd FROM (
+         SELECT row_id, ref, sqrt(greatest(sum(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END
+                                     + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) / 2 / ln(2), 0)) AS d FROM terms GROUP BY ALL)
+       GROUP BY row_id),
+cd AS (SELECT e.row_id, min(sqrt(greatest(list_sum(list_transform(list_zip(list_transform(classes, lambda x: x::DOUBLE / word_chars), cq), lambda z:
                 CASE WHEN z[1] > 0 THEN z[1] * ln(2 * z[1] / (z[1] + z[2])) ELSE 0 END
-                + CASE WHEN z[2] > 0 THEN z[2] * ln(2 * z[2] / (z[1] + z[2])) ELSE 0 END)) / 2 / ln(2), 0)) AS cd
-       FROM e JOIN f USING (row_id) JOIN cref ON held IS NOT DISTINCT FROM cref.lang WHERE e.n_words >= 50),
+                + CASE WHEN z[2] > 0 THEN z[2] * ln(2 * z[2] / (z[1] + z[2])) ELSE 0 END)) / 2 / ln(2), 0))) AS cd
+       FROM e JOIN f USING (row_id) JOIN cref ON held = cref.lang OR held IS NULL WHERE e.n_words >= 50 GROUP BY e.row_id),
 all_rows AS (SELECT f.*, coalesce(n_repeat_words, 0) AS n_repeat_words, cd, wd,
                     n_words < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * n_words AS base_failed
              FROM f LEFT JOIN rep USING (row_id) LEFT JOIN cd USING (row_id) LEFT JOIN wd USING (row_id))

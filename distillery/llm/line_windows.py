@@ -48,7 +48,8 @@ def covered_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", line
 
 def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", lines: int = LINES) -> DataFrame:
     """Every row with all its columns, ``text`` without the lines of later window occurrences,
-    and ``n_lines, n_removed`` (of the text before).
+    and ``n_lines, n_removed`` (of the text before), always the last two columns. Where the
+    documents have a column of such a name, it stays, and the count's name gets underscores.
 
     Lines are compared without spaces around them; windows of blank lines only are left
     alone, as is an occurrence that overlaps the kept one in its own document. A text of less
@@ -56,17 +57,25 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", lines:
     its lines becomes empty. Null keys rank last. Rows with equal key and text are one
     document, and get the same result. An empty table gives an empty result.
     """
-    cover = covered_lines(docs, key, text, lines).select(
+    columns = docs.columns
+    k, t = (f"c{columns.index(c)}" for c in (key, text))
+    rows = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    cover = covered_lines(rows, k, t, lines).select(
         F.col("key").alias("x_key"), F.col("digest").alias("x_digest"), F.col("covered").alias("x_covered"))
-    rows = docs.withColumn("x_own", F.xxhash64(F.col(text)))
-    rows = rows.join(cover, rows[key].eqNullSafe(cover["x_key"]) & (rows["x_own"] == cover["x_digest"]), "left")
-    line = F.split(F.col(text), "\n", -1)
+    rows = rows.withColumn("x_own", F.xxhash64(F.col(t)))
+    rows = rows.join(cover, F.col(k).eqNullSafe(F.col("x_key")) & (F.col("x_own") == F.col("x_digest")), "left")
+    line = F.split(F.col(t), "\n", -1)
     kept = F.array_join(F.filter(line, lambda x, i: ~F.array_contains("x_covered", i)), "\n")
-    total = F.when(F.col(text).isNull(), 0).otherwise(F.size(line)).cast("long")
-    return rows.withColumn("n_lines", total).withColumn(
-        "n_removed", F.coalesce(F.size("x_covered"), F.lit(0)).cast("long")).withColumn(
-        text, F.when(F.col("x_covered").isNotNull(), kept).otherwise(F.col(text))).select(
-        *docs.columns, "n_lines", "n_removed")
+    total = F.when(F.col(t).isNull(), 0).otherwise(F.size(line)).cast("long")
+    removed = F.coalesce(F.size("x_covered"), F.lit(0)).cast("long")
+    names = []
+    for name in ("n_lines", "n_removed"):
+        while name in columns:
+            name += "_"
+        names.append(name)
+    shorter = F.when(F.col("x_covered").isNotNull(), kept).otherwise(F.col(t))
+    return rows.select(*[(shorter if f"c{i}" == t else F.col(f"c{i}")).alias(c) for i, c in enumerate(columns)],
+                       total.alias(names[0]), removed.alias(names[1]))
 
 
 #: ``dedup_lines`` of the table ``documents`` in DuckDB SQL, given one row for each doc_id.
