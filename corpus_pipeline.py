@@ -23,25 +23,25 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     language labels half of the letters. The model learns from the stage's own labelled rows."""
     model = train(docs, F.lit(True))
     columns = docs.columns
+    if not model.langs:  # nothing can be told, and nothing rejected for it, without a labelled row
+        return docs
     named = docs.select(*[F.col(c).alias(f"d{i}") for i, c in enumerate(columns)])
-    found = identify(named, model, text=f"d{columns.index('text')}", keep=named.columns)
-    if model.langs:  # nothing can be told, and nothing rejected for it, without a labelled row
-        found = found.filter(F.col("score") >= MIN_SHARE)
-    return found.filter("lang_pred <> 'und'" if model.langs else "true").select(
-        *[F.col(f"d{i}").alias(c) for i, c in enumerate(columns)])
+    found = identify(named, model, text=f"d{columns.index('text')}", keep=named.columns, spans=False, least=MIN_SHARE)
+    return found.select(*[F.col(f"d{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated three-line windows; ``n_chars`` is counted again."""
     out = dedup_lines(docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", F.when(F.col(out.columns[-1]) > 0, F.length("text")).otherwise(F.col("n_chars"))
                              .cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group stays: that of the smallest doc_id."""
+    """One document of each SimHash group stays: that of the smallest doc_id (nulls last). Texts
+    without a word, null ones too, are one group."""
     return drop_near_duplicates(docs)
 
 
@@ -58,6 +58,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents' sequences; a null text is empty, repeated rows are packed each."""
     return pack_documents(docs)
 
 
