@@ -14,6 +14,7 @@ import re
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -122,25 +123,36 @@ class Tally:
 
     def __init__(self, inputs: Sequence[Input]):
         self.inputs = list(inputs)
-        self._read: dict[int, Observation] = {}
+        self._read: dict[int, tuple[Observation, DataFrame, list[Column]]] = {}
         self._written: dict[str, Observation] = {}
 
     def read(self, df: DataFrame, number: int, **counts: Column) -> DataFrame:
-        self._read[number] = Observation()
-        return df.observe(self._read[number], F.count(F.lit(1)).alias("n_rows"), *[
-            F.count(F.when(c, F.lit(1))).alias(name) for name, c in counts.items()])
+        metrics = [F.count(F.lit(1)).alias("n_rows"), *[F.count(F.when(c, F.lit(1))).alias(n) for n, c in counts.items()]]
+        seen = Observation()
+        self._read[number] = seen, df, metrics
+        return df.observe(seen, *metrics)
 
     def written(self, df: DataFrame, name: str, input_col: str = "input") -> DataFrame:
         self._written[name] = Observation()
         each = [F.count(F.when(F.col(input_col) == x.number, F.lit(1))).alias(f"n{x.number}") for x in self.inputs]
         return df.observe(self._written[name], F.count(F.lit(1)).alias("total"), *each)
 
+    @staticmethod
+    def _told(seen: Observation) -> dict:
+        """What was observed; nothing if the run dropped that part of its plan, as it does where it
+        finds a stage's result empty."""
+        try:
+            return seen.get
+        except Py4JJavaError:
+            return {}
+
     def rows(self) -> list[dict]:
-        """A dictionary for each input, in order: ``input, output``, then its counts."""
-        read = {n: o.get for n, o in self._read.items()}
-        written = {name: o.get for name, o in self._written.items()}
+        """A dictionary for each input, in order: ``input, output``, then its counts. Only where nothing
+        at all came of the reads are they counted anew."""
+        read = {n: self._told(seen) or df.agg(*metrics).first().asDict() for n, (seen, df, metrics) in self._read.items()}
+        written = {name: self._told(o) for name, o in self._written.items()}
         return [{"input": x.path, "output": x.output} | read.get(x.number, {}) | {
-            name: w[f"n{x.number}"] for name, w in written.items()} for x in self.inputs]
+            name: w.get(f"n{x.number}", 0) for name, w in written.items()} for x in self.inputs]
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """A row for each input (inputs without a row among them), and one of totals, whose input
