@@ -29,6 +29,8 @@ SCALE, SHIFT = 64, 1_000_000
 COMPONENTS = 16
 #: Vectors that a task takes into one spectrum, and spectra that are combined at once.
 TASK_ROWS, FAN_IN = 1 << 16, 16
+#: Spectra that a task keeps side by side, to be combined at its end.
+STREAMS = 8
 #: Eigenvalues below this share of the largest are no components: their direction is rounding.
 RANK_TOLERANCE = 1e-10
 #: Grid values are held to this size, so that sums of squares stay within whole numbers.
@@ -41,34 +43,34 @@ SECULAR_TOLERANCE = 1e-9
 
 # ---- rank-one updates -------------------------------------------------------------------
 
-def secular_roots(d: np.ndarray, z2: np.ndarray, rho: float) -> tuple[np.ndarray, np.ndarray]:
-    """The roots of 1 + rho * sum(z2 / (d - x)) for ascending, distinct ``d``, positive ``z2``
-    (adding up to 1) and positive ``rho``: each as the index of the nearest pole and the offset
-    from it, which keeps their differences to the poles exact."""
-    k = len(d)
-    upper = np.append(d[1:], d[-1] + rho)
-    width = upper - d
-    middle = d + width / 2
-    f = 1 + rho * (z2 / (d[None, :] - middle[:, None])).sum(axis=1)
-    origin = np.where(f >= 0, np.arange(k), np.minimum(np.arange(k) + 1, k - 1))
-    last_high = f[-1] < 0  # the last interval's upper end is no pole
-    delta = d[None, :] - d[origin][:, None]  # poles as seen from each root's origin
-    low = np.where(f >= 0, 0.0, -width / 2)
-    high = np.where(f >= 0, width / 2, 0.0)
-    if last_high:
-        low[-1], high[-1] = width[-1] / 2, width[-1]
-    t = (low + high) / 2
-    own = np.arange(k)
+def secular_roots(d: np.ndarray, z2: np.ndarray, rho: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row: the roots of 1 + rho * sum(z2 / (d - x)) for ascending, distinct ``d``, positive
+    ``z2`` (adding up to 1) and positive ``rho``: each as the index of the nearest pole and the
+    offset from it, which keeps their differences to the poles exact. All rows' roots are found
+    together."""
+    m, k = d.shape
+    upper = np.concatenate([d[:, 1:], d[:, -1:] + rho[:, None]], axis=1)
+    width = (upper - d).ravel()
+    own = np.tile(np.arange(k), m)
+    stream = np.repeat(np.arange(m), k)
+    poles, weight = d[stream], (rho[:, None] * z2)[stream]
+    middle = d.ravel() + width / 2
+    f = 1 + (weight / (poles - middle[:, None])).sum(axis=1)
     right = np.minimum(own + 1, k - 1)
-    below = (own[None, :] <= own[:, None]).astype(float)
-    weight = rho * z2
-    roots = own  # those not found yet
+    origin = np.where(f >= 0, own, right)
+    delta = poles - d[stream, origin][:, None]  # poles as seen from each root's origin
+    low, high = np.where(f >= 0, 0.0, -width / 2), np.where(f >= 0, width / 2, 0.0)
+    beyond = (own == k - 1) & (f < 0)  # the last interval's upper end is no pole
+    low[beyond], high[beyond] = width[beyond] / 2, width[beyond]
+    t = (low + high) / 2
+    below = (np.arange(k)[None, :] <= np.arange(k)[:, None]).astype(float)
+    roots = np.arange(m * k)  # those not found yet
     for _ in range(80):
         gap = delta[roots] - t[roots, None]
         gap[gap == 0] = EPS * EPS
-        term = weight / gap
+        term = weight[roots] / gap
         slope = term / gap
-        some = below[roots]
+        some = below[own[roots]]
         psi, dpsi = np.einsum("ij,ij->i", term, some), np.einsum("ij,ij->i", slope, some)
         phi, dphi = term.sum(axis=1) - psi, slope.sum(axis=1) - dpsi
         value = 1 + psi + phi
@@ -80,19 +82,48 @@ def secular_roots(d: np.ndarray, z2: np.ndarray, rho: float) -> tuple[np.ndarray
             break
         # both sides are replaced by one pole each that has their value and slope here
         n = np.arange(len(roots))
-        g1, g2 = gap[n, roots], gap[n, right[roots]]
+        g1, g2 = gap[n, own[roots]], gap[n, right[roots]]
         with np.errstate(all="ignore"):
             c = value - g1 * dpsi - g2 * dphi
             a = (g1 + g2) * value - g1 * g2 * (dpsi + dphi)
             b = g1 * g2 * value
             root = np.sqrt(np.maximum(a * a - 4 * b * c, 0.0))
             step = np.where(a <= 0, (a - root) / (2 * c), 2 * b / (a + root))
-            step = np.where(roots == k - 1, g1 * value / (value - g1 * dpsi), step)  # one pole only
+            step = np.where(own[roots] == k - 1, g1 * value / (value - g1 * dpsi), step)  # one pole only
             new = t[roots] + step
         new = np.where(np.isfinite(new) & (new > lo) & (new < hi), new, (lo + hi) / 2)
         t[roots[open_]] = new[open_]
         roots = roots[open_]
-    return origin, t
+    return origin.reshape(m, k), t.reshape(m, k)
+
+
+def _turned(d: np.ndarray, z: np.ndarray, rho: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row: eigenvalues and eigenvectors (columns) of diag(d) + rho z z', where ``d`` ascends
+    without equals and no entry of ``z`` is next to nothing."""
+    m, k = d.shape
+    norm2 = (z * z).sum(axis=1)
+    origin, t = secular_roots(d, z * z / norm2[:, None], rho * norm2)
+    at = np.take_along_axis(d, origin, axis=1)
+    over = (at[:, None, :] - d[:, :, None]) + t[:, None, :]  # root j minus pole i
+    order = np.arange(k)
+    # the vector for which these roots are exact: eigenvectors then are orthogonal
+    with np.errstate(divide="ignore", invalid="ignore"):
+        poles = d[:, None, :] - d[:, :, None]
+        under = np.empty((m, k, k))
+        under[:, :, :k - 1] = poles[:, order[:, None], order[None, :k - 1] + (order[None, :k - 1] >= order[:, None])]
+        under[:, :, k - 1] = (rho * norm2)[:, None]
+        zhat = np.sqrt(np.abs(np.prod(over / under, axis=2))) * np.where(z < 0, -1.0, 1.0)
+        u = zhat[:, :, None] / -over
+    u = np.where(np.isfinite(u), u, 0.0)
+    size = np.sqrt((u * u).sum(axis=1))
+    for row, column in zip(*np.nonzero(~(size > 0))):
+        u[row, :, column], size[row, column] = np.eye(k)[:, column], 1.0
+    return at + t, u / size[:, None, :]
+
+
+def _least(d: np.ndarray, rho: np.ndarray | float) -> np.ndarray | float:
+    """What counts as nothing: differences and entries below are deflated."""
+    return 8 * EPS * np.maximum(np.abs(d).max(axis=-1), rho)
 
 
 def rank_one(d: np.ndarray, q: np.ndarray, v: np.ndarray, weight: float) -> tuple[np.ndarray, np.ndarray]:
@@ -103,7 +134,7 @@ def rank_one(d: np.ndarray, q: np.ndarray, v: np.ndarray, weight: float) -> tupl
     if not rho > 0:
         return d, q
     z = z / np.sqrt(norm2)
-    least = 8 * EPS * max(np.abs(d).max(), rho)
+    least = _least(d, rho)
     # deflation: an equal pair is turned so that one of the two is not touched
     close = np.flatnonzero(np.diff(d) <= least) if len(d) > 1 else ()
     if len(close):
@@ -118,32 +149,34 @@ def rank_one(d: np.ndarray, q: np.ndarray, v: np.ndarray, weight: float) -> tupl
     active = np.flatnonzero(rho * np.abs(z) > least)
     if len(active) == 0:
         return d, q
-    da, za = d[active], z[active]
-    # what deflation has left apart by no more than rounding is set apart by it
-    da = np.maximum.accumulate(da + np.arange(len(da)) * EPS * EPS)
-    origin, t = secular_roots(da, za * za / (za @ za), rho * float(za @ za))
-    over = (da[origin][None, :] - da[:, None]) + t[None, :]  # root j minus pole i
-    k = len(da)
-    order = np.arange(k)
-    # the vector for which these roots are exact: eigenvectors then are orthogonal
-    with np.errstate(divide="ignore", invalid="ignore"):
-        poles = da[None, :] - da[:, None]
-        under = np.empty((k, k))
-        under[:, :k - 1] = poles[order[:, None], order[None, :k - 1] + (order[None, :k - 1] >= order[:, None])]
-        under[:, k - 1] = rho
-        zhat = np.sqrt(np.abs(np.prod(over / under, axis=1))) * np.where(za < 0, -1.0, 1.0)
-        u = zhat[:, None] / -over
-    u = np.where(np.isfinite(u), u, 0.0)
-    size = np.sqrt((u * u).sum(axis=0))
-    bad = ~(size > 0)
-    u[:, bad], size[bad] = np.eye(k)[:, bad], 1.0
+    da = np.maximum.accumulate(d[active] + np.arange(len(active)) * EPS * EPS)
+    values, turn = _turned(da[None], z[active][None], np.array([rho]))
     new_d, new_q = d.copy(), q.copy()
-    new_d[active] = da[origin] + t
-    new_q[:, active] = q[:, active] @ (u / size)
+    new_d[active], new_q[:, active] = values[0], q[:, active] @ turn[0]
     by = np.argsort(new_d, kind="stable")
     return new_d[by], new_q[:, by]
 
 
+def rank_one_each(d: np.ndarray, q: np.ndarray, v: np.ndarray, weight: float) -> None:
+    """:func:`rank_one` of several decompositions at once, in place; those that need deflation go
+    one by one."""
+    z = np.einsum("bij,bi->bj", q, v)
+    norm2 = (z * z).sum(axis=1)
+    rho = weight * norm2
+    least = _least(d, rho)
+    plain = (rho > 0) & (rho[:, None] * np.abs(z) > least[:, None] * np.sqrt(norm2)[:, None]).all(axis=1)
+    if d.shape[1] > 1:
+        plain &= (np.diff(d, axis=1) > least[:, None]).all(axis=1)
+    for i in np.flatnonzero(~plain):
+        d[i], q[i] = rank_one(d[i], q[i], v[i], weight)
+    some = np.flatnonzero(plain)
+    if len(some):
+        values, turn = _turned(d[some], z[some] / np.sqrt(norm2[some])[:, None], rho[some])
+        by = np.argsort(values, axis=1, kind="stable")
+        d[some] = np.take_along_axis(values, by, axis=1)
+        q[some] = np.matmul(q[some], np.take_along_axis(turn, by[:, None, :], axis=2))
+
+
 class Spectrum:
     """Number, mean and eigendecomposition of the scatter of the vectors taken so far."""
 
@@ -183,6 +216,30 @@ class Spectrum:
         return out
 
 
+class Streams:
+    """Several spectra that take vectors in turn, so that their updates are worked out together."""
+
+    def __init__(self, size: int, number: int):
+        self.n, self.mean = 0, np.zeros((number, size))
+        self.d, self.q = np.zeros((number, size)), np.tile(np.eye(size), (number, 1, 1))
+
+    def add(self, rows: np.ndarray) -> None:
+        """One vector for each spectrum."""
+        away = rows - self.mean
+        if self.n:
+            rank_one_each(self.d, self.q, away, self.n / (self.n + 1))
+        self.n += 1
+        self.mean += away / self.n
+
+    def combined(self) -> Spectrum:
+        out = Spectrum(self.d.shape[1])
+        for mean, d, q in zip(self.mean, self.d, self.q):
+            other = Spectrum(len(d))
+            other.n, other.mean, other.d, other.q = self.n, mean, d, q
+            out.combine(other)
+        return out
+
+
 # ---- rounds over tasks -------------------------------------------------------------------
 
 PART = "part long, wholes array<long>, reals array<double>"
@@ -264,11 +321,18 @@ def fit(vectors: DataFrame, column: str = "x", components: int = COMPONENTS, tas
     size = dealt.select(F.size("x")).first()[0]
 
     def scatter(matrices: Iterator[np.ndarray]):
-        spectrum, sums = Spectrum(size), np.zeros(size, np.int64)
+        streams, rest, sums, held = Streams(size, STREAMS), Spectrum(size), np.zeros(size, np.int64), []
         for m in matrices:
             sums += m.sum(axis=0)
-            for row in m.astype(float):
-                spectrum.add(row)
+            held = np.concatenate([held, m.astype(float)]) if len(held) else m.astype(float)
+            whole = len(held) // STREAMS * STREAMS
+            for i in range(0, whole, STREAMS):
+                streams.add(held[i:i + STREAMS])
+            held = held[whole:]
+        for row in held:  # fewer than there are streams
+            rest.add(row)
+        spectrum = streams.combined()
+        spectrum.combine(rest)
         return (sums, spectrum.flat()) if spectrum.n else None
 
     def combined(parts: list):

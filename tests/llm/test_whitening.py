@@ -35,10 +35,16 @@ def test_incremental_spectra(x):
         (a if i % 3 else b).add(row)
     a.combine(b)
     a.combine(w.Spectrum(size))
+    streams = w.Streams(size, 3)
+    for i in range(0, len(x) - 2, 3):
+        streams.add(x[i:i + 3])
+    several = streams.combined()
+    for row in x[len(x) // 3 * 3:]:
+        several.add(row)
     centred = x - x.mean(axis=0)
     scatter = centred.T @ centred
     scale = max(1.0, np.abs(scatter).max())
-    for s in (one, a, w.Spectrum.of(a.flat(), size)):
+    for s in (one, a, several, w.Spectrum.of(a.flat(), size)):
         assert s.n == len(x) and np.allclose(s.mean, x.mean(axis=0), atol=1e-9 * max(1, np.abs(x).max()))
         assert np.abs(s.q.T @ s.q - np.eye(size)).max() < 1e-12
         assert np.abs(s.q @ np.diag(s.d) @ s.q.T - scatter).max() < 1e-8 * scale
@@ -50,7 +56,7 @@ def test_secular_roots_interlace():
         d = np.sort(rng.uniform(0, 100, k))
         z = rng.normal(size=k)
         z /= np.linalg.norm(z)
-        origin, t = w.secular_roots(d, z * z, 7.0)
+        origin, t = (x[0] for x in w.secular_roots(d[None], (z * z)[None], np.array([7.0])))
         got = d[origin] + t
         assert (got >= d).all() and (got[:-1] <= d[1:]).all() and got[-1] <= d[-1] + 7.0 + 1e-9
         assert np.allclose(got, np.linalg.eigvalsh(np.diag(d) + 7.0 * np.outer(z, z)), atol=1e-6)
