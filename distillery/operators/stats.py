@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 def dataset_stats(samples: DataFrame, query_col="query", positive_col="positive", negative_col="negative",
                   approx: bool = False) -> DataFrame:
     """One row: samples, distinct queries (exact, or ``approx_count_distinct`` for very
-    large inputs), candidate pairs, positives, negatives."""
-    # a NULL list counts 0 (not size()'s -1 of non-ANSI sessions)
-    npos = F.when(F.col(positive_col).isNull(), F.lit(0)).otherwise(F.size(positive_col))
-    nneg = F.when(F.col(negative_col).isNull(), F.lit(0)).otherwise(F.size(negative_col))
+    large inputs), candidate pairs, positives, negatives. As in the pairs themselves, NULL
+    elements of a list are no candidates, and a NULL list has none."""
+    count = lambda c: F.coalesce(F.size(F.filter(c, lambda x: x.isNotNull())), F.lit(0))
+    npos, nneg = (F.when(F.col(c).isNull(), F.lit(0)).otherwise(count(c)) for c in (positive_col, negative_col))
     distinct = F.approx_count_distinct(query_col) if approx else F.count_distinct(F.col(query_col))
     return samples.agg(
         F.count(F.lit(1)).alias("n_samples"),

@@ -118,5 +118,5 @@ def evaluate_files(
     from distillery.sources import jsonl
 
     samples = jsonl.read_samples(spark, inputs, mode="strict")
-    judged = score_with_models(judged_from_samples(samples, domain), scorers)
+    judged = score_inline(judged_from_samples(samples, domain), scorers, ["qid", "domain", "rel", "seq"])
     return evaluation_report(judged, list(scorers), k=k, empty_side=empty_side, zero_base=zero_base, style=style)
