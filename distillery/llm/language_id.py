@@ -26,6 +26,7 @@ BUCKETS = 1 << 16
 SAMPLE_PER_LANG = 400
 SWITCH_PENALTY = 6.0
 MEMO_WORDS = 200_000
+SCORED_WORDS = 20_000
 OUT_OF_SCRIPT = -60.0
 
 # First code points of the ranges that the writing systems occupy.
@@ -163,7 +164,9 @@ class Labeller:
         told = np.zeros(len(words), bool)
         some = np.flatnonzero(size)
         if len(some) and self.model.langs:
-            scores[some], told[some] = self.model.word_scores([letters[i] for i in some])
+            for at in range(0, len(some), SCORED_WORDS):  # trigrams by languages are held for so many words
+                part = some[at:at + SCORED_WORDS]
+                scores[part], told[part] = self.model.word_scores([letters[i] for i in part])
         self.row.update(zip(words, range(len(self.size), len(self.size) + len(words))))
         self.size = np.concatenate([self.size, size])
         self.told = np.concatenate([self.told, told])
@@ -204,10 +207,6 @@ class Labeller:
 SPANS = "array<struct<lang:string,first_word:long,n_words:long>>"
 
 
-#: Characters of text that are labelled at once: their words' scores are held together.
-LABEL_CHARS = 250_000
-
-
 def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, text: str = "text",
              keep: list[str] | None = None, spans: bool = True, least: float | None = None) -> DataFrame:
     """The columns ``keep`` and ``lang_pred, score, spans`` of every row (without the last if ``spans``
@@ -227,7 +226,7 @@ def identify(docs: DataFrame, model: Model, penalty: float = SWITCH_PENALTY, tex
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labeller = Labeller(model, penalty)
         kinds = pa.list_(pa.struct([("lang", pa.string()), ("first_word", pa.int64()), ("n_words", pa.int64())]))
-        for part, texts in in_slices(batches, at, LABEL_CHARS):
+        for part, texts in in_slices(batches, at):
             got = labeller.label(texts, spans)
             if least is not None:
                 rows = [i for i, x in enumerate(got) if x[0] != "und" and x[1] >= least]
