@@ -38,7 +38,12 @@ def stored(df: DataFrame) -> DataFrame:
 ROW_BITS = (1 << 33) - 1  # of monotonically_increasing_id: the row within its partition
 
 
-def stored_by_part(df: DataFrame) -> DataFrame:
+def parts_of(df: DataFrame) -> int:
+    """The number of partitions that ``df`` is planned with."""
+    return max(1, df.rdd.getNumPartitions())
+
+
+def stored_by_part(df: DataFrame, parts: int) -> DataFrame:
     """Like :func:`stored`, with each row's place: ``x_part`` (the partition that wrote it) and
     ``x_at`` (its number there, from 0). The table is bucketed by ``x_part``, one file a partition,
     so that a join on ``x_part`` reads these rows where they are: what was decided about them
@@ -47,20 +52,21 @@ def stored_by_part(df: DataFrame) -> DataFrame:
     path, name = shared_folder(spark), f"llm_{uuid.uuid4().hex}"
     placed = df.select("*", F.spark_partition_id().alias("x_part"),
                        F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS)).alias("x_at"))
-    placed.write.format("parquet").bucketBy(max(1, df.rdd.getNumPartitions()), "x_part").option("path", path).saveAsTable(name)
+    placed.write.format("parquet").bucketBy(parts, "x_part").option("path", path).saveAsTable(name)
     out = spark.table(name).select(*placed.columns)
     out.schema  # noqa: B018  resolved, then the name isn't needed any more
     return out
 
 
-def decided(rows: DataFrame, decisions: DataFrame, out: str) -> DataFrame:
+def decided(rows: DataFrame, decisions: DataFrame, out: str, parts: int) -> DataFrame:
     """``rows`` of :func:`stored_by_part` with ``out``: a struct of the other columns of
     ``decisions``, which have one row for each of ``rows``, by ``x_part, x_at``. The decisions
-    are gathered by partition, as many of them as it has rows, and looked up by place."""
+    are gathered by partition, as many of them as it has rows, and looked up by place. They are
+    dealt into the table's ``parts`` buckets: else the side of more partitions would be kept."""
     fields = [c for c in decisions.columns if c not in ("x_part", "x_at")]
     lists = decisions.groupBy(F.col("x_part").alias("x_p")).agg(
         F.sort_array(F.collect_list(F.struct("x_at", *fields))).alias("x_list"))
-    told = rows.join(lists, F.col("x_part") == F.col("x_p"))
+    told = rows.join(lists.repartition(parts, "x_p"), F.col("x_part") == F.col("x_p"))
     return told.withColumn(out, F.get("x_list", F.col("x_at").cast("int"))).drop("x_p", "x_list")
 
 

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distillery.llm.common import in_slices, map_texts
+from distillery.llm.common import hand_back, in_slices, map_texts
 
 BUCKETS = 1 << 16
 #: Labelled rows to learn from, by language (expected number; whole texts).
@@ -93,6 +93,7 @@ def train(docs: DataFrame, learn_from: Column, per_lang: int = SAMPLE_PER_LANG,
     sample = rows.filter(draw < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hand_back()
         for pdf in batches:
             for lang_, texts in pdf.groupby("lang").text:
                 words = [x for t in texts for w in t.lower().split() if (x := _letters(w))]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from distillery.llm.common import ROW_BITS, decided, prefix_sum, stored, stored_by_part
+from distillery.llm.common import ROW_BITS, decided, parts_of, prefix_sum, stored, stored_by_part
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Points are multiples of 2**-31; the step is the odd number next to 2**31 divided by the golden ratio.
@@ -115,7 +115,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     base = stored_by_part(docs.select(
         F.col(source).cast("string").alias("source"),
         F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        digest.alias("draw"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]))
+        digest.alias("draw"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]), parts_of(docs))
     row_id = F.shiftleft(F.col("x_part").cast("long"), 33) + F.col("x_at")
     rows = base.select(row_id.alias("row_id"), "source", "size", "draw")
     sources = stored(targets(rows, weights, share, most))
@@ -138,7 +138,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     done = stored(rows.join(parts, "row_id", "left").select(
         F.shiftright("row_id", 33).cast("int").alias("x_part"), F.col("row_id").bitwiseAND(F.lit(ROW_BITS)).alias("x_at"),
         "source_size", "target", "taken", "first_slot"))
-    return decided(base, done, "x_mix").select(
+    return decided(base, done, "x_mix", parts_of(docs)).select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(keep)], "size", "x_mix.source_size", "x_mix.target",
         F.coalesce("x_mix.taken", F.lit(0)).alias("taken"), "x_mix.first_slot")
 

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from distillery.llm.common import ROW_BITS, decided, in_slices, map_texts, stored, stored_by_part
+from distillery.llm.common import ROW_BITS, decided, in_slices, map_texts, parts_of, stored, stored_by_part
 from distillery.llm.components import components
 
 BITS = 64
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text", shingle:
 
     rows = docs.select(F.xxhash64(text).alias("digest"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep)],
                        *([] if text in keep else [F.col(text).alias("x_text")]))
-    rows = stored_by_part(map_texts(rows, hash_, schema))
+    rows = stored_by_part(map_texts(rows, hash_, schema), parts_of(docs))
     return rows.withColumn("row_id", F.shiftleft(F.col("x_part").cast("long"), 33) + F.col("x_at"))
 
 
@@ -253,5 +253,5 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     verdicts = stored(small.select("row_id").join(keep, "row_id", "left").select(
         F.shiftright("row_id", 33).cast("int").alias("x_part"), F.col("row_id").bitwiseAND(F.lit(ROW_BITS)).alias("x_at"),
         F.coalesce("stays", F.lit(False)).alias("stays")))
-    return decided(rows, verdicts, "x_verdict").filter("x_verdict.stays").select(
+    return decided(rows, verdicts, "x_verdict", parts_of(docs)).filter("x_verdict.stays").select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
