@@ -16,6 +16,8 @@ from distillery.llm.simhash_links import drop_near_duplicates
 
 #: A document is kept if one language holds at least this share of its letters.
 MIN_SHARE = 0.5
+#: Pieces that a packing worker remembers: its executor also holds what other stages have left.
+MEMO_PIECES = 150_000
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents' sequences; a null text is empty, repeated rows are packed each."""
-    return pack_documents(docs)
+    return pack_documents(docs, memo_pieces=MEMO_PIECES)
 
 
 STAGES = [("language ID", language_stage), ("line dedup", line_stage), ("SimHash near-dedup", near_duplicate_stage),
