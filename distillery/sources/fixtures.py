@@ -14,7 +14,7 @@ joins, no id subsets), so their work grows linearly with the input.
 * :func:`document_samples` / :func:`document_sample_ids` -- samples over ``documents``
   (query ``d``, positive ``d+1``, negatives ``d+2``, ``d+3``), with texts or by id.
 * :func:`document_index` -- per document: exact-text key, md5, length and the text's
-  vector; materialized once, so texts leave the shuffles after it.
+  vector; materialized once. No text enters a shuffle.
 * :func:`teacher_logprobs` -- yes/no top-log-probability maps of a teacher whose yes
   probability is a sigmoid of the pair's teacher cosine.
 """
@@ -255,25 +255,30 @@ def document_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ``text_key`` is the smallest ``doc_id`` carrying the same text (exact-text identity as
     a long), ``embedding`` the text's vector (the smallest ``vec_id`` among documents with
-    that text; NULL when none has one). Texts are shuffled here and nowhere downstream:
-    one partial+final aggregation by text, and one join back (a text with very many
-    copies is a skewed key that AQE's skew-join handling splits). The index feeds several
-    branches of each document query (query and passage lookups on both sides of the
-    positive x negative join), so it is materialized once (see ``session.materialize``).
+    that text; NULL when none has one). The index feeds several branches of each document
+    query (query and passage lookups on both sides of the positive x negative join), so it is
+    materialized once (see ``session.materialize``).
     """
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    dv = docs.join(emb, docs["doc_id"] == emb["vec_id"], "left")
-    per_text = dv.groupBy("text").agg(
+    return materialize(index_documents(docs, emb))
+
+
+def index_documents(docs: DataFrame, emb: DataFrame) -> DataFrame:
+    """The plan of :func:`document_index`. Texts are compared by their SHA-256 and leave no scan:
+    one partial+final aggregation by digest, and one join back (a text with very many copies is
+    a skewed key that AQE's skew-join handling splits). Documents without a text aren't indexed."""
+    known = docs.filter(F.col("text").isNotNull()).select(
+        "doc_id", F.unhex(F.sha2("text", 256)).alias("digest"), F.md5("text").alias("text_md5"),
+        F.length("text").cast("long").alias("n_chars"))
+    dv = known.select("doc_id", "digest").join(emb, F.col("doc_id") == F.col("vec_id"), "left")
+    per_text = dv.groupBy("digest").agg(
         F.min("doc_id").alias("text_key"),
         F.min("vec_id").alias("vec_id"),
         F.min_by("embedding", "vec_id").alias("embedding"),
     )
-    index = docs.join(per_text, "text", "inner").select(
-        "doc_id", "text_key", F.md5("text").alias("text_md5"), F.length("text").cast("long").alias("n_chars"),
-        "vec_id", "embedding",
-    )
-    return materialize(index)
+    return known.join(per_text, "digest", "inner").select(
+        "doc_id", "text_key", "text_md5", "n_chars", "vec_id", "embedding")
 
 
 @view
