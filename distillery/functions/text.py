@@ -3,6 +3,11 @@ metric-key parsing and output-path naming."""
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,15 +46,47 @@ def rerank_template(query, doc, instruction: str = DEFAULT_INSTRUCTION) -> Colum
     return F.concat(turn("system", F.lit(RERANK_SYSTEM_PROMPT)), turn("user", rerank_user_content(query, doc, instruction)))
 
 
+#: Texts whose ids a Python helper holds at once.
+ID_ROWS = 100
+
+
 def char_token_ids(text) -> Column:
-    """Character-level token ids (Unicode code points) of the whole text.
+    """Character-level token ids (Unicode code points) of the whole text; none of NULL.
 
-    Stands in for a model tokenizer, which is not Spark work; any ``array<int>`` id
-    column can be fed to :func:`truncate_with_suffix`.
+    Stands in for a model tokenizer, as which it runs in Python; any ``array<int>`` id
+    column can be fed to :func:`truncate_with_suffix`. Texts are turned some at a time, so
+    that a batch's ids are never held at once.
     """
-    t = _c(text)
-    ids = F.transform(F.split(t, ""), lambda ch: F.ascii(ch))
-    return F.when(F.length(t) > 0, ids).otherwise(F.array().cast("array<int>"))
+    def codes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for start in range(0, len(batch), ID_ROWS):
+                some = batch.slice(start, ID_ROWS).cast(pa.binary()).to_pylist()
+                ids = [(x or b"").decode("utf-8", "replace").encode("utf-32-le") for x in some]
+                ends = np.cumsum([0, *map(len, ids)]) // 4
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+    return F.arrow_udf(codes, "array<int>")(_c(text))
+
+
+class _Written(dict):
+    """Numbers in decimal, each written once."""
+
+    def __missing__(self, number: int) -> str:
+        self[number] = said = str(number)
+        return said
+
+
+def ids_md5(ids) -> Column:
+    """The MD5 of an ``array<int>`` of token ids, written in decimal and joined by commas (NULL for NULL)."""
+    def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        written = _Written()
+        for batch in batches:
+            for start in range(0, len(batch), ID_ROWS):
+                some = [x.values.to_numpy().tolist() if x.is_valid else None for x in batch.slice(start, ID_ROWS)]
+                yield pa.array([x if x is None else hashlib.md5(",".join(map(written.__getitem__, x)).encode()).hexdigest()
+                                for x in some], pa.string())
+
+    return F.arrow_udf(digests, "string")(_c(ids))
 
 
 def truncate_with_suffix(ids, max_len: int, suffix_ids) -> Column:

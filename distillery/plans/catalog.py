@@ -232,13 +232,15 @@ def truncate_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffix = tf.suffix_token_ids()
     t = p.select(
         "doc_id", "side", "pos",
-        (frame + F.col("query.n_chars") + F.col("passage.n_chars")).alias("n_prompt"),
-        tf.truncate_with_suffix(tf.char_token_ids(prompt), limit, suffix).alias("ids"),
+        (frame + F.col("query.n_chars") + F.col("passage.n_chars")).alias("n_prompt"), prompt.alias("prompt"),
+    ).select(
+        "doc_id", "side", "pos", "n_prompt",
+        tf.truncate_with_suffix(tf.char_token_ids("prompt"), limit, suffix).alias("ids"),
     ).withColumn("n_ids", F.size("ids").cast("long"))
     seam = F.greatest(F.col("n_ids") - F.lit(len(suffix) + 3), F.lit(1))
     return t.select(
         "doc_id", "side", "pos", "n_prompt", "n_ids",
-        F.md5(F.array_join("ids", ",")).alias("ids_md5"),
+        tf.ids_md5("ids").alias("ids_md5"),
         F.array_join(F.slice("ids", 1, 8), ",").alias("head_ids"),
         F.array_join(F.slice("ids", seam, F.lit(8)), ",").alias("seam_ids"),
         F.array_join(F.slice("ids", -4, 4), ",").alias("tail_ids"),
