@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,6 +77,8 @@ Teacher = Callable[[list[np.ndarray]], list[dict[str, float]]]
 
 #: Prompts that are sorted by length together, and padded tokens that a batch may have.
 SORT_ROWS, TOKEN_BUDGET = 4_096, 65_536
+#: Prompts, and bytes of them, that are turned into ids at once; ids that are held for sorting.
+PART_ROWS, PART_BYTES, HELD_TOKENS = 256, 1_000_000, 2_000_000
 
 
 def code_point_tokenizer(texts: list[str]) -> list[np.ndarray]:
@@ -104,40 +108,57 @@ def score_prompts(
     ``load_teacher`` is called once a task and gives a function from a batch of token ids to
     each prompt's log-probabilities by token. Every whole prompt is turned into ids, cut to
     ``max_length`` and followed by the assistant's suffix, which isn't cut. Within runs of
-    ``sort_rows`` rows prompts are batched by length (see :func:`length_batches`), so that
-    little is spent on padding and a batch's memory is bounded; rows leave in the order they
-    came. A token without a log-probability counts as the floor."""
+    ``sort_rows`` rows, or fewer if they have ``HELD_TOKENS`` ids, prompts are batched by length
+    (see :func:`length_batches`), so that little is spent on padding. Prompts are decoded and
+    turned into ids some at a time and only cut ids are held, so a task's memory is bounded,
+    however many and long its prompts; rows leave in the order they came. A token without a log-probability counts as the floor."""
     if min(max_length, batch_size, token_budget, sort_rows) <= 0:
         raise ValueError("lengths and sizes must be positive")
     keep = list(keep_cols)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         teacher, suffix = load_teacher(), tokenizer([ASSISTANT_SUFFIX])[0]
 
-        def scored(rows: pd.DataFrame) -> pd.DataFrame:
-            ids = [np.concatenate([x[:max_length], suffix]) for x in tokenizer(rows[prompt_col].tolist())]
+        def scored(rows: list[pa.RecordBatch], ids: list[np.ndarray]) -> pa.RecordBatch:
             lengths = np.array([len(x) for x in ids], np.int64)
             score = np.empty(len(ids))
             for some in length_batches(lengths, batch_size, token_budget):
                 for i, told in zip(some, teacher([ids[i] for i in some])):
                     score[i] = told.get(YES_TOKEN, MISSING_LOGPROB) - told.get(NO_TOKEN, MISSING_LOGPROB)
-            return rows[keep].assign(n_ids=lengths, **{out_col: _fix9_np(score)})
-
-        held, n = [], 0
-        for pdf in batches:
-            for start in range(0, len(pdf), sort_rows):
-                part = pdf.iloc[start:start + sort_rows]
-                held.append(part)
-                n += len(part)
-                if n >= sort_rows:
-                    yield scored(pd.concat(held, ignore_index=True))
-                    held, n = [], 0
-        if n:
-            yield scored(pd.concat(held, ignore_index=True))
+            kept = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
+            return pa.RecordBatch.from_arrays([*kept.columns, pa.array(lengths), pa.array(_fix9_np(score))],
+                                              [*kept.schema.names, "n_ids", out_col])
+
+        held, ids, tokens = [], [], 0
+        for batch in batches:
+            for at, texts in _texts_in_parts(batch.column(len(keep)), min(sort_rows, PART_ROWS)):
+                ids += [np.concatenate([x[:max_length], suffix]) for x in tokenizer(texts)]
+                tokens += sum(map(len, ids[-len(texts):]))
+                # copied: a slice would hold on to the whole batch
+                held.append(batch.select(range(len(keep))).take(pa.array(range(at, at + len(texts)), pa.int64())))
+                if len(ids) >= sort_rows or tokens >= HELD_TOKENS:
+                    yield scored(held, ids)
+                    held, ids, tokens = [], [], 0
+        if ids:
+            yield scored(held, ids)
 
     types = dict(pairs.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["n_ids long", f"`{out_col}` double"])
-    return pairs.select(*keep, prompt_col).mapInPandas(run, schema)
+    return pairs.select(*keep, prompt_col).mapInArrow(run, schema)
+
+
+def _texts_in_parts(column: pa.Array, rows: int) -> Iterator[tuple[int, list[str]]]:
+    """Where each part of a text column begins, and its texts: at most ``rows`` of them, and
+    ``PART_BYTES`` of text unless one alone has more."""
+    sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist()
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start >= rows or total + size > PART_BYTES):
+            yield start, column.slice(start, i - start).to_pylist()
+            start, total = i, 0
+        total += size
+    if start < len(sizes):
+        yield start, column.slice(start).to_pylist()
 
 
 def stand_in_teacher() -> Teacher:
