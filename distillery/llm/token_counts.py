@@ -31,7 +31,6 @@ import json
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -133,7 +132,7 @@ class Encoder:
 
     def folded(self, text: str) -> str:
         """The text, lowered where that can't change its ids."""
-        if not self.lowers or FOLDABLE.search(text):
+        if not self.lowers or not text.isascii() and FOLDABLE.search(text):
             return text
         low = text.lower()
         return text if any(x in low for x in self.special) else low
@@ -222,13 +221,22 @@ class Counter:
         memo, older = self.memo, self.older
         fold = self.encoder.folded
         cut = [None if t is not None and len(t) > self.chunk else PIECE.findall(fold(t or "")) for t in texts]
-        new = set(filterfalse(memo.__contains__, chain.from_iterable(x for x in cut if x)))
+        # each piece is looked up once; only the new ones, a few of each text, again
+        got = [x and list(map(memo.get, x)) for x in cut]
+        gaps = [x and [i for i, known in enumerate(x) if known is None] for x in got]
+        new = {x[i] for x, at in zip(cut, gaps) if at for i in at}
         known = {p: older[p] for p in new if p in older}
         memo.update(known)
         new.difference_update(known)
         self._learn(new)
-        out = [np.array(spliced(self.encoder, text, self.chunk, self.overlap), "<u4").tobytes() if pieces is None
-               else b"".join(map(memo.__getitem__, pieces)) for text, pieces in zip(texts, cut)]
+        out = []
+        for text, pieces, ids, at in zip(texts, cut, got, gaps):
+            if pieces is None:
+                out.append(np.array(spliced(self.encoder, text, self.chunk, self.overlap), "<u4").tobytes())
+                continue
+            for i in at:
+                ids[i] = memo[pieces[i]]
+            out.append(b"".join(ids))
         for p in new:
             if len(p) > MEMO_PIECE_CHARS:
                 del memo[p]
