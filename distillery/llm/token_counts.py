@@ -243,8 +243,11 @@ class Counter:
         return out
 
     def forget(self) -> None:
-        """Drop the memo, as a task does at its end."""
+        """Drop the memo and let go of the tokenizer, as a task does at its end: a later task has its
+        own copy, and an idle worker would keep this one beside those of other stages."""
         self.memo, self.older = {}, {}
+        for key in [k for k, counter in _counters.items() if counter is self]:
+            del _counters[key]
 
     def counts(self, texts: list[str | None]) -> list[int]:
         return [len(x) // 4 for x in self.ids(texts)]
@@ -255,7 +258,8 @@ _counters: dict[tuple, Counter] = {}
 
 def worker_counter(path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS,
                    memo_pieces: int | None = None, plain: bool = False) -> Counter:
-    """The counter of this task's functions (a task gets its own copy of the package, by value)."""
+    """The counter of this task's functions (a task gets its own copy of the package, by value),
+    until it is told to forget."""
     key = path, chunk, overlap, memo_pieces, plain
     if key not in _counters:
         _counters[key] = Counter(*key)

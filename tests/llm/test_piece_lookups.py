@@ -3,6 +3,7 @@
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from distillery.llm import token_counts
 from distillery.llm.token_counts import Counter
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -34,3 +35,11 @@ def test_known_pieces_are_looked_up_once():
     model = Tokenizer.from_file(PATH)
     want = [model.encode(t, add_special_tokens=False).ids for t in (text, "", "", "mat\nzyx")]
     assert [memoryview(x).cast("I").tolist() for x in again] == want and first == again[:3]
+
+
+def test_a_task_leaves_no_tokenizer_behind():
+    counter = token_counts.worker_counter(PATH, memo_pieces=1234)
+    assert token_counts.worker_counter(PATH, memo_pieces=1234) is counter
+    counter.forget()
+    assert counter not in token_counts._counters.values()
+    assert token_counts.worker_counter(PATH, memo_pieces=1234) is not counter
