@@ -10,6 +10,10 @@ document's pairs as positions in that list. Only the blocks' distinct pairs are
 be counted, and the counts come back to the blocks they are asked for: each task sees a block
 and the counts of that block's pairs, whatever the number of pairs in the corpus.
 
+An executor's memory doesn't grow with the input either: a document is a row of its own and a
+block's list is cut into short rows, so that no reader, sort or writer holds blocks; texts come
+to Python in batches of a few MB, and a task remembers fewer pieces than those that only count.
+
 Very long texts are cut where both tokenizers provably break: before a space or line break
 that follows another character than white space (see ``token_counts``; on the piece side, no
 piece of the vocabulary has a space after another character, or a line break at all).
@@ -20,12 +24,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from distillery.llm.common import in_slices, map_texts, stored
@@ -33,8 +39,14 @@ from distillery.llm.token_counts import BYTE_CHARACTERS, WHITE, worker_counter
 
 #: Characters of a text that are aligned at once, and of a block of documents.
 PART_CHARS, BLOCK_CHARS = 400_000, 4_000_000
+#: What a document adds to its block beside its characters; the pairs in a row of a block's list.
+ROW_CHARS, ROW_PAIRS = 100, 8_192
+#: Bytes of an Arrow batch of texts on its way to Python (a longer text has its own), and the
+#: pieces a task remembers: two tokenizers and pandas stand beside the memo here.
+BATCH_BYTES, MEMO_PIECES = 4_000_000, 200_000
 CUT = re.compile(f"(?<=[^{WHITE}])(?=[ \\n])")
 SPACE = "▁"
+FIGURES = ["n_a", "n_b", "n_groups", "n_links"]
 
 
 class Side:
@@ -59,10 +71,8 @@ class ByteSide(Side):
     """A byte-level tokenizer of ``tokenizers``; a text is encoded with a space before it."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.counter = worker_counter(path, plain=True)
-        vocabulary = Tokenizer.from_file(path).get_vocab()
+        self.counter = worker_counter(path, memo_pieces=MEMO_PIECES, plain=True)
+        vocabulary = self.counter.encoder.model.get_vocab()
         of = {shown: c for c, shown in BYTE_CHARACTERS.items() if c < 0x80}
         of |= {chr(c): c for c in (*range(0xA1, 0xAD), *range(0xAE, 0x100))}
         hidden = [b for b in range(256) if not (0x21 <= b < 0x7F or 0xA1 <= b < 0xAD or 0xAE <= b)]
@@ -204,6 +214,18 @@ class Aligner:
         keys.append((owners[key // span], key % span, times))
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Texts run in here come to Python in batches of about ``size`` bytes, not of 10,000 rows."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def align(docs: DataFrame, byte_tokenizer: str = "byte_bpe_50k.json", piece_tokenizer: str = "piece_bpe_32k.model",
           key: str = "doc_id", text: str = "text", part_chars: int = PART_CHARS, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``key, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256`` of every row.
@@ -217,8 +239,8 @@ def align(docs: DataFrame, byte_tokenizer: str = "byte_bpe_50k.json", piece_toke
     """
     path_a, path_b = public_tokenizers.path(byte_tokenizer), public_tokenizers.path(piece_tokenizer)
     kind = docs.schema[key].dataType.simpleString()
-    block = (f"block long, keys array<{kind}>, figures array<long>, digests array<string>, sizes array<int>, "
-             "spots array<int>, times array<int>, pairs array<long>, docs array<int>")
+    block = (f"block long, key {kind}, n_a long, n_b long, n_groups long, n_links long, digest string, spots array<int>, "
+             "times array<int>, first int, pairs array<long>, docs array<int>")
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -227,21 +249,24 @@ def align(docs: DataFrame, byte_tokenizer: str = "byte_bpe_50k.json", piece_toke
         number = TaskContext.get().partitionId() << 32
         held, chars = [], 0
         for part, texts in in_slices(batches):
-            size = sum(len(t) for t in texts if t)
+            size = sum(len(t or "") + ROW_CHARS for t in texts)
             if held and chars + size > block_chars:
-                yield _block(number, held)
+                yield from _block(number, held)
                 number, held, chars = number + 1, [], 0
-            held.append((part.column(0), *aligner(texts)))
+            keys = part.column(0).take(pa.array(range(len(texts))))  # a slice would keep the batch and its texts
+            held.append((keys, *aligner(texts)))
             chars += size
         if held:
-            yield _block(number, held)
+            yield from _block(number, held)
         aligner.a.counter.forget()
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    blocks = stored(map_texts(rows, gather, block))
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        blocks = stored(map_texts(rows, gather, block))
     many = PieceSide(path_b).model.get_piece_size()
-    asked = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "docs")).alias("spot", "x")).select(
-        "block", "spot", "x.pairs", "x.docs")
+    asked = blocks.where("first IS NOT NULL").select(
+        "block", "first", F.posexplode(F.arrays_zip("pairs", "docs")).alias("spot", "x")).select(
+        "block", (F.col("first") + F.col("spot")).alias("spot"), "x.pairs", "x.docs")
     counts = stored(asked.groupBy("pairs").agg(F.sum("docs").alias("n")))
     id_a = F.floor(F.col("pairs") / many)
     most = counts.groupBy(id_a.alias("id_a")).agg(F.max("n").alias("most"))
@@ -249,26 +274,23 @@ def align(docs: DataFrame, byte_tokenizer: str = "byte_bpe_50k.json", piece_toke
     told = asked.select(F.col("block").alias("asker"), "spot", "pairs").join(counts, "pairs").select("asker", "spot", "n", "best")
     out = f"key {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
-    def finish(blocks: pa.Table, told: pa.Table) -> pa.Table:
-        row = blocks.slice(0, 1).combine_chunks()
-        col = lambda c: row.column(c).chunk(0).flatten()
-        n = row.column("n_pairs")[0].as_py()
-        count, best = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    def finish(rows: pa.Table, told: pa.Table) -> pa.Table:
+        count, best = np.zeros(told.num_rows, np.int64), np.zeros(told.num_rows, np.int64)  # each spot is told once
         spot = told.column("spot").to_numpy()
         count[spot], best[spot] = told.column("n").to_numpy(), told.column("best").to_numpy()
-        sizes, spots, times = (col(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("sizes", "spots", "times"))
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        sums = [np.concatenate([[0], np.cumsum(times * x[spots])])[upto] for x in (best, count)]
-        figures = col("figures").to_numpy(zero_copy_only=False).reshape(-1, 4)
-        return pa.table([col("keys"), *[pa.array(f) for f in figures.T], *[pa.array(np.diff(s)) for s in sums], col("digests")],
-                        ["key", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
-
-    documents = blocks.withColumn("n_pairs", F.size("pairs")).drop("pairs", "docs")
+        sizes = pa.compute.list_value_length(rows.column("spots")).to_numpy()
+        spots, times = (pa.compute.list_flatten(rows.column(c)).to_numpy().astype(np.int64) for c in ("spots", "times"))
+        upto = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+        sums = [np.diff(np.concatenate([[0], np.cumsum(times * x[spots])])[upto]) for x in (best, count)]
+        return pa.table([*rows.select(["key", *FIGURES]).columns, *map(pa.array, sums), rows.column("digest")],
+                        ["key", *FIGURES, "n_best", "count_sum", "groups_sha256"])
+
+    documents = blocks.where("first IS NULL").drop("first", "pairs", "docs")
     return documents.groupBy("block").cogroup(told.groupBy("asker")).applyInArrow(finish, out).withColumnRenamed("key", key)
 
 
-def _block(number: int, held: list[tuple]) -> pa.RecordBatch:
-    """The blocks' row: its documents, its distinct pairs, and where the former hold the latter."""
+def _block(number: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """The block's rows: its documents, with where they hold its distinct pairs, and the list of these."""
     keys = pa.concat_arrays([h[0] for h in held])
     figures, base, text, pair = [], 0, [], []
     for h in held:
@@ -280,10 +302,19 @@ def _block(number: int, held: list[tuple]) -> pa.RecordBatch:
     order = np.argsort(text, kind="stable")
     text, pair, times = text[order], pair[order], times[order]
     pairs, spots, docs = np.unique(pair, return_inverse=True, return_counts=True)
-    one = lambda values, kind: pa.ListArray.from_arrays([0, len(values)], pa.array(values, kind))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([number], pa.int64()), pa.ListArray.from_arrays([0, len(keys)], keys),
-         one(np.concatenate(figures).ravel(), pa.int64()), one([s for h in held for s in h[2]], pa.string()),
-         one(np.bincount(text, minlength=len(keys)).astype(np.int32), pa.int32()), one(spots.astype(np.int32), pa.int32()),
-         one(times.astype(np.int32), pa.int32()), one(pairs, pa.int64()), one(docs.astype(np.int32), pa.int32())],
-        ["block", "keys", "figures", "digests", "sizes", "spots", "times", "pairs", "docs"])
+    upto = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(keys)))])
+    lists = lambda values, at, kind: pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(values, kind))
+    spots, times = lists(spots, upto, pa.int32()), lists(times, upto, pa.int32())
+    first = np.arange(0, len(pairs), ROW_PAIRS)
+    at = np.append(first, len(pairs))
+    pairs, docs = lists(pairs, at, pa.int64()), lists(docs, at, pa.int32())
+    n, m = len(keys), len(first)
+    none = lambda kind, size=m: pa.nulls(size, kind)
+    names = ["block", "key", *FIGURES, "digest", "spots", "times", "first", "pairs", "docs"]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, number)), keys, *map(pa.array, np.concatenate(figures).T), pa.array([s for h in held for s in h[2]], pa.string()),
+         spots, times, none(pa.int32(), n), none(pairs.type, n), none(docs.type, n)], names)
+    if m:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(m, number)), none(keys.type), *[none(pa.int64())] * 4, none(pa.string()), none(spots.type), none(times.type),
+             pa.array(first, pa.int32()), pairs, docs], names)

@@ -31,6 +31,7 @@ import json
 import re
 import struct
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
@@ -112,6 +113,7 @@ class Encoder:
         model.no_truncation()
         model.no_padding()
         model.encode_special_tokens = plain
+        self.model = model
         self.ids = lambda texts: [x.ids for x in model.encode_batch(texts, add_special_tokens=False)]
         self.spans = lambda text: model.encode(text, add_special_tokens=False)
         self.proven = _proven(path)
@@ -178,7 +180,9 @@ def _common(text: str, a: list, a_base: int, b: list, b_base: int, end: int) ->
 
 
 class Counter:
-    """Counts or encodes texts; keeps a bounded memo of short pieces."""
+    """Counts or encodes texts; keeps a bounded memo of short pieces. The library keeps a cache for
+    each tokenizer and thread that has used it, about 5 MB, until the thread ends: the calls have a
+    thread of their own, so that a worker doesn't gather the caches of all its tasks."""
 
     def __init__(self, path: str, chunk: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS, memo_pieces: int | None = None,
                  plain: bool = False):
@@ -186,6 +190,7 @@ class Counter:
         self.memo_pieces = MEMO_PIECES if memo_pieces is None else memo_pieces
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the memo before: what is asked for again moves on
+        self.thread = ThreadPoolExecutor(1)
 
     @staticmethod
     def pack(ids: list[int]) -> bytes:
@@ -214,6 +219,9 @@ class Counter:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
+        return self.thread.submit(self._ids, texts).result()
+
+    def _ids(self, texts: list[str | None]) -> list[bytes]:
         if not self.encoder.proven:
             return [np.array(x, "<u4").tobytes() for x in self.encoder.ids([t or "" for t in texts])]
         if len(self.memo) > self.memo_pieces // 2:
@@ -244,8 +252,11 @@ class Counter:
 
     def forget(self) -> None:
         """Drop the memo and let go of the tokenizer, as a task does at its end: a later task has its
-        own copy, and an idle worker would keep this one beside those of other stages."""
+        own copy, and an idle worker would keep this one beside those of other stages. The thread
+        ends, and the library's cache with it."""
         self.memo, self.older = {}, {}
+        self.thread.shutdown()
+        self.thread = ThreadPoolExecutor(1)
         for key in [k for k, counter in _counters.items() if counter is self]:
             del _counters[key]
 

@@ -117,3 +117,25 @@ def test_whole_table(spark):  # noqa: F811
     rows = docs.collect()
     want = {r.doc_id: x for r, x in zip(rows, brute([r.text for r in rows]))}
     assert all(tuple(r)[1:] == want[r.doc_id] for r in ta.align(docs).collect())
+
+
+def test_block_rows_are_short(monkeypatch):
+    monkeypatch.setattr(ta, "ROW_PAIRS", 10)
+    some = ["the cat sat on the mat", None, "", "another text, of other words"]
+    figures, said, text, pair, times = ta.Aligner(ta.ByteSide(A), ta.PieceSide(B))(some)
+    documents, listed = (b.to_pylist() for b in ta._block(7, [(ta.pa.array([1, 2, None, 4]), figures, said, text, pair, times)]))
+    assert [(r["block"], r["key"], r["n_a"], len(r["spots"]), r["first"]) for r in documents] == [
+        (7, k, f[0], (text == i).sum(), None) for i, (k, f) in enumerate(zip([1, 2, None, 4], figures.tolist()))]
+    assert len(listed) > 1 and all(len(r["pairs"]) == len(r["docs"]) <= 10 for r in listed)
+    pairs = [p for r in listed for p in r["pairs"]]
+    assert pairs == sorted(set(pair.tolist())) and [r["first"] for r in listed] == list(range(0, len(pairs), 10))
+    assert [pairs[s] for r in documents for s in r["spots"]] == pair.tolist()
+
+
+def test_texts_come_in_small_batches(spark):  # noqa: F811
+    name, df = "spark.sql.execution.arrow.maxBytesPerBatch", spark.range(200, numPartitions=1).selectExpr("id", "repeat('x', 50000) text")
+    before, sizes = spark.conf.get(name, None), lambda batches: (ta.pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+    with ta.batches_of(spark, 1_000_000):
+        rows = df.mapInArrow(sizes, "n long").collect()
+    assert len(rows) > 5 and max(r.n for r in rows) < 2_000_000
+    assert spark.conf.get(name, None) == before
