@@ -192,6 +192,12 @@ class Counter:
         self.older: dict[str, bytes] = {}  # the memo before: what is asked for again moves on
         self.thread = ThreadPoolExecutor(1)
 
+    def __getstate__(self) -> dict:  # a process that has counted may send this package's functions
+        return self.__dict__ | {"thread": None}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ = state | {"thread": ThreadPoolExecutor(1)}
+
     @staticmethod
     def pack(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)

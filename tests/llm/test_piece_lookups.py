@@ -5,6 +5,7 @@ import random
 from pathlib import Path
 
 import public_tokenizers
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 
 from distillery.llm import token_counts
@@ -63,3 +64,9 @@ def test_tasks_leave_no_cache_of_the_library_behind():
 
     held = [task() for _ in range(14)]
     assert held[-1] - held[3] < 20, held  # about 50 with a cache a task
+
+
+def test_a_used_counter_can_be_sent():
+    counter = Counter(PATH)
+    want = counter.ids(["the cat"])
+    assert cloudpickle.loads(cloudpickle.dumps(counter)).ids(["the cat"]) == want
